@@ -203,6 +203,8 @@ def pack(rows: DataFrame, order: list[str], capacity: int = CAPACITY, length: st
         .select(*rows.columns, "_rank")
     )
 
+    names = [*rows.columns, "sequence_id", "offset"]
+
     def place(batches):
         ranges = table.value
         for batch in batches:
@@ -216,7 +218,7 @@ def pack(rows: DataFrame, order: list[str], capacity: int = CAPACITY, length: st
                 j = rank[at] - lo[k]
                 sequence[at] = first[k] + j % n[k]
                 offset[at] = begins[k] + j // n[k] * x
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sequence), pa.array(offset)], [*rows.columns, "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sequence), pa.array(offset)], names)
 
     return ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long")
 
