@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 #: Query and the module whose function opN it is; a module may hold ORACLE_SQL.
 QUERIES = {
     "op1_best_fit_packing": "packing",
+    "op2_exact_topk_search": "topk_search",
+    "op3_url_filter": "url_filter",
+    "op6_exact_dedup": "exact_dedup",
+    "op8_source_mixing": "mixing",
 }
 
 
