@@ -12,8 +12,13 @@ QUERIES = {
     "op1_best_fit_packing": "packing",
     "op2_exact_topk_search": "topk_search",
     "op3_url_filter": "url_filter",
+    "op4_pii": "pii",
+    "op5_quality_classifier": "quality",
     "op6_exact_dedup": "exact_dedup",
+    "op7_toxicity": "toxicity",
     "op8_source_mixing": "mixing",
+    "op9_ngram_jaccard_join": "ngram_join",
+    "op10_html_extraction": "html_extract",
 }
 
 
