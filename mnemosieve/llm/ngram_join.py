@@ -58,19 +58,25 @@ class Shingler:
                 found = np.sort(hashes[a : b - n + 1])
                 out.append(found[np.concatenate([[True], found[1:] != found[:-1]])])
             elif b > a:
-                h = np.uint64(b - a)
-                for x in word[a:b]:
-                    h = mix64(np.array([h * np.uint64(MULTIPLIERS[0]) + x], np.uint64))[0]
-                out.append(np.array([h], np.uint64))
+                h = np.full(1, b - a, np.uint64)
+                for i in range(a, b):
+                    h = mix64(h * np.uint64(MULTIPLIERS[0]) + word[i : i + 1])
+                out.append(h)
             else:
                 out.append(np.zeros(0, np.uint64))
         return out
 
 
-def digest(found: np.ndarray) -> int:
-    """The set's node: a signed 64-bit number."""
-    total = mix64(found ^ np.uint64(MULTIPLIERS[1])).sum(dtype=np.uint64) + np.uint64(len(found)) * np.uint64(MULTIPLIERS[2])
-    return int(mix64(np.array([total], np.uint64)).view(np.int64)[0])
+def nodes_of(sets: list[np.ndarray]) -> np.ndarray:
+    """The node of each set, a signed 64-bit number; 0 for an empty one."""
+    size = np.array([len(x) for x in sets], np.int64)
+    out = np.zeros(len(sets), np.uint64)
+    some = np.flatnonzero(size)
+    if len(some):
+        flat = mix64(np.concatenate([sets[i] for i in some]) ^ np.uint64(MULTIPLIERS[1]))
+        total = np.add.reduceat(flat, np.cumsum(size[some]) - size[some])
+        out[some] = mix64(total + size[some].astype(np.uint64) * np.uint64(MULTIPLIERS[2]))
+    return out.view(np.int64)
 
 
 def first_shingles(found: np.ndarray, frequent: np.ndarray, rank: np.ndarray, percent: int) -> np.ndarray:
@@ -284,7 +290,7 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, region:
 
     def describe(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = worker_state("shingler", Shingler).sets(batch.column(1), words)
-        rows = [(False, doc, digest(x) if len(x) else 0, len(x)) for doc, x in zip(batch.column(0).to_pylist(), sets, strict=True)]
+        rows = [(False, doc, node, len(x)) for doc, node, x in zip(batch.column(0).to_pylist(), nodes_of(sets).tolist(), sets, strict=True)]
         values, count = np.unique(np.concatenate(sets), return_counts=True)
         rows += [(True, None, int(v), int(c)) for v, c in zip(values[count >= OFTEN].view(np.int64), count[count >= OFTEN], strict=True)]
         return _arrays(["common", "doc_id", "node", "n"], rows, [pa.bool_(), pa.int64(), pa.int64(), pa.int64()])
@@ -298,8 +304,9 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, region:
 
     def postings(batch: pa.RecordBatch) -> pa.RecordBatch:
         seen: dict[int, np.ndarray] = {}
-        for x in worker_state("shingler", Shingler).sets(batch.column(0), words):
-            if len(x) and (node := digest(x)) not in seen:
+        sets = worker_state("shingler", Shingler).sets(batch.column(0), words)
+        for x, node in zip(sets, nodes_of(sets).tolist(), strict=True):
+            if len(x) and node not in seen:
                 seen[node] = first_shingles(x, *often.value, percent)
         size = [len(x) for x in seen.values()]
         flat = np.concatenate(list(seen.values())).view(np.int64) if seen else np.zeros(0, np.int64)
@@ -317,8 +324,9 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, region:
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = []
-        for rep, node, pivots, x in zip(*(batch.column(i).to_pylist() for i in range(3)), worker_state("shingler", Shingler).sets(batch.column(3), words), strict=True):
-            if digest(x) == node:
+        sets = worker_state("shingler", Shingler).sets(batch.column(3), words)
+        for rep, node, pivots, own, x in zip(*(batch.column(i).to_pylist() for i in range(3)), nodes_of(sets).tolist(), sets, strict=True):
+            if own == node:
                 rows += [(p["large"], p["pivot"], rep, node, len(x), x.astype("<u8").tobytes()) for p in pivots]
         return _arrays(["large", "pivot", "rep", "node", "n", "shingles"], rows, [pa.bool_(), *[pa.int64()] * 4, pa.binary()])
 
