@@ -55,7 +55,7 @@ def bytes_of(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, column: str = "text") -> DataFrame:
+def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema, column: str = "text") -> DataFrame:
     """function over slices of df; null texts come as empty ones. Memory is bounded by a slice, not by a partition."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
