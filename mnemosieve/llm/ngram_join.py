@@ -1,7 +1,9 @@
 """Jaccard join of documents on word shingles in their metric space, and the components of its links.
 
 1. A document's set of shingles becomes sorted 64-bit hashes; equal sets share a node, so copies are joined once.
-2. Two sets that link share one of their first n - ceil(t n) + 1 shingles in any common order. Ours puts the frequent ones last, so common
+   A set of n shingles of which more than n - ceil(t n) occur in no other document has nobody within the link distance. Fingerprints of a fixed
+   share of all shingles, packed by hash range, show which do: a clash of fingerprints, or a shingle outside the share, only keeps a set in.
+2. Two of the other sets that link share one of their first n - ceil(t n) + 1 shingles in any common order. Ours puts the frequent ones last, so common
    passages bring nobody together. For each shingle that several nodes put first, the smallest of them is the pivot, and the pivot's region is
    all who share such a shingle with it: linked sets meet in a region.
 3. A region joins exactly. Within a task it is split recursively into Voronoi cells of further pivots; by the triangle inequality a set also goes
@@ -27,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnemosieve.llm.common import WordHasher, arrow_map, attach_groups, mix64, read_table, worker_state, written
+from mnemosieve.llm.common import BATCH_ROWS, WordHasher, arrow_map, attach_groups, mix64, read_table, slices, worker_state, written
 
 WORDS, PERCENT = 4, 85
 #: Shingles known to be frequent at most (they only order the others, whatever is left out); documents of a slice that make one a candidate.
 FREQUENT, OFTEN = 50_000, 3
+#: Share of the hash range whose shingles are looked up over all documents; fingerprints one task compares; bits beyond the count's own.
+LOOKED_UP, RANGE, SPARE_BITS = 0.4, 2_000_000, 4
 #: Shingles of a region, or of two blocks of a ring, that one task joins.
 REGION = 2_000_000
 #: Sets that are compared with each other directly; pivots of a split; share of the sets a cell may have for a split to count.
@@ -283,62 +287,154 @@ def _large_regions(sets: DataFrame, regions: DataFrame, percent: int, most: int)
     return to_pivot.unionByName(_by_key(placed, keys).mapInArrow(lambda it: _joined(percent, 4, it), "a long, b long"))
 
 
+def packed(values: np.ndarray, size: int) -> bytes:
+    """Ascending numbers as differences of `size` bytes; the largest code advances without giving a number."""
+    step = np.diff(values, prepend=np.uint64(0))
+    marker = np.uint64((1 << 8 * size) - 1)
+    over = (step // marker).astype(np.int64)
+    out = np.full(int(over.sum()) + len(step), marker, "<u8")
+    out[np.cumsum(over + 1) - 1] = step % marker
+    return out.view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+
+
+def unpacked(data: bytes, size: int) -> np.ndarray:
+    wide = np.zeros((len(data) // size, 8), np.uint8)
+    wide[:, :size] = np.frombuffer(data, np.uint8).reshape(-1, size)
+    step = wide.reshape(-1).view("<u8").astype(np.uint64)
+    return np.cumsum(step)[step != np.uint64((1 << 8 * size) - 1)]
+
+
+SEVERAL = 65_535  # stands for the documents of a slice that share a shingle
+
+
+def unshared_shingles(docs: DataFrame, words: int, total: int) -> DataFrame:
+    """node, n, unshared: how many of its looked-up shingles occur in no other document, for each node of each slice of documents. total: shingles."""
+    bits = min(60, max(16, total.bit_length() + SPARE_BITS))
+    ranges = max(1, int(total * LOOKED_UP) // RANGE)
+    width = -(-int(LOOKED_UP * (1 << bits)) // ranges)
+    schema = "slice long, range int, a binary, b binary"
+    names, kinds = ["slice", "range", "a", "b"], [pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+
+    def code_size(entries: int) -> int:
+        return next(k for k in range(1, 8) if 1 << 8 * k > 6 * width // entries)
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 32
+        for part in (x for batch in batches for x in slices(batch, "text")):
+            sets = worker_state("shingler", Shingler).sets(part.column(0), words)
+            nodes, first = np.unique(nodes_of(sets), return_index=True)
+            size = np.array([len(sets[i]) for i in first], np.int64)
+            flat, owner = np.concatenate([sets[i] for i in first]), np.repeat(np.arange(len(first)), size)
+            keep = flat < np.uint64(int(LOOKED_UP * 2**64))
+            flat, owner = flat[keep] >> np.uint64(64 - bits), owner[keep].astype(np.uint16)
+            order = np.argsort(flat, kind="stable")
+            flat, owner = flat[order], owner[order]
+            new = np.ones(len(flat), bool)
+            new[1:] = flat[1:] != flat[:-1]
+            again = np.zeros(len(flat), bool)
+            again[:-1] = ~new[1:]
+            owner[new & again] = SEVERAL
+            flat, owner = flat[new], owner[new]
+            rows = [(number, -1, nodes.astype("<i8").tobytes(), size.astype("<i8").tobytes())]
+            cuts = np.searchsorted(flat, np.arange(ranges + 1, dtype=np.uint64) * np.uint64(width))
+            for k in range(ranges):
+                lo, hi = cuts[k], cuts[k + 1]
+                if hi > lo:
+                    code = code_size(int(hi - lo))
+                    rows.append((number, k, bytes([code]) + packed(flat[lo:hi] - np.uint64(k * width), code), owner[lo:hi].astype("<u2").tobytes()))
+            yield _arrays(names, rows, kinds)
+            number += 1
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (which,), rows in _groups((b.select(["range", "slice", "a", "b"]) for b in batches), 1):
+            if which < 0:
+                yield _arrays(names, [(s, -1, a, b) for s, a, b in rows], kinds)
+                continue
+            values = [unpacked(a[1:], a[0]) for _, a, _ in rows]
+            flat, owner = np.concatenate(values), np.frombuffer(b"".join(b for *_, b in rows), "<u2")
+            order = np.argsort(flat, kind="stable")
+            same = flat[order][1:] == flat[order][:-1]
+            shared = np.zeros(len(flat), bool)
+            shared[order[1:][same]] = True
+            shared[order[:-1][same]] = True
+            alone = ~shared & (owner != SEVERAL)
+            ends = np.cumsum([len(x) for x in values])
+            out = [(s, which, np.bincount(owner[e - len(x) : e][alone[e - len(x) : e]]).astype("<u2").tobytes(), b"") for (s, _, _), x, e in zip(rows, values, ends, strict=True)]
+            yield _arrays(names, out, kinds)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _groups(batches, 1):
+            _, nodes, size = next(x for x in rows if x[0] < 0)
+            nodes, size = np.frombuffer(nodes, "<i8"), np.frombuffer(size, "<i8")
+            count = np.zeros(len(nodes), np.int64)
+            for which, a, _ in rows:
+                if which >= 0:
+                    part = np.frombuffer(a, "<u2")
+                    count[: len(part)] += part
+            yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(size), pa.array(count)], ["node", "n", "unshared"])
+
+    told = docs.select("text").mapInArrow(look_up, schema).withColumn("_to", F.when(F.col("range") < 0, F.xxhash64("slice")).otherwise(F.col("range").cast("long")))
+    compared = told.repartition("_to").sortWithinPartitions("range", "slice").drop("_to").mapInArrow(compare, schema)
+    return compared.repartition("slice").sortWithinPartitions("slice", "range").mapInArrow(add_up, "node long, n long, unshared long")
+
+
 def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, region: int = REGION) -> DataFrame:
     """doc_id, n_shingles, component_id for each row."""
     spark = docs.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
     def describe(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = worker_state("shingler", Shingler).sets(batch.column(1), words)
-        rows = [(False, doc, node, len(x)) for doc, node, x in zip(batch.column(0).to_pylist(), nodes_of(sets).tolist(), sets, strict=True)]
-        values, count = np.unique(np.concatenate(sets), return_counts=True)
-        rows += [(True, None, int(v), int(c)) for v, c in zip(values[count >= OFTEN].view(np.int64), count[count >= OFTEN], strict=True)]
-        return _arrays(["common", "doc_id", "node", "n"], rows, [pa.bool_(), pa.int64(), pa.int64(), pa.int64()])
-
-    table = written(arrow_map(docs, describe, "common boolean, doc_id long, node long, n long"), "sets")
-    slim = table.where("not common").select("doc_id", "node", "n")
-    common = table.where("common").groupBy("node").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "node").limit(FREQUENT).collect()
-    hashes = np.array([r["node"] for r in common], np.int64).view(np.uint64)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes_of(sets)), pa.array([len(x) for x in sets], pa.int64())], ["doc_id", "node", "n"])
+
+    slim = written(arrow_map(docs, describe, "doc_id long, node long, n long"), "nodes-of-rows")
+    nodes = written(slim.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "nodes")
+    total = slim.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    near = unshared_shingles(docs, words, total).where(f"n > 0 and unshared <= n - floor(({percent} * n + 99) / 100)").select("node").distinct()
+    wanted = written(nodes.where("rep is not null").join(near, "node").select(F.col("rep").alias("doc_id"), "node"), "wanted")
+
+    def describe_wanted(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = worker_state("shingler", Shingler).sets(batch.column(2), words)
+        rows = [(rep, node, len(x), x.astype("<u8").tobytes()) for rep, node, own, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), nodes_of(sets).tolist(), sets, strict=True) if own == node]
+        return _arrays(["rep", "node", "n", "shingles"], rows, [*[pa.int64()] * 3, pa.binary()])
+
+    texts = docs.join(wanted, "doc_id").select("doc_id", "node", "text")
+    sets = written(arrow_map(texts, describe_wanted, "rep long, node long, n long, shingles binary").dropDuplicates(["node"]), "sets")
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values, count = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u8"), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(values[count >= OFTEN].view(np.int64)), pa.array(count[count >= OFTEN].astype(np.int64))], ["shingle", "n"])
+
+    common = sets.select("shingles").mapInArrow(frequent, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT).collect()
+    hashes = np.array([r["shingle"] for r in common], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     often = spark.sparkContext.broadcast((hashes[order], (len(hashes) - np.arange(len(hashes)))[order]))  # FREQUENT numbers at most
 
-    def postings(batch: pa.RecordBatch) -> pa.RecordBatch:
-        seen: dict[int, np.ndarray] = {}
-        sets = worker_state("shingler", Shingler).sets(batch.column(0), words)
-        for x, node in zip(sets, nodes_of(sets).tolist(), strict=True):
-            if len(x) and node not in seen:
-                seen[node] = first_shingles(x, *often.value, percent)
-        size = [len(x) for x in seen.values()]
-        flat = np.concatenate(list(seen.values())).view(np.int64) if seen else np.zeros(0, np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(flat), pa.array(np.repeat(np.array(list(seen), np.int64), size))], ["shingle", "node"])
-
-    posted = arrow_map(docs.select("text"), postings, "shingle long, node long")
+    def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            heads = [first_shingles(np.frombuffer(x, "<u8"), *often.value, percent) for x in batch.column(1).to_pylist()]
+            if heads:
+                node = np.repeat(batch.column(0).to_numpy(), [len(x) for x in heads])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(heads).astype(np.uint64).view(np.int64)), pa.array(node)], ["shingle", "node"])
+
+    posted = sets.select("node", "shingles").mapInArrow(postings, "shingle long, node long")
     shared = posted.groupBy("shingle").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
     members = written(posted.join(shared, "shingle").where("node <> pivot").select("pivot", "node").distinct(), "members")
-
-    nodes = written(slim.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "nodes")
     inside = members.unionByName(members.select("pivot", F.col("pivot").alias("node")).distinct())
-    regions = written(inside.join(nodes.select("node", "n"), "node").groupBy("pivot").agg(F.sum("n").alias("total")), "regions")
-    wanted = inside.join(nodes.where("rep is not null").select("node", "rep"), "node").join(regions, "pivot").groupBy("rep", "node").agg(F.collect_list(F.struct("pivot", (F.col("total") > region).alias("large"))).alias("pivots"))
-    wanted = written(wanted, "wanted")  # a set has fewer pivots than first shingles
-
-    def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows = []
-        sets = worker_state("shingler", Shingler).sets(batch.column(3), words)
-        for rep, node, pivots, own, x in zip(*(batch.column(i).to_pylist() for i in range(3)), nodes_of(sets).tolist(), sets, strict=True):
-            if own == node:
-                rows += [(p["large"], p["pivot"], rep, node, len(x), x.astype("<u8").tobytes()) for p in pivots]
-        return _arrays(["large", "pivot", "rep", "node", "n", "shingles"], rows, [pa.bool_(), *[pa.int64()] * 4, pa.binary()])
-
-    texts = docs.join(wanted.withColumnRenamed("rep", "doc_id"), "doc_id").select("doc_id", "node", "pivots", "text")
-    sets = arrow_map(texts, spread, "large boolean, pivot long, rep long, node long, n long, shingles binary")
+    regions = written(inside.join(sets.select("node", "n"), "node").groupBy("pivot").agg(F.sum("n").alias("total")), "regions")
+    pivots = inside.join(regions, "pivot").groupBy("node").agg(F.collect_list(F.struct("pivot", (F.col("total") > region).alias("large"))).alias("pivots"))  # fewer than a set's first shingles
+    placed = sets.join(pivots, "node").withColumn("p", F.explode("pivots")).select("p.large", "p.pivot", "rep", "node", "n", "shingles")
     large = regions.where(F.col("total") > region)
     if not large.isEmpty():
-        sets = written(sets, "region-sets")
-    small = _by_key(sets.where("not large").select("pivot", "rep", F.lit(False).alias("together"), "shingles"), ["pivot"])
+        placed = written(placed, "region-sets")
+    small = _by_key(placed.where("not large").select("pivot", "rep", F.lit(False).alias("together"), "shingles"), ["pivot"])
     links = small.mapInArrow(lambda it: _joined(percent, 1, it), "a long, b long")
     if not large.isEmpty():
-        links = links.unionByName(_large_regions(sets.where("large").drop("large").dropDuplicates(["pivot", "rep", "node"]), large, percent, region))
+        links = links.unionByName(_large_regions(placed.where("large").drop("large"), large, percent, region))
     found = components(written(links, "links"))
     groups = nodes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("node", "copies", F.coalesce("component", "rep").alias("component_id"))
     full = attach_groups(slim.where("n > 0"), written(groups, "groups"), ["node"], "copies")
