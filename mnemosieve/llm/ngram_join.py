@@ -401,8 +401,8 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, region:
         rows = [(rep, node, len(x), x.astype("<u8").tobytes()) for rep, node, own, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), nodes_of(sets).tolist(), sets, strict=True) if own == node]
         return _arrays(["rep", "node", "n", "shingles"], rows, [*[pa.int64()] * 3, pa.binary()])
 
-    texts = docs.join(wanted, "doc_id").select("doc_id", "node", "text")
-    sets = written(arrow_map(texts, describe_wanted, "rep long, node long, n long, shingles binary").dropDuplicates(["node"]), "sets")
+    texts = docs.join(wanted.hint("merge"), "doc_id").select("doc_id", "node", "text").dropDuplicates(["doc_id", "node"])  # where they are
+    sets = written(arrow_map(texts, describe_wanted, "rep long, node long, n long, shingles binary"), "sets")
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -423,11 +423,11 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, region:
 
     posted = sets.select("node", "shingles").mapInArrow(postings, "shingle long, node long")
     shared = posted.groupBy("shingle").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
-    members = written(posted.join(shared, "shingle").where("node <> pivot").select("pivot", "node").distinct(), "members")
+    members = written(posted.join(shared.hint("merge"), "shingle").where("node <> pivot").select("pivot", "node").distinct(), "members")
     inside = members.unionByName(members.select("pivot", F.col("pivot").alias("node")).distinct())
     regions = written(inside.join(sets.select("node", "n"), "node").groupBy("pivot").agg(F.sum("n").alias("total")), "regions")
     pivots = inside.join(regions, "pivot").groupBy("node").agg(F.collect_list(F.struct("pivot", (F.col("total") > region).alias("large"))).alias("pivots"))  # fewer than a set's first shingles
-    placed = sets.join(pivots, "node").withColumn("p", F.explode("pivots")).select("p.large", "p.pivot", "rep", "node", "n", "shingles")
+    placed = sets.join(pivots.hint("merge"), "node").withColumn("p", F.explode("pivots")).select("p.large", "p.pivot", "rep", "node", "n", "shingles")
     large = regions.where(F.col("total") > region)
     if not large.isEmpty():
         placed = written(placed, "region-sets")
