@@ -716,15 +716,13 @@ _GR = f"{_SCORES}, {_GOLD}, gr AS (SELECT query_id, min(rank) AS rank FROM gold
 
 
 def _gold(c: Corpus) -> DataFrame:
-    """Records that hold a query's whole text. The texts of a stated query set are matched against all records in one pass: by the words of their start."""
-    def key(words, at):
-        return F.array_join(F.slice(words, at, 4), " ")
-
-    asked = c.queries.select("query_id", "query", key(F.split("query", " "), 2).alias("k"))
-    words = F.split(F.col("content"), r"[ \n\t]")
-    grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(words) - 3, F.lit(1))), lambda i: key(words, i)))
-    rows = c.snapshot.select(F.col("id").alias("doc_id"), F.explode(grams).alias("k")).join(sc.small(asked), "k").select("doc_id", "query_id", "query")
-    return rows.join(c.snapshot.select(F.col("id").alias("doc_id"), "content"), "doc_id").where(F.col("content").contains(F.col("query"))).select("query_id", "doc_id").distinct()
+    """Records that hold a query's whole text. Such a record has every token of the query but, where it goes on within a word, the first and last."""
+    sizes = c.wanted.groupBy("query_id").agg(F.count(F.lit(1)).alias("nq"))
+    likely = c.lexical.join(sc.small(sizes), "query_id").where("nq > 2 and matched >= nq - 2").select("query_id", "doc_id")
+    short = c.queries.select("query_id").join(sizes, "query_id", "left").where("nq is null or nq <= 2").select("query_id")
+    rows = likely.unionByName(short.join(c.docs.select("doc_id")).select("query_id", "doc_id"))  # a short query has no token to go by
+    asked = sc.small(c.queries.select("query_id", "query"))
+    return rows.join(c.docs.select("doc_id", "content"), "doc_id").join(asked, "query_id").where(F.col("content").contains(F.col("query"))).select("query_id", "doc_id")
 
 
 def _gold_ranks(c: Corpus) -> DataFrame:
