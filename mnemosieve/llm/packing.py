@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 from mnemosieve.llm.common import arrow_map, worker_state, written
 
 CAPACITY, END_ID = 4096, 1
-#: Nodes the search may visit after the best-fit start, fillings it looks at for one largest length, rows ranked by one task.
-NODES, FILLINGS, RANK_ROWS = 2000, 24, 100_000
+#: Lengths the search may look at after the best-fit start (nodes times different lengths), fillings of one sequence it compares, rows ranked by one task.
+WORK, FILLINGS, RANK_ROWS = 600_000, 24, 100_000
 #: Chunks a worker remembers the ids of in each of two generations, some 200 bytes each.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how often), longest first
@@ -130,16 +130,16 @@ def fillings(counts: dict[int, int], lengths: list[int], residue: int, most: int
     return [p for _, p in kept]
 
 
-def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> Plan:
+def complete(counts: dict[int, int], capacity: int = CAPACITY, work: int = WORK) -> Plan:
     """Bin completion: fill the sequence of the largest item, branch over its undominated fillings, prune by waste, finish by best fit."""
     counts = {x: n for x, n in counts.items() if n}
     best, least = best_fit(counts, capacity), lower_bound(counts, capacity)
     volume = sum(x * n for x, n in counts.items())
     one_by_one = sum(counts.values()) <= 64
     stack: list[tuple[dict[int, int], Plan, int]] = [(counts, [], 0)]
-    while stack and nodes and bins(best) > least:
+    while stack and work > 0 and bins(best) > least:
         left, plan, waste = stack.pop()
-        nodes -= 1
+        work -= max(1, len(left))
         if waste > (bins(best) - 1) * capacity - volume:
             continue
         if not left:
