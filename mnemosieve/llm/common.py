@@ -16,7 +16,7 @@ from mnemosieve.sources.tables import read_table, scratch_path, written
 __all__ = ["arrow_map", "attach_groups", "lower_ascii", "read_table", "scratch_path", "slices", "worker_state", "written", "WordHasher"]
 
 #: Rows of a batch that goes to Python, and bytes of text that a function sees at once.
-BATCH_ROWS, SLICE_BYTES = 1000, 4 << 20
+BATCH_ROWS, SLICE_BYTES = 1000, 1 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

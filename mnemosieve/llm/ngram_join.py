@@ -34,6 +34,8 @@ from mnemosieve.llm.common import BATCH_ROWS, WordHasher, arrow_map, attach_grou
 WORDS, PERCENT = 4, 85
 #: Shingles known to be frequent at most (they only order the others, whatever is left out); documents of a slice that make one a candidate.
 FREQUENT, OFTEN = 50_000, 3
+#: Bytes of text whose fingerprints travel together.
+SLICE = 4 << 20
 #: Share of the hash range whose shingles are looked up over all documents; fingerprints one task compares; bits beyond the count's own.
 LOOKED_UP, RANGE, SPARE_BITS = 0.4, 2_000_000, 4
 #: Shingles of a region, or of two blocks of a ring, that one task joins.
@@ -322,8 +324,8 @@ def unshared_shingles(docs: DataFrame, words: int, total: int) -> DataFrame:
         from pyspark import TaskContext
 
         number = TaskContext.get().partitionId() << 32
-        for part in (x for batch in batches for x in slices(batch, "text")):
-            sets = worker_state("shingler", Shingler).sets(part.column(0), words)
+        for part in (x for batch in batches for x in slices(batch, "text", SLICE)):
+            sets = [x for some in slices(part, "text") for x in worker_state("shingler", Shingler).sets(some.column(0), words)]
             nodes, first = np.unique(nodes_of(sets), return_index=True)
             size = np.array([len(sets[i]) for i in first], np.int64)
             flat, owner = np.concatenate([sets[i] for i in first]), np.repeat(np.arange(len(first)), size)
