@@ -10,6 +10,7 @@ from mnemosieve.functions.text import content_sha, float_text, tokens
 #: Constants that define scores; they are kept in meta and read from there.
 SCORING = {"scoring_k1": 1.2, "scoring_b": 0.2, "scoring_title_weight": 3.0, "scoring_evidence_weight": 0.25}
 ALGO_VERSION = "1"
+POSTING_COLUMNS = ["token", "kind", "doc_id", "tf_title", "tf_content"]
 DOC_COLUMNS = ["doc_id", "updated_at", "content_sha", "title", "content", "type", "project", "scope", "title_chars", "content_chars", "n_tokens"]
 
 
@@ -92,7 +93,7 @@ def apply_changes(docs: DataFrame, posted: DataFrame, snapshot: DataFrame) -> tu
     touched = diff(docs, snapshot)
     changed = documents(snapshot.join(touched.where("change = 'changed'").select(F.col("doc_id").alias("id")), "id", "left_semi"))
     kept_docs = docs.join(touched, "doc_id", "left_anti")
-    kept_postings = posted.join(touched, "doc_id", "left_anti")
+    kept_postings = posted.join(touched, "doc_id", "left_anti").select(*POSTING_COLUMNS)
     return kept_docs.select(*DOC_COLUMNS).unionByName(changed), kept_postings.unionByName(postings(changed))
 
 
@@ -105,7 +106,7 @@ def affected_terms(before: DataFrame, after: DataFrame, touched: DataFrame) -> D
 def repair_terms(old: DataFrame, after: DataFrame, affected: DataFrame) -> DataFrame:
     """Terms after the update: affected ones counted anew (those without postings leave), the others kept."""
     counted = terms(after.join(affected, ["token", "kind"], "left_semi"))
-    return old.join(affected, ["token", "kind"], "left_anti").unionByName(counted)
+    return old.join(affected, ["token", "kind"], "left_anti").select("token", "kind", "df").unionByName(counted)
 
 
 def check(docs: DataFrame, vectors: DataFrame, meta_rows: DataFrame) -> list[str]:
