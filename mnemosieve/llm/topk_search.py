@@ -9,7 +9,7 @@ Queries come in blocks of a bounded size; only such a block and its cutoffs are
 32-bit floats hold them below 2**24, 64-bit floats below 2**53, Python integers beyond.
 
 Defined results: a vector that is null or empty or holds a null or non-finite component takes no part; only vectors of the query's length
-are compared with it; ties go to the smaller vec_id; repeated rows are candidates of their own, but a row with the query's vec_id is no
+are compared with it; ties go to the smaller vec_id; a score beyond 64 bits counts as the largest or smallest long; repeated rows are candidates of their own, but a row with the query's vec_id is no
 candidate for it; a repeated query id is asked once, with its smallest vector; fewer candidates than k give fewer rows.
 """
 
@@ -60,13 +60,23 @@ def partials(queries: np.ndarray, rows: np.ndarray, blocks: int) -> list[np.ndar
     return [q[:, part] @ x[:, part].T for part in np.array_split(np.arange(d), min(blocks, d))]
 
 
+LEAST = np.iinfo(np.int64).min
+
+
+def as_long(scores: np.ndarray) -> np.ndarray:
+    """Exact scores as 64-bit integers; one beyond them counts as the largest or smallest."""
+    if scores.dtype == object:
+        scores = np.clip(scores, int(LEAST) + 1, -int(LEAST) - 1)
+    return scores.astype(np.int64)
+
+
 def _emit(query: list, ids: list, scores: list) -> pa.RecordBatch:
     join = lambda x: pa.array(np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64))
     return pa.RecordBatch.from_arrays([join(query), join(ids), join(scores)], ["query_id", "vec_id", "score"])
 
 
 def phase_one(queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int, blocks: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    best: dict[int, tuple[np.ndarray, np.ndarray]] = {d: (np.full((len(i), k), np.iinfo(np.int64).min), np.zeros((len(i), k), np.int64)) for d, (i, _) in queries.items()}
+    best: dict[int, tuple[np.ndarray, np.ndarray]] = {d: (np.full((len(i), k), LEAST), np.zeros((len(i), k), np.int64)) for d, (i, _) in queries.items()}
     seen = {d: np.zeros(len(i), np.int64) for d, (i, _) in queries.items()}
     for batch in batches:
         for d, (ids, rows) in quantised(batch).items():
@@ -77,21 +87,22 @@ def phase_one(queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int, blocks:
             total = sum(parts[1:], parts[0])
             listed = [np.argpartition(p, -k, 1)[:, -k:] if p.shape[1] > k else np.broadcast_to(np.arange(p.shape[1]), p.shape) for p in parts]
             at = np.sort(np.concatenate(listed, 1), 1)
-            score = np.take_along_axis(total, at, 1).astype(np.int64)
-            score[(ids[at] == own[:, None]) | np.pad(at[:, 1:] == at[:, :-1], ((0, 0), (1, 0)))] = np.iinfo(np.int64).min
+            score = as_long(np.take_along_axis(total, at, 1))
+            score[(ids[at] == own[:, None]) | np.pad(at[:, 1:] == at[:, :-1], ((0, 0), (1, 0)))] = LEAST
             all_scores, all_ids = np.concatenate([best[d][0], score], 1), np.concatenate([best[d][1], ids[at]], 1)
             top = np.argpartition(all_scores, -k, 1)[:, -k:]
             best[d] = np.take_along_axis(all_scores, top, 1), np.take_along_axis(all_ids, top, 1)
             seen[d] += len(ids)
     for d, (own, _) in queries.items():
         scores, ids = best[d]
-        real = scores > np.iinfo(np.int64).min
+        real = scores > LEAST
         if real.any():
             yield _emit([np.broadcast_to(own[:, None], real.shape)[real]], [ids[real]], [scores[real]])
 
 
 def later_phases(queries: dict[int, tuple[np.ndarray, np.ndarray]], cutoffs: dict[int, int], blocks: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cut = {d: np.array([cutoffs.get(int(i), -np.inf) for i in own], np.float64) for d, (own, _) in queries.items()}
+    cut = {d: np.array([cutoffs.get(int(i), int(LEAST)) for i in own], np.int64) for d, (own, _) in queries.items()}
+    slack = {d: x - np.abs(x) * 1e-9 - 1 for d, x in ((d, x.astype(np.float64)) for d, x in cut.items())}  # below the cutoff, whatever rounding does
     for batch in batches:
         out: tuple[list, list, list] = ([], [], [])
         for d, (ids, rows) in quantised(batch).items():
@@ -99,12 +110,12 @@ def later_phases(queries: dict[int, tuple[np.ndarray, np.ndarray]], cutoffs: dic
                 continue
             own, q = queries[d]
             parts = partials(q, rows, blocks)
-            limit = (cut[d] / len(parts))[:, None]
+            limit = (slack[d] / len(parts))[:, None]
             enough = parts[0] >= limit
             for p in parts[1:]:
                 enough |= p >= limit
             i, j = np.nonzero(enough)
-            score = sum((p[i, j] for p in parts[1:]), parts[0][i, j]).astype(np.int64)
+            score = as_long(sum((p[i, j] for p in parts[1:]), parts[0][i, j]))
             stays = (score >= cut[d][i]) & (ids[j] != own[i])
             for column, x in zip(out, (own[i[stays]], ids[j[stays]], score[stays]), strict=True):
                 column.append(x)
