@@ -26,7 +26,7 @@ CAPACITY, END_ID = 4096, 1
 #: Lengths the search may look at after the best-fit start (nodes times different lengths), fillings of one sequence it compares, rows ranked by one task.
 WORK, FILLINGS, RANK_ROWS = 600_000, 24, 100_000
 #: Chunks a worker remembers the ids of in each of two generations, some 200 bytes each.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 Pattern = tuple[tuple[int, int], ...]  # (length, how often), longest first
@@ -230,7 +230,7 @@ class Chunks(dict):
     and a full stop or comma between a letter and white space, a token of its own, becomes a chunk.
     """
 
-    MARK = re.compile(r"(?<=[a-zß-öø-ÿ])([.,])(?=[ \n]|$)")
+    MARK = re.compile(r"([.,])(?<=[a-zß-öø-ÿ][.,])(?=[ \n]|$)")
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer, self.older = tokenizer, {}
