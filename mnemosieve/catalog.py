@@ -132,12 +132,11 @@ class Corpus:
 
 
 # DuckDB counterparts of the tables above.
-CLASS = tx.RUNS
 
 
 def _tok(x: str) -> str:
     return (
-        f"flatten(list_transform(regexp_extract_all({x}, '{CLASS}'), lambda r: CASE WHEN regexp_matches(r, '^[0-9A-Za-z]') THEN CASE WHEN length(r) >= 2 THEN [{{'token': lower(r), 'kind': 'a'}}] END "
+        f"flatten(list_transform(regexp_extract_all({x}, '{tx.RUNS}'), lambda r: CASE WHEN regexp_matches(r, '^[0-9A-Za-z]') THEN CASE WHEN length(r) >= 2 THEN [{{'token': lower(r), 'kind': 'a'}}] END "
         f"WHEN length(r) = 1 THEN [{{'token': r, 'kind': 'u'}}] ELSE list_transform(range(1, length(r)), lambda i: {{'token': substr(r, i::INT, 2), 'kind': 'b'}}) END))"
     )
 
@@ -217,9 +216,6 @@ def s17_request_frames(spark, sf_dir):
     return ob.request_frames(lines)
 
 
-_ENVELOPED = "CASE WHEN turn % 3 = 0 THEN text ELSE json_object('project', CASE WHEN turn % 2 = 0 THEN 'alpha' ELSE '' END, 'project_source', role, 'result', text) END"
-
-
 @query("SELECT conv_id, turn, CASE WHEN turn % 3 <> 0 AND turn % 2 = 0 THEN 'alpha' END AS project, CASE WHEN turn % 3 <> 0 THEN role END AS project_source, text AS result FROM conversations")
 def s20_response_envelopes(spark, sf_dir):
     rows = read_table(spark, sf_dir, "conversations")
@@ -234,9 +230,6 @@ def s19_fallback_envelopes(spark, sf_dir):
     return rows.withColumn("e", ob.fallback_envelope(body)).select("conv_id", "turn", "e.id", "e.dropped_candidates")
 
 
-_STATUS = "CASE turn % 5 WHEN 0 THEN 200 WHEN 1 THEN 500 WHEN 2 THEN 404 WHEN 3 THEN 201 END"
-
-
 @query("SELECT conv_id, turn, CASE turn % 5 WHEN 0 THEN 'success' WHEN 1 THEN 'server' WHEN 2 THEN 'rejected' WHEN 3 THEN 'success-without-id' ELSE 'timeout' END AS outcome FROM conversations")
 def s18_write_outcomes(spark, sf_dir):
     rows = read_table(spark, sf_dir, "conversations")
@@ -332,17 +325,17 @@ def x28_blocks_to_text(spark, sf_dir):
     return rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(block)).alias("b"), F.count_if(F.col("role") != "system").alias("n")).where("n > 0").select("conv_id", tx.blocks_to_text(F.col("b")).alias("text"))
 
 
-@query("SELECT conv_id, turn, (1300 * turn)::BIGINT AS budget_ms, turn AS capacity, greatest(1, ceil(turn * 1300.0 / 1000))::BIGINT AS seconds FROM conversations WHERE turn > 0")
+@query("SELECT conv_id, turn, (1300 * turn)::BIGINT AS budget_ms, turn AS capacity, greatest(1, ceil(turn * 1300.0 / 1000))::BIGINT AS seconds FROM conversations")
 def x30_capacity(spark, sf_dir):
-    rows = read_table(spark, sf_dir, "conversations").where("turn > 0")
+    rows = read_table(spark, sf_dir, "conversations")
     budget = F.col("turn") * rq.MS_PER_DOC
     capacity = F.greatest(F.lit(0), F.floor(budget / F.lit(float(rq.MS_PER_DOC)))).cast("long")
     return rows.select("conv_id", "turn", budget.cast("long").alias("budget_ms"), capacity.alias("capacity"), F.greatest(F.lit(1), F.ceil(capacity * rq.MS_PER_DOC / F.lit(1000.0))).cast("long").alias("seconds"))
 
 
-@query("SELECT event_id, CASE WHEN value = floor(value) THEN printf('%.1f', value) ELSE value::VARCHAR END AS shown, printf('%.4f', value) AS four FROM events WHERE value < 1000")
+@query("SELECT event_id, CASE WHEN value = floor(value) THEN printf('%.1f', value) ELSE value::VARCHAR END AS shown, printf('%.4f', value) AS four FROM events")
 def x32_number_text(spark, sf_dir):
-    return read_table(spark, sf_dir, "events").where("value < 1000").select("event_id", tx.float_text(F.col("value")).alias("shown"), tx.score_text(F.col("value")).alias("four"))
+    return read_table(spark, sf_dir, "events").select("event_id", tx.float_text(F.col("value")).alias("shown"), tx.score_text(F.col("value")).alias("four"))
 
 
 @query("SELECT conv_id, turn, 'mem_' || role AS tool FROM conversations")
