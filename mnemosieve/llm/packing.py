@@ -226,35 +226,59 @@ def pack(rows: DataFrame, order: list[str], capacity: int = CAPACITY, length: st
 class Chunks(dict):
     """Ids of chunks between spaces as little-endian bytes. White space always parts tokens, so a text's ids are those of its chunks.
 
-    Two things make chunks recur more often without changing ids: A-Z is lower-cased in ASCII texts (the tokenizer lower-cases anyway),
-    and a full stop or comma between a letter and white space, a token of its own, becomes a chunk.
+    Two things make chunks recur more often without changing ids: A-Z is lower-cased (the tokenizer lower-cases anyway), and a run of ASCII
+    symbols (but apostrophes) between a letter and white space, always tokens of its own, becomes a chunk.
     """
 
-    MARK = re.compile(r"([.,])(?<=[a-zß-öø-ÿ][.,])(?=[ \n]|$)")
+    SYMBOL = r"[!-&(-/:-@\[-`{-~]"
+    MARK = re.compile(rf"({SYMBOL})(?<=[a-zß-öø-ÿ]{SYMBOL})({SYMBOL}*)(?=[ \n]|$)")
+    LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
+    LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
     def __init__(self, tokenizer) -> None:
         self.tokenizer, self.older = tokenizer, {}
+        ids = tokenizer.get_vocab(with_added_tokens=False)
+        self.last = np.zeros(max(ids.values()) + 1, bool)  # ids that end a word
+        self.last[[i for token, i in ids.items() if token.endswith("</w>")]] = True
+        self.special = [x.content for x in tokenizer.get_added_tokens_decoder().values()]  # a text that holds one is left as it is
 
     def learn(self, chunks: set[str]) -> None:
-        new = []
+        words, rest = [], []
         for x in chunks:
             if x in self.older:
                 self[x] = self.older[x]
+            elif self.LETTERS.fullmatch(x):
+                words.append(x)
             else:
-                new.append(x)
-        for chunk, coded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+                rest.append(x)
+        for at in range(0, len(words), 1000):  # words of letters alone are told apart in one text by the ids that end words
+            some = words[at : at + 1000]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = (np.flatnonzero(self.last[np.minimum(ids, len(self.last) - 1)]) + 1) * 4
+            if len(ends) != len(some):  # another kind of tokenizer
+                rest += some
+                continue
+            data, ends = ids.tobytes(), ends.tolist()
+            self.update(zip(some, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
+        for chunk, coded in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             self[chunk] = np.array(coded.ids, "<u4").tobytes()
 
+    def plain(self, text: str) -> str:
+        lower = text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").translate(self.LOWER).decode("utf-8", "surrogatepass")
+        return text if any(x in lower for x in self.special) else self.MARK.sub(r" \1\2", lower)
+
     def ids(self, texts: list[str]) -> list[bytes]:
         if len(self) > REMEMBERED:
             self.older = dict(self)
             self.clear()
-        parts = [self.MARK.sub(r" \1", x.lower() if x.isascii() else x).replace("\n", " ").replace("\t", " ").split(" ") for x in texts]
-        missing = set()
-        for x in parts:
-            missing.update(x)
-        self.learn(missing - self.keys())
-        return [b"".join(map(self.__getitem__, x)) for x in parts]
+        parts = [self.plain(x).replace("\n", " ").replace("\t", " ").split(" ") for x in texts]
+        found = [list(map(self.get, x)) for x in parts]
+        gaps = [[i for i, v in enumerate(x) if v is None] if None in x else () for x in found]
+        self.learn({x[i] for x, at in zip(parts, gaps, strict=True) for i in at})
+        for x, values, at in zip(parts, found, gaps, strict=True):
+            for i in at:
+                values[i] = self[x[i]]
+        return [b"".join(x) for x in found]
 
 
 def default_tokenizer() -> str:
