@@ -10,7 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mnemosieve.functions import requests as rq
@@ -435,9 +435,14 @@ def a14_lag(spark, sf_dir):
     return rt.index_lag(_earlier(spark, sf_dir), Corpus(spark, sf_dir).snapshot)
 
 
-@query("SELECT item_id AS id, text AS value FROM benchmark")
-def s13_ids(spark, sf_dir):
-    return read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("value")).orderBy("id")
+@query(f"WITH {_OBS} SELECT id, (row_number() OVER (ORDER BY id))::INT AS place FROM obs")
+def s13_doc_ids(spark, sf_dir):
+    """Ids in ascending order. The place is one more than the ids before it: those of earlier ranges, and the earlier ones of its own range."""
+    ids = Corpus(spark, sf_dir).snapshot.select("id").withColumn("range", F.floor(F.col("id") / 100_000))
+    sizes = ids.groupBy("range").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("range", "before")
+    place = F.row_number().over(Window.partitionBy("range").orderBy("id")) + F.col("before")
+    return ids.join(before, "range").select("id", place.cast("int").alias("place"))
 
 
 def _earlier(spark: SparkSession, sf_dir: str) -> DataFrame:
