@@ -42,7 +42,10 @@ def tokens(text: Column, unigrams: bool = False) -> Column:
         word = F.filter(F.array(one(F.lower(r), "a")), lambda x: F.length(r) >= 2)
         return F.when(r.rlike("^[0-9A-Za-z]"), word).when(F.length(r) == 1, F.array(one(r, "u"))).otherwise(pairs)
 
-    return F.flatten(F.transform(F.regexp_extract_all(text_of(text), F.lit(RUNS), F.lit(0)), run))
+    text = text_of(text)
+    mixed = F.flatten(F.transform(F.regexp_extract_all(text, F.lit(RUNS), F.lit(0)), run))
+    words = F.transform(F.regexp_extract_all(text, F.lit("[0-9A-Za-z]{2,}"), F.lit(0)), lambda r: one(F.lower(r), "a"))
+    return F.when(text.rlike(f"[{CJK}]"), mixed).otherwise(words)  # most texts have no CJK run and need no look at each word
 
 
 def distinct_tokens(text: Column) -> Column:

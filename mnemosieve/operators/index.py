@@ -25,9 +25,9 @@ def documents(snapshot: DataFrame) -> DataFrame:
 
 def postings(docs: DataFrame) -> DataFrame:
     """token, kind, doc_id, tf_title, tf_content. Rows meet by (token, kind, doc_id), already summed on the map side."""
-    marked = lambda c, title: F.transform(tokens(F.col(c)), lambda t: F.struct(t["token"].alias("token"), t["kind"].alias("kind"), F.lit(title).alias("title")))
-    rows = docs.select("doc_id", F.explode(F.concat(marked("title", True), marked("content", False))).alias("t"))
-    return rows.groupBy(F.col("t.token").alias("token"), F.col("t.kind").alias("kind"), "doc_id").agg(F.count_if("t.title").cast("int").alias("tf_title"), F.count_if(~F.col("t.title")).cast("int").alias("tf_content"))
+    found = lambda c, title: docs.select("doc_id", F.inline(tokens(F.col(c)))).withColumns({"t": F.lit(int(title)), "c": F.lit(int(not title))})
+    rows = found("title", True).unionByName(found("content", False))
+    return rows.groupBy("token", "kind", "doc_id").agg(F.sum("t").cast("int").alias("tf_title"), F.sum("c").cast("int").alias("tf_content"))
 
 
 def terms(posted: DataFrame) -> DataFrame:
