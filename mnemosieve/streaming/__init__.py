@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,3 +41,31 @@ def run_once(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Everything available, appended to a table at path, which is read back."""
     stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start().awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
+
+
+INSTRUMENTS = "session_id string, read_first long, blind long, unknown long, verdicts map<string, long>"
+
+
+def instruments(events: DataFrame) -> DataFrame:
+    """Counters of each session as they stand after each micro-batch. events: streaming, session_id, seq, kind (read, saved, verdict or end), ids, verb.
+    A session's ids and counts are its state, dropped when it ends; a verdict without ids leaves open what was read first."""
+    def update(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        known, counts, verbs = state.get if state.exists else ([], [0, 0, 0], [])
+        known, counts, verdicts = set(known), list(counts), dict.fromkeys(verbs[::2], 0) | {v: int(n) for v, n in zip(verbs[::2], verbs[1::2], strict=True)}
+        ended = False
+        for row in pd.concat(frames).sort_values("seq").itertuples():
+            ids = None if row.ids is None else [int(i) for i in row.ids]
+            if row.kind in ("read", "saved"):
+                known |= set(ids or ())
+            elif row.kind == "verdict":
+                verdicts[row.verb] = verdicts.get(row.verb, 0) + 1
+                counts[2 if ids is None else 0 if ids and known.issuperset(ids) else 1] += 1
+            ended |= row.kind == "end"
+        if ended:
+            state.remove()
+        else:
+            state.update((sorted(known), counts, [x for v, n in sorted(verdicts.items()) for x in (v, str(n))]))
+        yield pd.DataFrame({"session_id": [key[0]], "read_first": [counts[0]], "blind": [counts[1]], "unknown": [counts[2]], "verdicts": [verdicts]})
+
+    rows = events.select("session_id", "seq", "kind", "ids", "verb")
+    return rows.groupBy("session_id").applyInPandasWithState(update, INSTRUMENTS, "known array<long>, counts array<long>, verbs array<string>", "update", "NoTimeout")

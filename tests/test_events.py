@@ -72,3 +72,18 @@ def test_window_counters(spark, tmp_path):
     stream = streaming.counters(spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in"))
     got = streaming.run_once(stream, f"{tmp_path}/out", f"{tmp_path}/log")
     assert [(r["n"], r["total_value"]) for r in got.collect()] == [(2, 5.0)]
+
+
+def test_stream_instruments(spark, tmp_path):
+    schema = "session_id string, seq long, kind string, ids array<long>, verb string"
+    rows = [("a", 0, "saved", [1], None), ("a", 1, "read", [2], None), ("a", 2, "verdict", [1, 2], "supersedes"), ("a", 3, "verdict", [3, 4], "related"), ("a", 4, "verdict", None, "not_conflict"), ("b", 0, "verdict", [1], "related"), ("b", 1, "end", None, None)]
+    later = [("a", 5, "verdict", [2, 1], "not_conflict"), ("b", 2, "verdict", None, "related")]
+    got = {}
+    for i, batch in enumerate((rows, later)):
+        spark.createDataFrame(batch, schema).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+        stream = streaming.instruments(spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in"))
+        sink = stream.writeStream.outputMode("update").option("checkpointLocation", f"{tmp_path}/log").trigger(availableNow=True)
+        sink.foreachBatch(lambda df, _: got.update({r["session_id"]: r for r in df.collect()})).start().awaitTermination()
+    a, b = got["a"], got["b"]
+    assert (a["read_first"], a["blind"], a["unknown"], a["verdicts"]) == (2, 1, 1, {"supersedes": 1, "related": 1, "not_conflict": 2})
+    assert (b["read_first"], b["blind"], b["unknown"], b["verdicts"]) == (0, 0, 1, {"related": 1})
