@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnemosieve.llm.common import WordHasher, arrow_map, read_table, worker_state
+from mnemosieve.llm.common import WordHasher, arrow_map, bytes_of, read_table, worker_state
 from mnemosieve.llm.folds import fold, labelled, sample_ids, texts_of
 
 FIT_DOCS, LABELLED_DOCS, LONGEST = 4000, 8000, 200_000
@@ -42,8 +42,6 @@ class Terms:
         self.kind[48:58] = 48
 
     def read(self, text: pa.Array) -> np.ndarray:
-        from mnemosieve.llm.common import bytes_of
-
         n = len(text)
         out = np.zeros((n, TERMS), np.float32)
         word, start, end, first, folded = self.hasher.words(text)
