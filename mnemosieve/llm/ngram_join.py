@@ -382,29 +382,39 @@ def unshared_shingles(docs: DataFrame, words: int, total: int) -> DataFrame:
     return compared.repartition("slice").sortWithinPartitions("slice", "range").mapInArrow(add_up, "node long, n long, unshared long")
 
 
+def _row_key():
+    """Of a row with doc_id and text: two rows that differ in either share it with a chance of about 2**-64."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
 def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, region: int = REGION) -> DataFrame:
     """doc_id, n_shingles, component_id for each row."""
+    return _placed(docs, words, percent, region).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _placed(docs: DataFrame, words: int, percent: int, region: int = REGION) -> DataFrame:
+    """doc_id, row_key, n, component (a node; null without shingles), component_id for each row. Sets are known by their nodes, never by a doc_id."""
     spark = docs.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).withColumn("row_key", _row_key())
 
     def describe(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = worker_state("shingler", Shingler).sets(batch.column(1), words)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(nodes_of(sets)), pa.array([len(x) for x in sets], pa.int64())], ["doc_id", "node", "n"])
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(nodes_of(sets)), pa.array([len(x) for x in sets], pa.int64())], ["doc_id", "row_key", "node", "n"])
 
-    slim = written(arrow_map(docs, describe, "doc_id long, node long, n long"), "nodes-of-rows")
-    nodes = written(slim.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "nodes")
+    slim = written(arrow_map(docs, describe, "doc_id long, row_key long, node long, n long"), "nodes-of-rows")
+    nodes = written(slim.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.min("row_key").alias("row_key"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "nodes")
     total = slim.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     near = unshared_shingles(docs, words, total).where(f"n > 0 and unshared <= n - floor(({percent} * n + 99) / 100)").select("node").distinct()
-    wanted = written(nodes.where("rep is not null").join(near, "node").select(F.col("rep").alias("doc_id"), "node"), "wanted")
+    wanted = written(nodes.join(near, "node").select("row_key", "node"), "wanted")
 
     def describe_wanted(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = worker_state("shingler", Shingler).sets(batch.column(2), words)
-        rows = [(rep, node, len(x), x.astype("<u8").tobytes()) for rep, node, own, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), nodes_of(sets).tolist(), sets, strict=True) if own == node]
+        sets = worker_state("shingler", Shingler).sets(batch.column(1), words)
+        rows = [(node, node, len(x), x.astype("<u8").tobytes()) for node, own, x in zip(batch.column(0).to_pylist(), nodes_of(sets).tolist(), sets, strict=True) if own == node]
         return _arrays(["rep", "node", "n", "shingles"], rows, [*[pa.int64()] * 3, pa.binary()])
 
-    texts = docs.join(wanted.hint("merge"), "doc_id").select("doc_id", "node", "text").dropDuplicates(["doc_id", "node"])  # where they are
-    sets = written(arrow_map(texts, describe_wanted, "rep long, node long, n long, shingles binary"), "sets")
+    texts = docs.join(wanted.hint("merge"), "row_key").select("node", "text")  # where they are
+    sets = written(arrow_map(texts, describe_wanted, "rep long, node long, n long, shingles binary").dropDuplicates(["node"]), "sets")
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -438,19 +448,26 @@ def linked(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, region:
     if not large.isEmpty():
         links = links.unionByName(_large_regions(placed.where("large").drop("large"), large, percent, region))
     found = components(written(links, "links"))
-    groups = nodes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("node", "copies", F.coalesce("component", "rep").alias("component_id"))
+    joined = written(nodes.join(found.withColumnRenamed("id", "node"), "node", "left").select("node", "copies", "least", F.coalesce("component", "node").alias("component")), "joined")
+    several = joined.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("members"))
+    groups = attach_groups(joined.drop("least"), written(several, "components"), ["component"], "members").select("node", "copies", "component", "component_id")
     full = attach_groups(slim.where("n > 0"), written(groups, "groups"), ["node"], "copies")
-    empty = slim.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return full.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(empty)
+    columns = ["doc_id", "row_key", "n", "component", "component_id"]
+    empty = slim.where("n = 0").withColumns({"component": F.lit(None).cast("long"), "component_id": F.col("doc_id")})
+    return full.select(*columns).unionByName(empty.select(*columns))
 
 
 def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs of which one stays for each component: the one whose doc_id names it. Rows that repeat that doc_id leave one."""
-    keep = written(linked(docs, words, percent).where("component_id <=> doc_id").select(F.col("doc_id").alias("_id")).distinct(), "kept")
-    out = docs.join(keep, docs["doc_id"].eqNullSafe(keep["_id"]), "left_semi")
+    """The rows of docs of which one stays for each component: the one whose doc_id names it; one with a null doc_id where the component has no other.
+    A text without shingles is no near copy of another. Rows that repeat both doc_id and text leave one; those that share a doc_id only are kept apart."""
+    placed = written(_placed(docs, words, percent), "placed")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("r")
+    keep = placed.where("n > 0").groupBy("component").agg(first).select("r.row_key").unionByName(placed.where("n = 0").select("row_key"))
+    keep = written(keep.select(F.col("row_key").alias("_row_key")).distinct(), "kept")
+    out = docs.withColumn("_row_key", _row_key()).join(keep, "_row_key", "left_semi")
     if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
         return out.select(*docs.columns)
-    return out.dropDuplicates(["doc_id"]).select(*docs.columns)
+    return out.dropDuplicates(["_row_key"]).select(*docs.columns)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

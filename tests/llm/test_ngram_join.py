@@ -1,6 +1,6 @@
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -94,6 +94,21 @@ def test_representatives(spark):
     assert sorted(r["doc_id"] for r in out.collect()) == sorted({c for _, _, c in brute(copies())})
 
 
+def test_null_and_repeated_doc_ids(spark):
+    a, b = [f"a{i}" for i in range(40)], [f"b{i}" for i in range(40)]
+    changed = lambda w, k: " ".join([*w[:-k], *(f"x{i}" for i in range(k))])
+    rows = [
+        (7, " ".join(a)), (7, " ".join(b)), (3, changed(a, 2)), (9, changed(b, 2)), (None, "a text that nobody else has at all"), (None, "and one more of them without a number"),
+        (None, ""), (20, ""), (20, " "), (5, "one text under a number"), (5, "another text under that very number"), (5, "one text under a number"),
+        (30, " ".join(f"c{i}" for i in range(80))), (None, changed([f"c{i}" for i in range(80)], 4)), (31, changed([*"defg", *(f"c{i}" for i in range(4, 80))], 4)),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter((r["doc_id"], r["component_id"]) for r in nj.linked(docs).collect())
+    assert got == Counter([(7, 3), (7, 7), (3, 3), (9, 7), (None, None), (None, None), (None, None), (20, 20), (20, 20), (5, 5), (5, 5), (5, 5), (30, 30), (None, 30), (31, 30)])
+    kept = Counter(tuple(r) for r in nj.representatives(docs).collect())
+    assert kept == Counter([rows[2], rows[1], *rows[4:11], rows[12]])
+
+
 def test_region_join_against_all_pairs():
     r = np.random.default_rng(3)
     sets = []
