@@ -3,7 +3,9 @@
 Markup is stripped to lines, one for each block element. A line's length counts its text outside links; lines of elements that never hold
 main text (menus, headers, footers, sidebars, notices, adverts, forms, comments) keep their place with length 0. Sums of lengths over
 windows of WINDOW lines make the distribution: main text begins where the sum surges over a threshold and ends where it dives to nothing.
-The stretch with the most text is kept whole, and any other that has a fair share of it.
+The stretch with the most text tells the main container: all article and main elements if it stands in one, else the innermost element around
+it and all stretches with a fair share of it. Every line in the container that isn't marked is kept, whatever its length; outside of it, other stretches with a fair share of the largest.
+Lines that are links have length 0; they are kept in runs shorter than a window that stand among kept text, so a lone link stays and a list goes.
 
 Defined results: null or empty html, and html without text, give an empty text; broken and unclosed markup is read as far as it goes; a page
 whose only text stands in elements that never hold main text gives an empty text; repeated rows give repeated results; further columns are ignored.
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 
 from mnemosieve.llm.common import arrow_map, read_table
 
-#: Lines of a window; characters in a window at a surge; share of the largest stretch that another needs to be kept.
+#: Lines of a window; characters in a window at a surge; share of the largest stretch that another outside the main container needs to be kept.
 WINDOW, SURGE, SHARE = 3, 40, 0.3
 
 # Elements of HTML by their role.
@@ -49,12 +51,17 @@ def marked(attributes: str) -> bool:
     return any(MARKS.search(a or b or c) for a, b, c in ATTRIBUTE.findall(attributes))
 
 
-def lines(page: str) -> list[tuple[str, int]]:
-    """Lines of the page in order: the decoded text and the length that counts, 0 for what is not main text."""
-    out: list[tuple[str, int]] = []
+Line = tuple[str, int, bool, tuple[int, ...], bool]  # text, length that counts, denied, numbers of the block elements around it, whether in an article or main
+
+
+def lines(page: str) -> list[Line]:
+    """Lines of the page in order: the decoded text and the length that counts, 0 for links and for what is not main text."""
+    out: list[Line] = []
+    around: tuple[int, ...] = ()  # block elements that are open
+    opened = 0
     pieces: list[str] = []
     linked = at = 0
-    open_tags: list[tuple[str, int]] = []  # element; 1 drops its text, 2 denies it, 4 makes it a link
+    open_tags: list[tuple[str, int]] = []  # element; 1 drops its text, 2 denies it, 4 makes it a link, 8 is an article or main
     state = 0
 
     def put(text: str) -> None:
@@ -68,7 +75,8 @@ def lines(page: str) -> list[tuple[str, int]]:
         nonlocal linked
         text = " ".join(html.unescape("".join(pieces)).split()) if pieces else ""
         if text:
-            out.append((text, 0 if state & 2 else max(0, len(text) - (len(text) if linked >= 0.8 * len(text) and linked else 0))))
+            denied = bool(state & 2)
+            out.append((text, 0 if denied or linked and linked >= 0.8 * len(text) else len(text), denied, around, bool(state & 8)))
         pieces.clear()
         linked = 0
 
@@ -83,8 +91,12 @@ def lines(page: str) -> list[tuple[str, int]]:
             end_line()
         if closing:
             if any(x == name for x, _ in open_tags):
-                while open_tags.pop()[0] != name:
-                    pass
+                while True:
+                    last = open_tags.pop()[0]
+                    if last not in INLINE:
+                        around = around[:-1]
+                    if last == name:
+                        break
                 state = 0
                 for _, x in open_tags:
                     state |= x
@@ -94,15 +106,19 @@ def lines(page: str) -> list[tuple[str, int]]:
             at = found.end() if found else len(page) if name in ("script", "style") else at
             if found or name in ("script", "style"):
                 continue
-        kind = (1 if name in DROPPED else 0) | (2 if name in BOILERPLATE or attributes and name not in ("html", "body", "article", "main") and marked(attributes) else 0) | (4 if name == "a" else 0)
+        kind = (1 if name in DROPPED else 0) | (2 if name in BOILERPLATE or attributes and name not in ("html", "body", "article", "main") and marked(attributes) else 0) | (4 if name == "a" else 0) | (8 if name in ("article", "main") else 0)
         if name not in VOID and not attributes.rstrip().endswith("/"):
             if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and open_tags and open_tags[-1][0] == name:
                 open_tags.pop()
+                around = around[:-1]
                 state = 0
                 for _, x in open_tags:
                     state |= x
             open_tags.append((name, kind))
             state |= kind
+            if name not in INLINE:
+                opened += 1
+                around = (*around, opened)
     put(page[at:])
     end_line()
     return out
@@ -112,7 +128,7 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE, share: float
     found = lines(page)
     if not found:
         return ""
-    length = np.array([n for _, n in found], np.int64)
+    length = np.array([x[1] for x in found], np.int64)
     total = np.concatenate([[0], np.cumsum(length)])
     index = np.arange(len(length))
     block = total[np.minimum(index + window, len(length))] - total[index]  # of the window that begins at each line
@@ -134,7 +150,42 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE, share: float
         stretches.append((begin, end, int(total[end] - total[begin])))
         at = end
     most = max(n for *_, n in stretches)
-    return " ".join(found[i][0] for begin, end, n in stretches if n >= share * most for i in range(begin, end) if length[i])
+    keep = np.zeros(len(found), bool)
+    for begin, end, n in stretches:
+        if n >= share * most:
+            keep[begin:end] = True
+    begin, end, _ = max(stretches, key=lambda x: x[2])
+    inside = np.array([x[4] for x in found])
+    explicit = bool(inside[begin:end][length[begin:end] > 0].any())
+    if not explicit:
+        inside = within(found, np.flatnonzero(keep & (length > 0)).tolist())
+    keep = (keep | inside) & (length > 0)
+    return " ".join(found[i][0] for i in np.flatnonzero(keep | links_among(found, keep, inside, window, explicit)))
+
+
+def within(found: list[Line], some: list[int]) -> np.ndarray:
+    """Which lines stand in the innermost element around all of some lines; a single line's own element is not around it."""
+    paths = [found[i][3] for i in some]
+    first, last = min(paths), max(paths)
+    depth = next((k for k, (x, y) in enumerate(zip(first, last, strict=False)) if x != y), max(0, min(len(first), len(last)) - (len(paths) == 1)))
+    return np.array([x[3][:depth] == first[:depth] for x in found])
+
+
+def links_among(found: list[Line], keep: np.ndarray, inside: np.ndarray, window: int, explicit: bool) -> np.ndarray:
+    """Lines of the container that are links, in runs of fewer than a window between kept lines; in an article or main, beside one."""
+    out = np.zeros(len(found), bool)
+    at = 0
+    while at < len(found):
+        if keep[at] or found[at][2] or not inside[at]:
+            at += 1
+            continue
+        end = at
+        while end < len(found) and inside[end] and not keep[end] and not found[end][2]:
+            end += 1
+        beside = (at > 0 and bool(keep[at - 1])) + (end < len(found) and bool(keep[end]))
+        out[at:end] = end - at < window and beside >= (1 if explicit else 2)
+        at = end
+    return out
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -119,6 +119,34 @@ def test_html_distant_stretches():
     assert hx.main_text(f"<ul>{menu}</ul>{body}<ul>{menu}</ul>").startswith("Paragraph 0") and "Menu" not in hx.main_text(f"<ul>{menu}</ul>{body}<ul>{menu}</ul>")
 
 
+BOX = "<ul><li><a href='/1'>Read this</a></li><li><a href='/2'>Read that</a></li><li><a href='/3'>And this too</a></li></ul>"
+
+
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<main>{}</main>", "<div>{}</div>"])
+@pytest.mark.parametrize("closing", ["A closing part that is much shorter than the first part of the text.", "The end."])
+def test_html_parts_of_any_share(wrap, closing):
+    long = [f"Paragraph {i} of the first part, with some more words in it." for i in range(20)]
+    body = "".join(f"<p>{x}</p>" for x in long) + BOX + f"<p>{closing}</p>"
+    menu = "<ul><li><a>Home</a></li><li><a>News</a></li><li><a>More</a></li></ul>"
+    inside = wrap.format(body) if wrap[1:4] != "div" else f"<div><div>{''.join(f'<p>{x}</p>' for x in long)}<p>Break.</p>{BOX}</div></div>"
+    if wrap[1:4] == "div":
+        long, closing = [*long, "Break."], ""
+    assert hx.main_text(f"<body>{menu}{inside}<p>x</p></body>") == " ".join([*long, closing]).strip()
+
+
+def test_html_part_after_a_box_without_article():
+    long = [f"Paragraph {i} of the first part, with some more words in it." for i in range(20)]
+    assert hx.main_text(f"<body><p>{long[0]}</p>{BOX}<p>The end.</p></body>") == f"{long[0]} The end."
+    body = "<p>" + "</p><p>".join(long) + "</p>"
+    assert hx.main_text(f"<body>{body}{BOX}<p>The end.</p></body>") == " ".join([*long, "The end."])
+
+
+def test_html_lone_links():
+    text = "Some words of a text that is long enough to be kept as it is."
+    assert hx.main_text(f"<article><h1><a href='/'>A headline</a></h1><p>{text}</p><p><a href='/s'>The source of it</a></p><p>{text}</p></article>") == f"A headline {text} The source of it {text}"
+    assert hx.main_text(f"<div><a href='/'>Home</a></div><p>{text}</p><p><a href='/s'>The source of it</a></p><p>{text}</p>") == f"{text} The source of it {text}"
+
+
 def test_pages_keep_the_article(spark):
     import html
     import re
