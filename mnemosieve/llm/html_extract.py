@@ -1,7 +1,8 @@
 """Main text of web pages by the distribution of text over line blocks.
 
 Markup is stripped to lines, one for each block element. A line's length counts its text outside links; lines of elements that never hold
-main text (menus, headers, footers, sidebars, notices, adverts, forms, comments) keep their place with length 0. Sums of lengths over
+main text (menus, headers, footers, sidebars, notices, adverts, forms, comments) keep their place with length 0. Where only class, id or role say
+so, the mark counts for nothing on an element that holds most of the page's text, nor for an article or main inside it. Sums of lengths over
 windows of WINDOW lines make the distribution: main text begins where the sum surges over a threshold and ends where it dives to nothing.
 The stretch with the most text tells the main container: all article and main elements if it stands in one, else the innermost element around
 it and all stretches with a fair share of it. Every line in the container that isn't marked is kept, whatever its length; outside of it, other stretches with a fair share of the largest.
@@ -36,29 +37,72 @@ INLINE = {
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Parts of class, id and role values that mark an element as not main text.
 MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|notice|newsletter|subscribe|popup|modal|sidebar|side|widget|related|recommend\w*|share|social|"
+    r"(?:^|[\s_-])(ad|ads|advert\w*|sponsor\w*|promo\w*|banner|cookie\w*|consent|notice|newsletter|subscribe|popup|modal|sidebar|side|widget|related|recommend\w*|share|social|"
     r"breadcrumb\w*|menu|nav\w*|navbar|footer|masthead|topbar|header|comment\w*|replies|respond|disqus|pagination|pager|toc|search|login|complementary|contentinfo|alert|dialog)(?:$|[\s_-])", re.I,
 )
 ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+COMMENTS = re.compile(r"comment|replies|respond|disqus", re.I)
+QUOTED = re.compile(r"""(?<==)\s*(?:"[^"]*"|'[^']*')""")
 HIDDEN = re.compile(r"""\shidden(?:[\s=/>]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 TAG = re.compile(r"""<!--.*?(?:-->|$)|<(?:!|\?)[^>]*>?|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>""", re.S)
 RAW_END = {x: re.compile(rf"</{x}\s*>", re.I) for x in ("script", "style", "textarea", "title", "noscript", "template", "svg", "iframe")}
 
 
-def marked(attributes: str) -> bool:
-    if HIDDEN.search(attributes):
-        return True
-    return any(MARKS.search(a or b or c) for a, b, c in ATTRIBUTE.findall(attributes))
+def marked(attributes: str) -> int:
+    """2 if class, id or role mark the element, 4 if they mark it as comments, else 0."""
+    found = [x[1] for a, b, c in ATTRIBUTE.findall(attributes) for x in MARKS.finditer(a or b or c)]
+    return 0 if not found else 4 if any(COMMENTS.match(x) for x in found) else 2
 
 
-Line = tuple[str, int, bool, tuple[int, ...], bool]  # text, length that counts, denied, numbers of the block elements around it, whether in an article or main
+def keep_style(value: re.Match) -> str:
+    """A quoted value, but for words that are no declaration and no value of aria-hidden."""
+    return value[0] if ":" in value[0] or value[0][1:-1].strip().lower() == "true" else value[0][0] * 2
 
 
-def lines(page: str) -> list[Line]:
-    """Lines of the page in order: the decoded text and the length that counts, 0 for links and for what is not main text."""
+Line = tuple[str, int, bool, int, bool]  # text, length that counts, denied, number of the innermost element around it, whether in an article or main
+
+
+class Elements:
+    """Elements of a page by number, 0 for the page; a parent's number is less than its children's."""
+
+    def __init__(self) -> None:
+        self.parent, self.role = [0], [0]  # role: 1 an inline element, 2 marked, 4 marked as comments, 8 an article or main
+
+    def sums(self, own: list[int]) -> list[int]:
+        """For each element, the sum over it and all that it holds."""
+        out = list(own)
+        for e in range(len(out) - 1, 0, -1):
+            out[self.parent[e]] += out[e]
+        return out
+
+    def denied(self, text: list[int]) -> list[bool]:
+        """Which elements stand in a marked one. text: characters outside links directly in each element. A mark counts for nothing on an element
+        that holds most of the page's text while no article or main stands beside it, and not for an article or main inside; on comments, both only
+        where no article or main stands elsewhere."""
+        if not any(x & 6 for x in self.role):
+            return [False] * len(self.parent)
+        held = self.sums(text)
+        commented = [False] * len(self.parent)
+        for e in range(1, len(commented)):
+            commented[e] = commented[self.parent[e]] or bool(self.role[e] & 4)
+        apart = any(self.role[e] & 8 and held[e] and not commented[e] for e in range(len(commented)))
+        main = [int(bool(x & 8 and n)) for x, n in zip(self.role, held, strict=True)]
+        below, around, total = self.sums(main), [0] * len(main), sum(main)
+        out = [False] * len(self.parent)
+        for e in range(1, len(out)):
+            role, around[e] = self.role[e], around[self.parent[e]] + main[self.parent[e]]
+            beside = below[e] + around[e] < total
+            above = out[self.parent[e]] and not (role & 8 and not role & 4 and not (commented[e] and apart))
+            own = role & 8 == 0 and (role & 2 and (beside or held[e] * 2 <= held[0]) or role & 4 and (apart or held[e] * 10 <= 9 * held[0]))
+            out[e] = above or bool(own)
+        return out
+
+
+def lines(page: str) -> tuple[list[Line], Elements]:
+    """Lines of the page in order: the decoded text and the length that counts, 0 for links and for what is not main text; the page's elements."""
     out: list[Line] = []
-    around: tuple[int, ...] = ()  # block elements that are open
-    opened = 0
+    elements = Elements()
+    around = 0
     pieces: list[str] = []
     linked = at = 0
     open_tags: list[tuple[str, int]] = []  # element; 1 drops its text, 2 denies it, 4 makes it a link, 8 is an article or main
@@ -92,10 +136,8 @@ def lines(page: str) -> list[Line]:
         if closing:
             if any(x == name for x, _ in open_tags):
                 while True:
-                    last = open_tags.pop()[0]
-                    if last not in INLINE:
-                        around = around[:-1]
-                    if last == name:
+                    around = elements.parent[around]
+                    if open_tags.pop()[0] == name:
                         break
                 state = 0
                 for _, x in open_tags:
@@ -106,26 +148,30 @@ def lines(page: str) -> list[Line]:
             at = found.end() if found else len(page) if name in ("script", "style") else at
             if found or name in ("script", "style"):
                 continue
-        kind = (1 if name in DROPPED else 0) | (2 if name in BOILERPLATE or attributes and name not in ("html", "body", "article", "main") and marked(attributes) else 0) | (4 if name == "a" else 0) | (8 if name in ("article", "main") else 0)
+        kind = (1 if name in DROPPED else 0) | (2 if name in BOILERPLATE or attributes and name not in ("html", "body", "article", "main") and HIDDEN.search(QUOTED.sub(keep_style, attributes)) else 0) | (4 if name == "a" else 0) | (8 if name in ("article", "main") else 0)
         if name not in VOID and not attributes.rstrip().endswith("/"):
             if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") and open_tags and open_tags[-1][0] == name:
                 open_tags.pop()
-                around = around[:-1]
+                around = elements.parent[around]
                 state = 0
                 for _, x in open_tags:
                     state |= x
             open_tags.append((name, kind))
             state |= kind
-            if name not in INLINE:
-                opened += 1
-                around = (*around, opened)
+            elements.parent.append(around)
+            elements.role.append((1 if name in INLINE else 0) | (kind & 8) | (marked(attributes) if attributes and name not in ("html", "body") else 0))
+            around = len(elements.parent) - 1
     put(page[at:])
     end_line()
-    return out
+    text = [0] * len(elements.parent)
+    for _, n, _, e, _ in out:
+        text[e] += n
+    denied = elements.denied(text)
+    return [(x, 0 if denied[e] else n, hard or denied[e], e, inside) for x, n, hard, e, inside in out], elements
 
 
 def main_text(page: str, window: int = WINDOW, surge: int = SURGE, share: float = SHARE) -> str:
-    found = lines(page)
+    found, elements = lines(page)
     if not found:
         return ""
     length = np.array([x[1] for x in found], np.int64)
@@ -158,17 +204,25 @@ def main_text(page: str, window: int = WINDOW, surge: int = SURGE, share: float
     inside = np.array([x[4] for x in found])
     explicit = bool(inside[begin:end][length[begin:end] > 0].any())
     if not explicit:
-        inside = within(found, np.flatnonzero(keep & (length > 0)).tolist())
+        inside = within(found, elements, np.flatnonzero(keep & (length > 0)).tolist())
     keep = (keep | inside) & (length > 0)
     return " ".join(found[i][0] for i in np.flatnonzero(keep | links_among(found, keep, inside, window, explicit)))
 
 
-def within(found: list[Line], some: list[int]) -> np.ndarray:
+def within(found: list[Line], elements: Elements, some: list[int]) -> np.ndarray:
     """Which lines stand in the innermost element around all of some lines; a single line's own element is not around it."""
-    paths = [found[i][3] for i in some]
-    first, last = min(paths), max(paths)
-    depth = next((k for k, (x, y) in enumerate(zip(first, last, strict=False)) if x != y), max(0, min(len(first), len(last)) - (len(paths) == 1)))
-    return np.array([x[3][:depth] == first[:depth] for x in found])
+    count = [0] * len(elements.parent)
+    for i in some:
+        count[found[i][3]] += 1
+    container = max(e for e, n in enumerate(elements.sums(count)) if n == len(some))
+    while container and elements.role[container] & 1:
+        container = elements.parent[container]
+    if len(some) == 1:
+        container = elements.parent[container]
+    under = [False] * len(count)
+    for e in range(len(count)):
+        under[e] = e == container or under[elements.parent[e]]
+    return np.array([under[x[3]] for x in found])
 
 
 def links_among(found: list[Line], keep: np.ndarray, inside: np.ndarray, window: int, explicit: bool) -> np.ndarray:

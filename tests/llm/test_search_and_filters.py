@@ -147,6 +147,25 @@ def test_html_lone_links():
     assert hx.main_text(f"<div><a href='/'>Home</a></div><p>{text}</p><p><a href='/s'>The source of it</a></p><p>{text}</p>") == f"{text} The source of it {text}"
 
 
+@pytest.mark.parametrize("name", ["content with-sidebar", "layout has-sidebar", "no-header page", "box hidden box2", "share", "has-comments"])
+def test_html_marked_wrappers(name):
+    text = "Some words of a text that is long enough to be kept as it is, and more."
+    side = "<div class='sidebar'>A side box with some text</div>"
+    assert hx.main_text(f'<div class="{name}"><article><h1>Head</h1><p>{text}</p></article>{side}</div>') == f"Head {text}"
+    assert hx.main_text(f'<div class="{name}"><main><p>{text}</p></main></div>') == text
+    assert hx.main_text(f'<div class="{name}"><div><p>{text}</p><p>{text}</p></div></div>') == f"{text} {text}"
+    assert hx.main_text(f'<div><p>{text}</p><p>{text}</p></div><div class="sidebar">{text}</div>') == f"{text} {text}"
+
+
+def test_html_what_stays_marked():
+    text = "Some words of a text that is long enough to be kept as it is, and more."
+    comments = f"<div id='comments'><article>{'A comment of many words. ' * 20}</article></div>"
+    assert hx.main_text(f"<article><p>{text}</p></article>{comments}") == text
+    assert hx.main_text(f"<div><p>{text}</p></div><div id='comments'>{text}{text}</div>") == text
+    for hide in ("hidden", 'aria-hidden="true"', "style='display: none'", "class=x hidden"):
+        assert hx.main_text(f"<div {hide}><article>{text}</article></div>") == ""
+
+
 def test_pages_keep_the_article(spark):
     import html
     import re
