@@ -5,7 +5,8 @@ several widths slide over the words, each filter's largest response over the who
 are linear in the embeddings, a trained model is two tables of responses, and scoring is looking up, adding and taking maxima.
 
 Thresholds are calibrated by language, which is read off the text's function words; the score is shifted so that every language's threshold
-falls on THRESHOLD. Training: at most TRAIN_DOCS labelled documents of each class, those with the smallest hashes of doc_id.
+falls on THRESHOLD. Training: at most TRAIN_DOCS labelled documents of each class, those with the smallest hashes of doc_id. Calibration: all
+labelled documents that may be learned from, each by a network that hasn't learned from it, so the classes count as often as they occur.
 
 Defined results: null counts as empty; an empty text has the score of no response; repeated rows score alike; texts are read whole, in pieces of
 bounded size; with no labelled document of one class every score is 0; an empty table gives no rows; further columns are ignored.
@@ -18,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnemosieve.llm.common import WordHasher, arrow_map, read_table, worker_state
+from mnemosieve.llm.common import WordHasher, arrow_map, read_table, worker_state, written
 from mnemosieve.llm.folds import fold, labelled, sample_ids, texts_of
 
 TRAIN_DOCS, LONGEST = 2500, 200_000
@@ -30,6 +31,8 @@ EPOCHS, BATCH, RATE, SEED = 6, 50, 0.08, 11
 STEPS = 200
 #: Root of a log-likelihood ratio that chance rarely reaches; parts of the sample that take turns to set the thresholds.
 SURELY, PARTS = 3.2, 4
+#: Width of a bin of logits, which end at +-END; labelled ids up to which they are sent to the texts instead of joined with the logits.
+BIN, END, SENT = 0.01, 40, 1_000_000
 #: Words whose responses are held at once.
 CHUNK = 50_000
 
@@ -198,11 +201,12 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
     return net
 
 
-def best_threshold(logit: np.ndarray, label: np.ndarray) -> float:
-    """The middle of the gap at which F1 is largest."""
+def best_threshold(logit: np.ndarray, label: np.ndarray, times: np.ndarray | None = None) -> float:
+    """The middle of the gap at which F1 is largest. times: how many documents each logit stands for."""
+    times = np.ones(len(logit)) if times is None else times
     order = np.argsort(-logit)
-    hits = np.cumsum(label[order])
-    f1 = 2 * hits / (np.arange(1, len(order) + 1) + label.sum())
+    hits = np.cumsum((label * times)[order])
+    f1 = 2 * hits / (np.cumsum(times[order]) + (label * times).sum())
     f1[:-1][logit[order][:-1] == logit[order][1:]] = -1
     i = int(np.flatnonzero(f1 >= f1.max() - 1e-12)[-1])
     low = logit[order][i + 1] if i + 1 < len(order) else logit[order][i] - 2
@@ -236,12 +240,41 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
         rest, own = np.flatnonzero(part != k), np.flatnonzero(part == k)
         if len(set(y[rest])) == 2 and len(own):
             logit[own] = _logits_of(train([ids[i] for i in rest], y[rest]).tables(), [ids[i] for i in own])
-    overall = best_threshold(logit, y)
-    enough = [(y[language == k] == 1).sum() >= 20 and (y[language == k] == 0).sum() >= 20 for k in range(LANGUAGES)]
-    at = [best_threshold(logit[language == k], y[language == k]) if enough[k] else overall for k in range(LANGUAGES)]
+    times = np.ones(len(y))
+    rest = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(int(x["doc_id"]),) for x in table], "doc_id long").distinct()), "doc_id", "left_anti")
+    binned = _binned(docs, written(rest, "calibration-labels"), tables)
+    if binned:
+        more = np.array([(r["language"], r["label"], r["bin"] * BIN, r["count"]) for r in binned], np.float64)
+        language, y = np.concatenate([language, more[:, 0].astype(int)]), np.concatenate([y, more[:, 1]])
+        logit, times = np.concatenate([logit, more[:, 2]]), np.concatenate([times, more[:, 3]])
+    overall = best_threshold(logit, y, times)
+    own = [language == k for k in range(LANGUAGES)]
+    enough = [times[x & (y == 1)].sum() >= 20 and times[x & (y == 0)].sum() >= 20 for x in own]
+    at = [best_threshold(logit[x], y[x], times[x]) if good else overall for x, good in zip(own, enough, strict=True)]
     return tables | {"shift": np.array(at) - np.log(THRESHOLD / (1 - THRESHOLD))}
 
 
+def _binned(docs: DataFrame, labels: DataFrame, tables: dict) -> list:
+    """language, label, bin and count over all documents with one of the labels (doc_id, label): a bounded number of rows."""
+    n = labels.count()
+    if not n:
+        return []
+    sent = docs.sparkSession.sparkContext.broadcast(tables)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        words, stems, first, language = worker_state("toxicity_reader", Reader).read(batch.column(1))
+        place = np.round(np.clip(logits(sent.value, words, stems, first), -END, END) / BIN)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(language.astype(np.int32), pa.int32()), pa.array(place.astype(np.int64))], ["doc_id", "language", "bin"])
+
+    schema = "doc_id long, language int, bin long"
+    if n <= SENT:
+        found = arrow_map(docs.join(F.broadcast(labels.select("doc_id")), "doc_id", "left_semi"), run, schema).join(F.broadcast(labels), "doc_id")
+    else:  # texts stay where they are
+        found = arrow_map(docs, run, schema).join(labels, "doc_id")
+    return found.groupBy("language", "label", "bin").count().orderBy("language", "label", "bin").collect()
+
+
 def _logits_of(tables: dict, docs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     first = np.concatenate([[0], np.cumsum([len(w) for w, _ in docs])]).astype(np.int64)
     return logits(tables, np.concatenate([w for w, _ in docs]), np.concatenate([x for _, x in docs]), first)

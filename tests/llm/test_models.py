@@ -148,3 +148,27 @@ def test_pooling_in_pieces(monkeypatch):
     for i, n in enumerate(sizes):
         alone = toxicity.pooled(tables, w[first[i] : first[i + 1]], s[first[i] : first[i + 1]], np.array([0, n]))
         assert np.allclose(whole[i], alone[0])
+
+
+@pytest.mark.parametrize("sent", [1_000_000, 0])
+def test_thresholds_come_from_all_labelled_rows(spark, monkeypatch, sent):
+    docs, labels, truth = corpus(spark)
+    seen, best = [], toxicity.best_threshold
+
+    def spy(logit, label, times=None):
+        times = np.ones(len(logit)) if times is None else times
+        seen.append((times[label == 1].sum(), times[label == 0].sum()))
+        return best(logit, label, times)
+
+    monkeypatch.setattr(toxicity, "best_threshold", spy)
+    monkeypatch.setattr(toxicity, "SENT", sent, raising=False)
+    toxicity.fit(docs, labels, train_docs=60)
+    own = [t for i, _, t in truth if zlib.crc32(str(i).encode()) % toxicity.FOLDS != toxicity.HELD_OUT]
+    assert seen[0] == (sum(own), len(own) - sum(own))
+
+
+def test_threshold_weighs_documents():
+    logit, label = np.array([3.0, 2.0, 1.0, 0.0, -1.0]), np.array([1.0, 1.0, 0.0, 1.0, 0.0])
+    assert -1 < toxicity.best_threshold(logit, label) < 0
+    assert 1 < toxicity.best_threshold(logit, label, np.array([1, 1, 10, 1, 10.0])) < 2
+    assert toxicity.best_threshold(logit, label, np.array([1, 1, 2, 1, 1.0])) == toxicity.best_threshold(logit[[0, 1, 2, 2, 3, 4]], label[[0, 1, 2, 2, 3, 4]])
