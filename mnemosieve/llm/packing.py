@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 from mnemosieve.llm.common import arrow_map, worker_state, written
 
 CAPACITY, END_ID = 4096, 1
-#: Lengths the search may look at after the best-fit start (nodes times different lengths), fillings of one sequence it compares, rows ranked by one task.
-WORK, FILLINGS, RANK_ROWS = 600_000, 24, 100_000
+#: Nodes the search may visit after the best-fit start, however many lengths there are; fillings of one sequence it compares, for many pieces and for
+#: at most FEW, which are searched one by one; rows ranked by one task.
+NODES, FILLINGS, ALL_FILLINGS, FEW, RANK_ROWS = 2000, 48, 1000, 64, 100_000
 #: Chunks a worker remembers the ids of in each of two generations, some 200 bytes each.
 REMEMBERED = 300_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -78,11 +79,15 @@ def best_fit(counts: dict[int, int], capacity: int) -> Plan:
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
     """The larger of the volume bound and, over every limit k, the bound that items over capacity - k stand alone and those over half don't pair."""
-    if not counts:
-        return 0
     n = np.zeros(capacity + 1, np.int64)
     for length, c in counts.items():
         n[length] = c
+    return _bound(n, capacity)
+
+
+def _bound(n: np.ndarray, capacity: int) -> int:
+    if not n.any():
+        return 0
     many, volume = np.cumsum(n), np.cumsum(n * np.arange(capacity + 1))
     k = np.arange(capacity // 2 + 1)
     half = capacity // 2
@@ -105,24 +110,25 @@ def dominates(a: Pattern, b: Pattern) -> bool:
 
 
 def fillings(counts: dict[int, int], lengths: list[int], residue: int, most: int) -> list[Pattern]:
-    """Undominated fillings of the residue, least waste first. lengths: ascending, those that remain."""
+    """Undominated among at most `most` fillings of the residue, least waste first. lengths: ascending, those that remain. Every length and every
+    multiplicity is a branch; the first branch may take half of what is left to find, so fillings differ from their longest item on."""
     found: list[tuple[int, Pattern]] = []
 
-    def walk(below: int, residue: int, pattern: Pattern) -> None:
+    def walk(below: int, residue: int, pattern: Pattern, most: int) -> int:
         at = min(bisect_left(lengths, residue + 1), below)
         if not at:
             found.append((residue, pattern))
-            return
-        for i in range(at - 1, max(-1, at - 4), -1):
-            if len(found) >= most:
-                return
+            return 1
+        done = 0
+        for i in range(at - 1, -1, -1):
             length = lengths[i]
-            k = min(counts[length], residue // length)
-            walk(i, residue - k * length, (*pattern, (length, k)))
-            if k > 1:
-                walk(i, residue - length, (*pattern, (length, 1)))
+            for k in range(min(counts[length], residue // length), 0, -1):
+                if done >= most:
+                    return done
+                done += walk(i, residue - k * length, (*pattern, (length, k)), (most - done + 1) // 2)
+        return done
 
-    walk(len(lengths), residue, ())
+    walk(len(lengths), residue, (), most)
     kept: list[tuple[int, Pattern]] = []
     for waste, pattern in sorted(set(found), key=lambda x: (x[0], sum(k for _, k in x[1]))):
         if not any(p == pattern or dominates(p, pattern) for _, p in kept):
@@ -130,40 +136,73 @@ def fillings(counts: dict[int, int], lengths: list[int], residue: int, most: int
     return [p for _, p in kept]
 
 
-def complete(counts: dict[int, int], capacity: int = CAPACITY, work: int = WORK) -> Plan:
-    """Bin completion: fill the sequence of the largest item, branch over its undominated fillings, prune by waste, finish by best fit."""
+class Remaining:
+    """Items that aren't packed yet: one histogram, changed and changed back along the search."""
+
+    def __init__(self, counts: dict[int, int], capacity: int) -> None:
+        self.capacity, self.counts, self.lengths = capacity, dict(counts), sorted(counts)
+        self.array = np.zeros(capacity + 1, np.int64)
+        for length, n in counts.items():
+            self.array[length] = n
+
+    def add(self, pattern: Pattern, times: int) -> None:
+        """times < 0 takes the pattern's items away."""
+        for length, k in pattern:
+            before = self.counts.get(length, 0)
+            after = before + k * times
+            self.array[length] = after
+            if after:
+                self.counts[length] = after
+                if not before:
+                    insort(self.lengths, length)
+            else:
+                del self.counts[length], self.lengths[bisect_left(self.lengths, length)]
+
+    def moves(self, one_by_one: bool) -> list[tuple[Pattern, int]]:
+        """Sequences of the largest item with a filling, and how often each may be filled: as often as it lasts first, then once."""
+        largest = self.lengths[-1]
+        self.add(((largest, 1),), -1)
+        found = fillings(self.counts, self.lengths, self.capacity - largest, ALL_FILLINGS if one_by_one else FILLINGS)
+        self.add(((largest, 1),), 1)
+        patterns = [((largest, 1 + filling[0][1]), *filling[1:]) if filling and filling[0][0] == largest else ((largest, 1), *filling) for filling in found]
+        often = [min(self.counts[x] // k for x, k in p) for p in patterns]
+        return [(p, 1 if one_by_one else n) for p, n in zip(patterns, often, strict=True)] + [(p, 1) for p, n in zip(patterns, often, strict=True) if n > 1 and not one_by_one]
+
+
+def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODES) -> Plan:
+    """Bin completion: fill the sequence of the largest item, branch over its undominated fillings, prune by waste and bound, finish by best fit."""
     counts = {x: n for x, n in counts.items() if n}
     best, least = best_fit(counts, capacity), lower_bound(counts, capacity)
+    fewest = bins(best)
+    if fewest <= least:
+        return best
     volume = sum(x * n for x, n in counts.items())
-    one_by_one = sum(counts.values()) <= 64
-    stack: list[tuple[dict[int, int], Plan, int]] = [(counts, [], 0)]
-    while stack and work > 0 and bins(best) > least:
-        left, plan, waste = stack.pop()
-        work -= max(1, len(left))
-        if waste > (bins(best) - 1) * capacity - volume:
-            continue
-        if not left:
-            best = plan
-            continue
-        finished = plan + best_fit(left, capacity)
-        if bins(finished) < bins(best):
-            best = finished
-        largest = max(left)
-        rest = dict(left)
-        rest[largest] -= 1
-        lengths = sorted(x for x, n in rest.items() if n)
-        for filling in reversed(fillings(rest, lengths, capacity - largest, FILLINGS)):
-            pattern = Counter({largest: 1})
-            for x, k in filling:
-                pattern[x] += k
-            times = 1 if one_by_one else min(left[x] // k for x, k in pattern.items())
-            after = dict(left)
-            for x, k in pattern.items():
-                after[x] -= k * times
-                if not after[x]:
-                    del after[x]
-            unused = capacity - sum(x * k for x, k in pattern.items())
-            stack.append((after, [*plan, (tuple(sorted(pattern.items(), reverse=True)), times)], waste + unused * times))
+    one_by_one = sum(counts.values()) <= FEW
+    left, plan, used, waste = Remaining(counts, capacity), [], 0, 0
+    stack = [iter(left.moves(one_by_one))]
+    while stack and nodes > 0 and fewest > least:
+        move = next(stack[-1], None)
+        if move is None:
+            stack.pop()
+        else:
+            nodes -= 1
+            pattern, times = move
+            left.add(pattern, -times)
+            plan.append(move)
+            used += times
+            waste += times * (capacity - sum(x * k for x, k in pattern))
+            if waste <= (fewest - 1) * capacity - volume and used + _bound(left.array, capacity) < fewest:
+                end = best_fit(left.counts, capacity)
+                if used + bins(end) < fewest:
+                    best, fewest = [*plan, *end], used + bins(end)
+                if left.counts:
+                    stack.append(iter(left.moves(one_by_one)))
+                    continue
+        if plan:
+            pattern, times = plan.pop()
+            left.add(pattern, times)
+            used -= times
+            waste -= times * (capacity - sum(x * k for x, k in pattern))
     return best
 
 

@@ -113,3 +113,16 @@ def test_sequences_and_empty_table(spark):
     assert len(seq) == 1 and sorted(seq[0]["doc_ids"]) == [1, 2, 3] and seq[0]["input_ids"].count(1) >= 3
     assert pk.packed_documents(docs.limit(0)).count() == 0
     assert pk.packed_documents(docs.withColumn("offset", F.lit("clash"))).count() == 3
+
+
+def test_fillings_take_every_length_and_multiplicity():
+    assert pk.fillings({6: 3, 4: 2}, [4, 6], 20, 48)[0] == ((6, 2), (4, 2))
+    assert pk.fillings({90: 1, 89: 1, 88: 1, 87: 1, 60: 1, 40: 1}, [40, 60, 87, 88, 89, 90], 100, 48)[0] == ((60, 1), (40, 1))
+
+
+def test_search_does_not_shrink_with_more_lengths():
+    r = random.Random(7)
+    counts = Counter(r.randint(800, 2300) for _ in range(20_000))
+    plan = pk.complete(counts)
+    check_plan(counts, plan, 4096)
+    assert pk.bins(plan) < pk.bins(pk.best_fit(counts, 4096)) - 10
