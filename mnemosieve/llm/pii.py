@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnemosieve.llm.common import arrow_map, read_table
+from mnemosieve.llm.common import arrow_map, read_table, written
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents the field is fitted on; rounds of message passing; probability an added span needs.
@@ -167,9 +167,20 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 
 def fit(docs: DataFrame, most: int = TRAIN_DOCS) -> tuple[np.ndarray, np.ndarray, float] | None:
-    """Weights of features, of neighbours and of skips, from the pattern spans of `most` documents (the smallest hashes of doc_id)."""
-    ids = docs.where(F.col("text").rlike("[0-9@+]")).select(F.col("doc_id").alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(most)
-    sample = docs.join(F.broadcast(ids.distinct()), docs["doc_id"] == F.col("_id"), "left_semi")
+    """Weights of features, of neighbours and of skips, from the pattern spans of at most `most` documents for each kind that hold it, found over all
+    documents, and as many that only hold a digit, @ or + (those with the smallest hashes of doc_id and text)."""
+    key = F.xxhash64(F.col("doc_id"), F.col("text"))
+    marked = docs.where(F.col("text").rlike("[0-9@+]")).withColumn("_key", key)
+
+    def kinds(batch: pa.RecordBatch) -> pa.RecordBatch:
+        held = [sum(1 << k for k, spans in enumerate(base_spans(x)) if spans) for x in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.int32())], ["_key", "_held"])
+
+    held = written(arrow_map(marked.select("_key", "text"), kinds, "_key long, _held int"), "pii-kinds")
+    ids = held.where("_held = 0").select("_key").distinct().orderBy("_key").limit(most)
+    for k in range(len(KINDS)):
+        ids = ids.unionByName(held.where(F.col("_held").bitwiseAND(1 << k) != 0).select("_key").distinct().orderBy("_key").limit(most))
+    sample = marked.join(F.broadcast(ids.distinct()), "_key", "left_semi")
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         graph = Graph()

@@ -172,3 +172,12 @@ def test_threshold_weighs_documents():
     assert -1 < toxicity.best_threshold(logit, label) < 0
     assert 1 < toxicity.best_threshold(logit, label, np.array([1, 1, 10, 1, 10.0])) < 2
     assert toxicity.best_threshold(logit, label, np.array([1, 1, 2, 1, 1.0])) == toxicity.best_threshold(logit[[0, 1, 2, 2, 3, 4]], label[[0, 1, 2, 2, 3, 4]])
+
+
+def test_field_learns_kinds_that_are_rare(spark):
+    rows = [(i, f"{i} days and {i % 7} nights") for i in range(3000)] + [(None, "call +1 (988) 555-2485 now"), (5000, "pay with 4111 1111 1111 1111 here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pii.fit(docs, 20)
+    assert model is not None
+    near = np.exp(model[0]).sum(0)
+    assert all(np.abs(model[0][:, pii.KINDS.index(k) + 1]).max() > 0.1 for k in ("card", "phone")) and np.isfinite(near).all()
