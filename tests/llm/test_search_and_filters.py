@@ -166,16 +166,62 @@ def test_html_what_stays_marked():
         assert hx.main_text(f"<div {hide}><article>{text}</article></div>") == ""
 
 
-def test_pages_keep_the_article(spark):
+LONG = "Some words of a text that is long enough to be kept as it is, and more of them."
+
+
+@pytest.mark.parametrize("closing", ["A closing paragraph of the article.", "The end."])
+def test_html_after_an_aside(closing):
+    aside = "<aside>" + "".join(f"<p>Line {i} of the aside, which has some text too.</p>" for i in range(4)) + "</aside>"
+    for page in ("<article>{}</article>", "<body>{}</body>", "<body><div>{}</div><footer>Foot</footer></body>", "{}"):
+        assert hx.main_text(page.format(f"<p>{LONG}</p><p>{LONG}</p>{aside}<p>{closing}</p>")) == f"{LONG} {LONG} {closing}"
+
+
+def test_html_parts_of_an_article():
+    assert hx.main_text(f"<article><p>{LONG}</p><ul><li>An item</li><li><a href='/x'>An item that is a link</a></li><li>A third</li></ul><p>{LONG}</p></article>") == f"{LONG} An item An item that is a link A third {LONG}"
+    assert hx.main_text(f"<div><p>{LONG}</p><ul><li>An item</li><li><a href='/x'>A link</a></li><li>A third</li></ul><p>{LONG}</p></div>") == f"{LONG} An item A link A third {LONG}"
+    assert hx.main_text(f"<header>Site</header><article><header><h1>The title</h1></header><p>{LONG}</p></article>") == f"The title {LONG}"
+    assert hx.main_text(f"<article><p>{LONG}</p><p class='related-work'>{LONG} Related.</p><h2 class='notice'>Head</h2></article>") == f"{LONG} {LONG} Related. Head"
+    assert hx.main_text(f"<article><p>{LONG}</p><div class='ad'>Buy this.</div><section id=comments>{LONG}</section><p>{LONG}</p></article>") == f"{LONG} {LONG}"
+
+
+def article_of(page):
     import html
     import re
 
+    article = re.search(r"<article>(.*?)(</article>|$)", page, re.S)[1]
+    return " ".join(" ".join(html.unescape(b).split()) for b in re.split(r"</?(?:p|h1|br|li|ul)\b[^>]*>", re.sub(r"</?b>", "", article)) if b.split())
+
+
+def test_html_distribution_decides(spark, monkeypatch):
+    from tests.conftest import DATA
+
+    pages = [r["html"] for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()]
+    assert all(" ".join(x.text for x in hx.lines(p)[0] if x.length) != article_of(p) for p in pages)  # all text outside links is too much
+    monkeypatch.setattr(hx, "APART", set())
+    assert sum(hx.main_text(p, marks=False) == article_of(p) for p in pages) >= 0.9 * len(pages)  # windows alone tell the article
+    boxes = [p.replace("<article>", "<div>").replace("</article>", "</div>") for p in pages]
+    assert sum(hx.main_text(b, marks=False) == article_of(p) for p, b in zip(pages, boxes, strict=True)) > 0.7 * len(pages)
+    monkeypatch.undo()
+    assert sum(hx.main_text(b) == article_of(p) for p, b in zip(pages, boxes, strict=True)) > 0.95 * len(pages)
+
+
+@pytest.mark.parametrize("page", [
+    "<a " * 350_000, "<div>" * 100_000 + "</p>" * 100_000, '<a href="x>' * 90_000, '<a href="' * 100_000, "<title>" * 140_000, "<!--" * 250_000, "<" * 500_000, "<a " + "=" * 500_000 + ">",
+    "<div><p>x" * 50_000, "<a b='\">" * 120_000, '<div class="' + "ad- " * 200_000 + '">x</div>', "<script>" * 100_000, "<b><p>" * 80_000 + "</b>" * 80_000,
+], ids=range(13))
+def test_html_hostile_pages_take_linear_time(page):
+    import time
+
+    begin = time.process_time()
+    hx.main_text(page)
+    assert time.process_time() - begin < 4
+
+
+def test_pages_keep_the_article(spark):
     from tests.conftest import DATA
 
     rows = spark.read.parquet(f"{DATA}/pages.parquet")
     pages = {r["page_id"]: r["html"] for r in rows.collect()}
     for r in hx.extracted(rows).collect():
-        article = re.search(r"<article>(.*?)(</article>|$)", pages[r["page_id"]], re.S)[1]
-        want = " ".join(" ".join(html.unescape(b).split()) for b in re.split(r"</?(?:p|h1|br|li|ul)\b[^>]*>", re.sub(r"</?b>", "", article)) if b.split())
-        assert r["text"] == want
+        assert r["text"] == article_of(pages[r["page_id"]])
     assert rows.select(F.col("page_id")).count() == len(pages)
