@@ -73,23 +73,30 @@ def lower_ascii(column):
     return F.translate(column, UPPER, LOWER)
 
 
+#: Rows of a group that stay together in a join at most.
+TOGETHER = 1_000_000
+
+
 def hot_limit(rows: int, groups: int = 2000) -> int:
     """Groups of more rows than this are hot; there are at most `groups` of them, whatever the input's size."""
     return max(1000, rows // groups)
 
 
-def attach_groups(df: DataFrame, groups: DataFrame, keys: list[str], size: str) -> DataFrame:
+def attach_groups(df: DataFrame, groups: DataFrame, keys: list[str], size: str, together: int = TOGETHER) -> DataFrame:
     """df with the columns of its group. Groups over the hot limit, of which at most 2000 can exist, are broadcast, so their rows stay
-    where they are; the others are joined by a shuffle in which no key has more rows than the limit. groups has one row per key."""
+    where they are; the others are joined by a shuffle, in shares of about `together` rows of a key at most. groups has one row per key."""
     limit = hot_limit(groups.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0])
-    hot = groups.where(F.col(size) > limit)
+    hot, cold = groups.where(F.col(size) > limit), groups.where(F.col(size) <= limit)
+    shares, by = -(-limit // together), keys
+    if shares > 1:  # a key below the limit may still be more than a task should hold
+        df, cold, by = df.withColumn("_share", F.pmod(F.monotonically_increasing_id(), F.lit(shares))), cold.withColumn("_share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long")))), [*keys, "_share"]
     if hot.isEmpty():
-        return df.join(groups, keys)
+        return df.join(cold, by).drop("_share")
     marked = df.join(F.broadcast(hot.select(*keys, F.lit(True).alias("_hot"))), keys, "left")
     return (
-        marked.where("_hot").drop("_hot").join(F.broadcast(hot), keys)
-        .unionByName(marked.where("_hot is null").drop("_hot").join(groups.where(F.col(size) <= limit), keys))
-    )
+        marked.where("_hot").drop("_hot").join(F.broadcast(hot.drop("_share")), keys)
+        .unionByName(marked.where("_hot is null").drop("_hot").join(cold, by))
+    ).drop("_share")
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

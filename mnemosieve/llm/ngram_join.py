@@ -6,12 +6,16 @@
 2. Two of the other sets that link share one of their first n - ceil(t n) + 1 shingles in any common order. Ours puts the frequent ones last, so common
    passages bring nobody together. For each shingle that several nodes put first, the smallest of them is the pivot, and the pivot's region is
    all who share such a shingle with it: linked sets meet in a region.
-3. A region joins exactly. Within a task it is split recursively into Voronoi cells of further pivots; by the triangle inequality a set also goes
-   to every cell whose pivot is at most twice the link distance farther than its own. What doesn't split is joined by its locally rarest
-   shingles, skipping pairs that are already connected or that distances to the pivots decide.
-4. A region too large for a task is first measured against its pivot, in pieces. Sets within the link distance are one component at once; the others
-   meet in rings of distances, each with the neighbouring ring as its window, and a ring is joined by pairs of bounded blocks.
-5. Components: labels sink to the smallest doc_id along links, with pointer jumping, in tables on the shared folder.
+3. A region joins exactly, by Voronoi cells of pivots among its sets (r: the link distance). A set within r of its nearest pivot belongs to that pivot's
+   cell; all of a cell are linked to the pivot and so one component. By the triangle inequality, a set linked to one of the cell is at most 2 r from the
+   pivot, and at most 2 r farther from it than from its own nearest one: such sets are the cell's window. Cell and window are joined, with distances to
+   all pivots and rarest shingles pruning pairs, and pairs already connected left out. Sets in no cell join recursively, with pivots among themselves;
+   where pivots gather nobody any more, the rest is joined by its rarest shingles.
+4. A region too large for a task does the same in tables: its sets are measured against several pivots, in pieces; each goes to the cell of its nearest
+   pivot and, by the triangle inequality, to those at most 2 r farther. Cells are regions again, recursively. Where that would not save work, sets in
+   reach of each other meet in pairs of bounded blocks.
+5. Components: labels sink to the smallest node along links, with pointer jumping, in tables on the shared folder; labels of hot nodes and components are
+   broadcast to their rows, so no task holds a whole component.
 
 Hashing: two different words or shingles agree with a chance of about 2**-64 a pair, as do two different sets; otherwise the join is exact.
 
@@ -23,6 +27,7 @@ whole; an empty table gives no rows; further columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +45,12 @@ SLICE = 4 << 20
 LOOKED_UP, RANGE, SPARE_BITS = 0.4, 2_000_000, 4
 #: Shingles of a region, or of two blocks of a ring, that one task joins.
 REGION = 2_000_000
-#: Sets that are compared with each other directly; pivots of a split; share of the sets a cell may have for a split to count.
-FEW, PIVOTS, SHRUNK = 16, 12, 0.75
+#: Sets that are compared with each other directly; pivots of a region and of one too large for a task; pivots in a row that gather nobody.
+FEW, PIVOTS, LARGE_PIVOTS, IDLE = 16, 12, 8, 3
+#: Share of a region's work (pairs) that its cells may have for a split to count; levels of splits at most.
+SAVES, LEVELS = 0.5, 6
+#: Bytes of the filter that tells which rows' texts are moved, at most; beyond, more rows are moved in vain, and none is lost.
+FILTER_BYTES, FILTER_PARTS, FILTER_BITS = 32 << 20, 64, 12
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)
 
 
@@ -107,6 +116,7 @@ class Region:
         self.sets, self.percent = sets, percent
         self.size = np.array([len(x) for x in sets], np.int64)
         self.label = np.arange(len(sets))
+        self.cells = 0  # Voronoi cells of more than their pivot
         if together is not None and together.any():
             self.label[together] = np.flatnonzero(together)[0]
 
@@ -127,41 +137,55 @@ class Region:
         at[at == len(y)] = len(y) - 1
         return bool(self.linked(int((y[at] == x).sum()), len(x), len(y)))
 
-    def distances(self, members: np.ndarray, pivot: int) -> np.ndarray:
-        """Jaccard distance of each member to the pivot."""
-        flat = np.concatenate([self.sets[i] for i in members])
+    def distances(self, members: np.ndarray, flat: np.ndarray, pivot: int) -> tuple[np.ndarray, np.ndarray]:
+        """Jaccard distance of each member to the pivot, and whether they are linked. flat: the members' shingles."""
         p = self.sets[pivot]
         at = np.minimum(np.searchsorted(p, flat), len(p) - 1)
         size = self.size[members]
         both = np.add.reduceat((p[at] == flat).astype(np.int64), np.cumsum(size) - size)
-        for i in members[np.flatnonzero(self.linked(both, size, len(p)))]:
+        linked = self.linked(both, size, len(p))
+        for i in members[linked]:
             self.join(pivot, i)
-        return 1 - both / (size + len(p) - both)
+        return 1 - both / (size + len(p) - both), linked
 
     def solve(self, members: np.ndarray) -> None:
-        """Joins the members, recursively."""
-        if len(members) <= FEW:
-            for i, a in enumerate(members):
-                for b in members[i + 1 :]:
-                    if self.label[a] != self.label[b] and self.compare(a, b):
-                        self.join(a, b)
-            return
-        if (self.label[members] == self.label[members[0]]).all():
-            return
-        k = min(PIVOTS, int(len(members) ** 0.5))
-        order = members[np.argsort(self.size[members], kind="stable")]
-        pivots = order[(np.arange(k) * len(order)) // k]
-        d = np.stack([self.distances(members, p) for p in pivots], 1)
-        reach = 2 * (1 - self.percent / 100) + 1e-9
-        inside = d <= d.min(1, keepdims=True) + reach
-        if inside.sum(0).max() <= SHRUNK * len(members):
-            for j in range(k):
-                self.solve(members[inside[:, j]])
-        else:
-            self.by_rarest(members, d)
-
-    def by_rarest(self, members: np.ndarray, d: np.ndarray) -> None:
-        """Exact join by the locally rarest shingles; d: distances to common pivots."""
+        """Joins the members by Voronoi cells, recursively."""
+        while len(members) > FEW and (self.label[members] != self.label[members[0]]).any():
+            r, flat = 1 - self.percent / 100 + 1e-9, np.concatenate([self.sets[i] for i in members])
+            covered, columns, pivots, idle = np.zeros(len(members), bool), [], [], 0
+            while len(pivots) < PIVOTS and idle < IDLE and not covered.all():
+                at = int(np.argmin(covered))  # members are in no order of content, so dense parts get pivots first
+                d, linked = self.distances(members, flat, members[at])
+                before = int(covered.sum())
+                covered |= linked
+                idle = idle + 1 if covered.sum() == before + 1 else 0
+                columns.append(d)
+                pivots.append(at)
+            d = np.stack(columns, 1)
+            home, least = d.argmin(1), d.min(1)
+            for k in range(len(pivots)):
+                cell = np.flatnonzero(covered & (home == k))
+                if len(cell) < 2:  # a pivot alone: those linked to it have been joined
+                    continue
+                self.cells += 1
+                window = np.flatnonzero((home != k) | ~covered)
+                window = window[(d[window, k] <= least[window] + 2 * r) & (d[window, k] <= 2 * r)]
+                if len(window):
+                    self.by_rarest(members[cell], members[window], d[cell], d[window])
+            rest = np.flatnonzero(~covered)
+            if idle >= IDLE and len(rest):
+                self.by_rarest(members[rest], None, d[rest], None)
+                return
+            members = members[rest]
+        for i, a in enumerate(members[:FEW] if len(members) <= FEW else []):
+            for b in members[i + 1 :]:
+                if self.label[a] != self.label[b] and self.compare(a, b):
+                    self.join(a, b)
+
+    def by_rarest(self, some: np.ndarray, others: np.ndarray | None, d: np.ndarray, d_others: np.ndarray | None) -> None:
+        """Exact join of some sets with others, or among themselves, by their rarest shingles; d: distances to common pivots."""
+        members = some if others is None else np.concatenate([some, others])
+        away = d if others is None else np.concatenate([d, d_others])
         flat = np.concatenate([self.sets[i] for i in members])
         values, place, count = np.unique(flat, return_inverse=True, return_counts=True)
         rank = np.empty(len(values), np.int64)
@@ -173,19 +197,19 @@ class Region:
             mine = ordered[end - self.size[member] : end]
             n = len(mine)
             need = n - (self.percent * n + 99) // 100 + 1
+            listed = others is None or i < len(some)
             found: list[int] = []
             for token in (np.partition(mine, need - 1)[:need] if need < n else mine).tolist():
-                if count_of := lists.get(token):
-                    found += count_of
-                    count_of.append(i)
-                else:
-                    lists[token] = [i]
+                if others is None or not listed:
+                    found += lists.get(token, ())
+                if listed:
+                    lists.setdefault(token, []).append(i)
             if not found:
                 continue
             near = np.unique(np.array(found))
             near = near[self.label[members[near]] != self.label[member]]
-            near = near[np.abs(d[near] - d[i]).max(1) <= r]
-            near = near[np.argsort((d[near] + d[i]).min(1), kind="stable")]
+            near = near[np.abs(away[near] - away[i]).max(1) <= r]
+            near = near[np.argsort((away[near] + away[i]).min(1), kind="stable")]
             for other in members[near]:
                 if self.label[other] != self.label[member] and self.compare(member, other):
                     self.join(member, other)
@@ -241,52 +265,128 @@ def _by_key(df: DataFrame, keys: list[str]) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """id, component (the smallest id it reaches) of every id in links (a, b)."""
     both = written(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = written(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("component")), "labels")
+    degree = written(both.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.min("a").alias("m")), "degrees")  # both holds each link both ways
+    labels = degree.select(F.col("b").alias("id"), F.least("b", "m").alias("component"))
     while True:
-        lowest = both.join(labels.select(F.col("id").alias("b"), "component"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("m"))
-        sunk = labels.join(lowest, "id").select("id", F.least("component", "m").alias("c"), F.col("component").alias("old"))
-        sunk = written(sunk, "labels")
-        parent = sunk.select(F.col("id").alias("c"), F.col("c").alias("up"))
-        jumped = written(sunk.join(parent, "c").select("id", F.least("c", "up").alias("component"), "old"), "labels")
+        told = degree.select("b", "n").join(labels.select(F.col("id").alias("b"), "component"), "b")
+        lowest = attach_groups(both, written(told, "told"), ["b"], "n").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("m"))
+        sunk = written(labels.join(lowest, "id").select("id", F.least("component", "m").alias("c"), F.col("component").alias("old")), "labels")
+        sizes = sunk.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+        parent = sunk.select(F.col("id").alias("c"), F.col("c").alias("up")).join(sizes, "c")
+        jumped = written(attach_groups(sunk, written(parent, "parents"), ["c"], "n").select("id", F.least("c", "up").alias("component"), "old"), "labels")
         if jumped.where("component <> old").isEmpty():
             return jumped.select("id", "component")
         labels = jumped.select("id", "component")
 
 
-def _large_regions(sets: DataFrame, regions: DataFrame, percent: int, most: int) -> DataFrame:
-    """Links of regions over `most` shingles. sets: pivot, rep, node, n, shingles; regions: pivot, total."""
+def _measured(sets: DataFrame, percent: int, most: int, pivots: int = LARGE_PIVOTS) -> DataFrame:
+    """region, rep, n, d (distance to each pivot), core (the pivots it is linked to, as reps) of sets (region, total, rep, n, shingles)."""
     pieces = F.ceil(F.col("total") * 2 / most).cast("int")
-    center = sets.where("node = pivot").select("pivot", "rep", "shingles").join(regions, "pivot").withColumn("piece", F.explode(F.sequence(F.lit(0), pieces - 1)))
-    others = sets.where("node <> pivot").join(regions, "pivot").withColumn("piece", F.pmod(F.xxhash64("rep"), pieces).cast("int"))
-    rows = center.select("pivot", "piece", F.lit(True).alias("center"), "rep", "shingles").unionByName(others.select("pivot", "piece", F.lit(False).alias("center"), "rep", "shingles"))
+    chosen = sets.groupBy("region", F.pmod(F.xxhash64("rep"), F.lit(pivots)).alias("k")).agg(F.min("rep").alias("rep")).drop("k")
+    center = sets.join(chosen, ["region", "rep"]).withColumns({"piece": F.explode(F.sequence(F.lit(0), pieces - 1)), "center": F.lit(True)})
+    others = sets.withColumns({"piece": F.pmod(F.xxhash64("rep"), pieces).cast("int"), "center": F.lit(False)})
+    columns = ["region", "piece", "center", "rep", "n", "shingles"]
+    rows = center.select(*columns).unionByName(others.select(*columns))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, middle, out = None, None, []
+        key, middle = None, []
         for batch in batches:
-            for pivot, piece, is_center, rep, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            out: list[tuple] = []
+            for region, piece, is_center, rep, n, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 found = np.frombuffer(found, "<u8")
+                if key != (region, piece):
+                    key, middle = (region, piece), []
                 if is_center:
-                    key, middle = (pivot, piece), (rep, found)
-                    if not piece:
-                        out.append((pivot, rep, 0.0, True))
-                elif key == (pivot, piece):
-                    at = np.minimum(np.searchsorted(middle[1], found), len(middle[1]) - 1)
-                    both = int((middle[1][at] == found).sum())
-                    union = len(found) + len(middle[1]) - both
-                    out.append((pivot, rep, 1 - both / union, 100 * both >= percent * union))
-            yield _arrays(["pivot", "rep", "d", "core"], out, [pa.int64(), pa.int64(), pa.float64(), pa.bool_()])
-            out = []
-
-    ring = F.when(F.col("core"), 0).otherwise(F.greatest(F.lit(0), F.floor(F.col("d") / (1 - percent / 100 + 1e-4)))).cast("int")  # sets that link differ by one ring at most
-    measured = written(rows.repartition("pivot", "piece").sortWithinPartitions("pivot", "piece", F.desc("center")).mapInArrow(measure, "pivot long, rep long, d double, core boolean").withColumn("ring", ring), "measured")
-    to_pivot = measured.where("core").join(sets.where("node = pivot").select("pivot", F.col("rep").alias("center")), "pivot").where("rep <> center").select(F.greatest("rep", "center").alias("a"), F.least("rep", "center").alias("b"))
-    cells = sets.select("pivot", "rep", "n", "shingles").join(measured, ["pivot", "rep"]).withColumn("cell", F.explode(F.when(F.col("ring") > 0, F.array("ring", F.col("ring") - 1)).otherwise(F.array("ring"))))
-    sizes = cells.groupBy("pivot", "cell").agg(F.sum("n").alias("total"), F.max(F.when(F.col("core"), 0).otherwise(1)).alias("others")).where("others = 1").select("pivot", "cell", F.ceil(F.col("total") * 2 / most).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    placed = cells.join(sizes, ["pivot", "cell"]).withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("pivot", "cell", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", F.col("core").alias("together"), "shingles")
-    keys = ["pivot", "cell", "i", "j"]
-    return to_pivot.unionByName(_by_key(placed, keys).mapInArrow(lambda it: _joined(percent, 4, it), "a long, b long"))
+                    middle.append((rep, found))
+                    continue
+                d, core = [], []
+                for pivot, other in middle:
+                    at = np.minimum(np.searchsorted(other, found), len(other) - 1)
+                    both = int((other[at] == found).sum())
+                    union = len(found) + len(other) - both
+                    d.append(1 - both / union)
+                    if 100 * both >= percent * union:
+                        core.append(pivot)
+                out.append((region, rep, n, d, core))
+            yield _arrays(["region", "rep", "n", "d", "core"], out, [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64())])
+
+    dealt = rows.repartition("region", "piece").sortWithinPartitions("region", "piece", F.desc("center"), "rep")
+    return written(dealt.mapInArrow(measure, "region string, rep long, n long, d array<double>, core array<long>"), "measured")
+
+
+def _large_regions(sets: DataFrame, percent: int, most: int) -> DataFrame:
+    """Links of regions over `most` shingles. sets: region, total, rep, n, shingles."""
+    reach, near = 2 * (1 - percent / 100) + 1e-6, 1 - percent / 100 + 1e-12
+    links: list[DataFrame] = []
+    for level in range(LEVELS):
+        measured = _measured(sets, percent, most)
+        links.append(measured.select(F.col("rep").alias("x"), F.explode("core").alias("y")).where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")))
+        least = F.array_min("d")
+        # a cell holds the sets whose nearest pivot is its own, and those that may be linked with them
+        inside = measured.withColumns({"least": least, "home": F.array_position("d", least)}).select("region", "rep", "n", "least", "home", F.posexplode("d").alias("k", "x"))
+        inside = inside.where(f"k + 1 = home or x <= least + {reach}").withColumns({"cell": F.concat_ws("/", "region", "k"), "together": F.col("x") <= near}).select("region", "cell", "rep", "n", "together")
+        cells = inside.groupBy("region", "cell").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("rows"), F.max((~F.col("together")).cast("int")).alias("others"))
+        cells = written(cells.where("others = 1").drop("others"), "cells")  # else the cell is one component
+        work = cells.groupBy("region").agg(F.sum(F.col("total").cast("double") * F.col("total")).alias("work"))
+        whole = measured.groupBy("region").agg(F.sum("n").cast("double").alias("whole"), F.count(F.lit(1)).alias("rows"))
+        saves = F.lit(level + 1 < LEVELS) & (F.coalesce(F.col("work"), F.lit(0.0)) <= SAVES * F.col("whole") * F.col("whole"))
+        told = written(whole.join(work, "region", "left").select("region", "rows", saves.alias("split")), "split")
+        links.append(_blocks(sets, attach_groups(measured.select("region", "rep", "d"), told, ["region"], "rows").where("not split"), percent, most))
+        cells = written(cells.join(told.where("split").select("region"), "region", "left_semi").drop("region"), "cells")
+        if cells.isEmpty():
+            break
+        placed = attach_groups(inside.drop("n"), cells, ["cell"], "rows").drop("rows")
+        placed = written(sets.drop("total").join(placed, ["region", "rep"]).drop("region").withColumnRenamed("cell", "region"), "cell-sets")
+        small = _by_key(placed.where(F.col("total") <= most).select("region", "rep", "together", "shingles"), ["region"])
+        links.append(small.mapInArrow(lambda it: _joined(percent, 1, it), "a long, b long"))
+        sets = placed.where(F.col("total") > most).select("region", "total", "rep", "n", "shingles")
+        if sets.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, [written(x, "region-links") for x in links])
+
+
+def _blocks(sets: DataFrame, first: DataFrame, percent: int, most: int) -> DataFrame:
+    """Links of regions that distances don't part, by pairs of bounded blocks; sets that are linked to the first pivot are known to be together."""
+    first = first.select("region", "rep", (F.get("d", F.lit(0)) <= 1 - percent / 100 + 1e-12).alias("together"))
+    blocks = F.ceil(F.col("total") * 2 / most).cast("int")
+    placed = sets.join(first, ["region", "rep"]).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "together", "shingles")
+    keys = ["region", "i", "j"]
+    return _by_key(placed, keys).mapInArrow(lambda it: _joined(percent, 3, it), "a long, b long")
+
+
+class KeyFilter:
+    """Bits that say which 64-bit keys may be among some; every key that is passes."""
+
+    def __init__(self, keys: DataFrame, column: str, count: int) -> None:
+        size = max(64, min(FILTER_BYTES, count * FILTER_BITS // 8) // FILTER_PARTS)
+        parts = keys.select(F.col(column).alias("key")).repartition(FILTER_PARTS, F.pmod(F.col("key"), F.lit(FILTER_PARTS)))
+
+        def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kept: dict[int, np.ndarray] = {}
+            for batch in batches:
+                key = batch.column(0).to_numpy()
+                for part in np.unique(key % FILTER_PARTS):
+                    flags = kept.setdefault(int(part), np.zeros(size * 8, bool))
+                    for at in KeyFilter.places(key[key % FILTER_PARTS == part], size):
+                        flags[at] = True
+            yield _arrays(["part", "bits"], [(k, np.packbits(x).tobytes()) for k, x in kept.items()], [pa.int32(), pa.binary()])
+
+        self.size, self.bits = size, np.zeros((FILTER_PARTS, size), np.uint8)
+        for row in parts.mapInArrow(mark, "part int, bits binary").collect():  # FILTER_PARTS rows of `size` bytes
+            self.bits[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+
+    @staticmethod
+    def places(key: np.ndarray, size: int) -> list[np.ndarray]:
+        h = mix64(key.astype(np.int64).view(np.uint64))
+        return [((h >> np.uint64(20 * i)) % np.uint64(size * 8)).astype(np.int64) for i in range(3)]
+
+    def may_hold(self, key: np.ndarray) -> np.ndarray:
+        part, out = key % FILTER_PARTS, np.ones(len(key), bool)
+        for at in self.places(key, self.size):
+            out &= (self.bits[part, at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
+        return out
 
 
 def packed(values: np.ndarray, size: int) -> bytes:
@@ -408,20 +508,33 @@ def _placed(docs: DataFrame, words: int, percent: int, region: int = REGION) ->
     near = unshared_shingles(docs, words, total).where(f"n > 0 and unshared <= n - floor(({percent} * n + 99) / 100)").select("node").distinct()
     wanted = written(nodes.join(near, "node").select("row_key", "node"), "wanted")
 
-    def describe_wanted(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = worker_state("shingler", Shingler).sets(batch.column(1), words)
-        rows = [(node, node, len(x), x.astype("<u8").tobytes()) for node, own, x in zip(batch.column(0).to_pylist(), nodes_of(sets).tolist(), sets, strict=True) if own == node]
-        return _arrays(["rep", "node", "n", "shingles"], rows, [*[pa.int64()] * 3, pa.binary()])
+    moved = spark.sparkContext.broadcast(KeyFilter(wanted, "row_key", wanted.count()))
+
+    def describe_wanted(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        some = batch.filter(pa.array(moved.value.may_hold(batch.column(0).to_numpy())))
+        if not some.num_rows:
+            return None
+        sets = worker_state("shingler", Shingler).sets(some.column(1), words)
+        shingles = pa.array([x.astype("<u8").tobytes() for x in sets], pa.binary())
+        return pa.RecordBatch.from_arrays([some.column(0), pa.array(nodes_of(sets)), pa.array([len(x) for x in sets], pa.int64()), shingles], ["row_key", "node", "n", "shingles"])
 
-    texts = docs.join(wanted.hint("merge"), "row_key").select("node", "text")  # where they are
-    sets = written(arrow_map(texts, describe_wanted, "rep long, node long, n long, shingles binary").dropDuplicates(["node"]), "sets")
+    sets = arrow_map(docs.select("row_key", "text"), describe_wanted, "row_key long, node long, n long, shingles binary")  # texts stay where they are
+    sets = sets.join(wanted.withColumnRenamed("row_key", "own").hint("merge"), "node").where("row_key = own").dropDuplicates(["node"])
+    sets = written(sets.select(F.col("node").alias("rep"), "node", "n", "shingles"), "sets")
 
     def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values, count = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u8"), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values[count >= OFTEN].view(np.int64)), pa.array(count[count >= OFTEN].astype(np.int64))], ["shingle", "n"])
 
-    common = sets.select("shingles").mapInArrow(frequent, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(FREQUENT).collect()
+    common = written(sets.select("shingles").mapInArrow(frequent, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")), "frequent")
+    cut, seen = 1 << 62, 0  # the frequent: as many classes of frequencies, a class for each doubling, as FREQUENT holds
+    for r in common.groupBy(F.floor(F.log2("n")).alias("class")).count().orderBy(F.desc("class")).collect():
+        seen += r["count"]
+        if seen > FREQUENT:
+            break
+        cut = 1 << r["class"]
+    common = sorted(common.where(F.col("n") >= cut).collect(), key=lambda r: (-r["n"], r["shingle"]))  # FREQUENT rows at most
     hashes = np.array([r["shingle"] for r in common], np.int64).view(np.uint64)
     order = np.argsort(hashes)
     often = spark.sparkContext.broadcast((hashes[order], (len(hashes) - np.arange(len(hashes)))[order]))  # FREQUENT numbers at most
@@ -433,20 +546,21 @@ def _placed(docs: DataFrame, words: int, percent: int, region: int = REGION) ->
                 node = np.repeat(batch.column(0).to_numpy(), [len(x) for x in heads])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(heads).astype(np.uint64).view(np.int64)), pa.array(node)], ["shingle", "node"])
 
-    posted = sets.select("node", "shingles").mapInArrow(postings, "shingle long, node long")
-    shared = posted.groupBy("shingle").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("k")).where("k > 1").drop("k")
-    members = written(posted.join(shared.hint("merge"), "shingle").where("node <> pivot").select("pivot", "node").distinct(), "members")
+    posted = written(sets.select("node", "shingles").mapInArrow(postings, "shingle long, node long"), "posted")
+    shared = written(posted.groupBy("shingle").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("k")).where("k > 1"), "shared")
+    members = written(attach_groups(posted, shared, ["shingle"], "k").where("node <> pivot").select("pivot", "node").distinct(), "members")
     inside = members.unionByName(members.select("pivot", F.col("pivot").alias("node")).distinct())
-    regions = written(inside.join(sets.select("node", "n"), "node").groupBy("pivot").agg(F.sum("n").alias("total")), "regions")
-    pivots = inside.join(regions, "pivot").groupBy("node").agg(F.collect_list(F.struct("pivot", (F.col("total") > region).alias("large"))).alias("pivots"))  # fewer than a set's first shingles
-    placed = sets.join(pivots.hint("merge"), "node").withColumn("p", F.explode("pivots")).select("p.large", "p.pivot", "rep", "node", "n", "shingles")
-    large = regions.where(F.col("total") > region)
-    if not large.isEmpty():
+    regions = written(inside.join(sets.select("node", "n"), "node").groupBy("pivot").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("rows")), "regions")
+    pivots = attach_groups(inside, regions, ["pivot"], "rows").groupBy("node").agg(F.collect_list(F.struct("pivot", "total")).alias("pivots"))  # fewer than a set's first shingles
+    placed = sets.join(pivots.hint("merge"), "node").withColumn("p", F.explode("pivots")).select("p.total", "p.pivot", "rep", "n", "shingles")
+    some_large = not regions.where(F.col("total") > region).isEmpty()
+    if some_large:
         placed = written(placed, "region-sets")
-    small = _by_key(placed.where("not large").select("pivot", "rep", F.lit(False).alias("together"), "shingles"), ["pivot"])
+    small = _by_key(placed.where(F.col("total") <= region).select("pivot", "rep", F.lit(False).alias("together"), "shingles"), ["pivot"])
     links = small.mapInArrow(lambda it: _joined(percent, 1, it), "a long, b long")
-    if not large.isEmpty():
-        links = links.unionByName(_large_regions(placed.where("large").drop("large"), large, percent, region))
+    if some_large:
+        large = placed.where(F.col("total") > region).select(F.col("pivot").cast("string").alias("region"), "total", "rep", "n", "shingles")
+        links = links.unionByName(_large_regions(large, percent, region))
     found = components(written(links, "links"))
     joined = written(nodes.join(found.withColumnRenamed("id", "node"), "node", "left").select("node", "copies", "least", F.coalesce("component", "node").alias("component")), "joined")
     several = joined.groupBy("component").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("members"))

@@ -135,6 +135,62 @@ def test_region_join_against_all_pairs():
     assert dict(nj.join_sets(ids, sets)) == want
 
 
+def test_cells_on_documents(spark):
+    """Voronoi cells part the sets of all documents, and the join is that of all pairs."""
+    from tests.conftest import DATA
+
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    found = nj.Shingler().sets(pa.array([t or "" for _, t in rows]), 4)
+    some = {int(n): (i, x) for (i, _), n, x in zip(rows, nj.nodes_of(found), found, strict=True) if len(x)}
+    region = nj.Region([x for _, x in some.values()], 85)
+    region.solve(np.arange(len(some)))
+    assert region.cells > 0
+    ids = np.array([i for i, _ in some.values()])
+    least = {label: ids[region.label == label].min() for label in set(region.label.tolist())}
+    want = {d: c for d, _, c in brute(rows)}
+    own = {i: least[k] for i, k in zip(ids.tolist(), region.label.tolist(), strict=True)}
+    same = [(a, b) for a in own for b in own if (own[a] == own[b]) != (want[a] == want[b])]
+    assert not same
+
+
+def test_cells_are_not_needed_for_the_result(monkeypatch):
+    r = np.random.default_rng(8)
+    base = r.integers(0, 1 << 60, 60).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[r.random(60) > 0.05 * (i % 4)], r.integers(0, 1 << 60, i % 9).astype(np.uint64)])) for i in range(300)]
+    ids = np.arange(300)
+    by_cells = dict(nj.join_sets(ids, sets))
+    monkeypatch.setattr(nj, "FEW", 1000)  # all pairs
+    assert by_cells == dict(nj.join_sets(ids, sets)) and by_cells
+
+
+@pytest.mark.parametrize("kind", ["star", "path", "both"])
+def test_components_without_a_task_for_each(spark, monkeypatch, kind):
+    from mnemosieve.llm import common
+
+    monkeypatch.setattr(common, "hot_limit", lambda rows, groups=2000: 20)
+    star = [(i, 0) for i in range(1, 400)] if kind != "path" else []
+    path = [(i + 1, i) for i in range(1000, 1060)] if kind != "star" else []
+    got = {r["id"]: r["component"] for r in nj.components(spark.createDataFrame(star + path, "a long, b long")).collect()}
+    assert got == {i: 0 for e in star for i in e} | {i: 1000 for e in path for i in e}
+
+
+def test_groups_in_shares(spark):
+    from mnemosieve.llm.common import attach_groups
+
+    rows = spark.createDataFrame([(k, i) for k in range(5) for i in range(3 + 300 * k)], "k int, i int")
+    groups = rows.groupBy("k").count()
+    for together in (7, 400, 1_000_000):
+        out = attach_groups(rows, groups, ["k"], "count", together)
+        assert out.columns == ["k", "i", "count"] and sorted(map(tuple, out.collect())) == sorted((k, i, 3 + 300 * k) for k in range(5) for i in range(3 + 300 * k))
+
+
+def test_key_filter(spark):
+    r = np.random.default_rng(0)
+    keys = r.integers(-(1 << 62), 1 << 62, 5000)
+    held = nj.KeyFilter(spark.createDataFrame([(int(k),) for k in keys], "key long"), "key", len(keys))
+    assert held.may_hold(keys).all() and held.may_hold(r.integers(-(1 << 62), 1 << 62, 20_000)).mean() < 0.05
+
+
 def test_packing_of_fingerprints():
     r = np.random.default_rng(1)
     for size in (1, 2, 3):
