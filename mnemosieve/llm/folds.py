@@ -34,8 +34,8 @@ def sample_ids(rows: DataFrame, most: int) -> DataFrame:
     return smallest(rows.withColumn("_hash", F.xxhash64("doc_id")), "_hash", most).drop("_hash")
 
 
-def texts_of(docs: DataFrame, chosen: DataFrame, longest: int) -> DataFrame:
-    """doc_id, label and whole text of the chosen (a bounded number); documents over `longest` characters are not learned from."""
+def texts_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """doc_id, label and whole text of the chosen (a bounded number)."""
     chosen = chosen.select(F.col("doc_id").alias("_id"), "label")
     docs = docs.select("doc_id", "text")
-    return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("_id")).where(F.coalesce(F.length("text"), F.lit(0)) <= longest).select("doc_id", "label", "text")
+    return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("_id")).select("doc_id", "label", "text")

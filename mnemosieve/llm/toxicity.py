@@ -5,8 +5,10 @@ several widths slide over the words, each filter's largest response over the who
 are linear in the embeddings, a trained model is two tables of responses, and scoring is looking up, adding and taking maxima.
 
 Thresholds are calibrated by language, which is read off the text's function words; the score is shifted so that every language's threshold
-falls on THRESHOLD. Training: at most TRAIN_DOCS labelled documents of each class, those with the smallest hashes of doc_id. Calibration: all
-labelled documents that may be learned from, each by a network that hasn't learned from it, so the classes count as often as they occur.
+falls on THRESHOLD. A language's own threshold counts by the labels of its rarer class against TRUST labels' worth of the threshold of all languages
+together, so few labels move it little. Training: at most TRAIN_DOCS labelled documents of each class and, but for one document, at most TRAIN_BYTES of
+their texts, those with the smallest hashes of doc_id; documents of any length are learned from. Calibration: all labelled documents that may be
+learned from, each by a network that hasn't learned from it, so the classes count as often as they occur. The networks are trained by one task each.
 
 Defined results: null counts as empty; an empty text has the score of no response; repeated rows score alike; texts are read whole, in pieces of
 bounded size; with no labelled document of one class every score is 0; an empty table gives no rows; further columns are ignored.
@@ -14,6 +16,10 @@ bounded size; with no labelled document of one class every score is 0; an empty
 
 from __future__ import annotations
 
+import pickle
+from collections import Counter
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -22,13 +28,13 @@ from pyspark.sql import functions as F
 from mnemosieve.llm.common import WordHasher, arrow_map, read_table, worker_state, written
 from mnemosieve.llm.folds import fold, labelled, sample_ids, texts_of
 
-TRAIN_DOCS, LONGEST = 2500, 200_000
+TRAIN_DOCS, TRAIN_BYTES, TRUST = 2500, 32 << 20, 10.0
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 WORDS, STEMS, STEM_BYTES, DIMENSION = 1 << 15, 1 << 13, 4, 12
 WIDTHS, FILTERS = (1, 2, 3), 8
 EPOCHS, BATCH, RATE, SEED = 6, 50, 0.08, 11
-#: Mini-batches at least, so that a small sample is passed over more often.
-STEPS = 200
+#: Mini-batches at least, so that a small sample is passed over more often, while that passes over PASSED words at most; spread of embeddings at first.
+STEPS, PASSED, START = 200, 40_000_000, 0.03
 #: Root of a log-likelihood ratio that chance rarely reaches; parts of the sample that take turns to set the thresholds.
 SURELY, PARTS = 3.2, 4
 #: Width of a bin of logits, which end at +-END; labelled ids up to which they are sent to the texts instead of joined with the logits.
@@ -86,7 +92,8 @@ class Network:
 
     def __init__(self, seed: int = SEED) -> None:
         r = np.random.default_rng(seed)
-        self.words, self.stems = np.zeros((WORDS, DIMENSION), np.float32), np.zeros((STEMS, DIMENSION), np.float32)
+        self.words, self.stems = (r.normal(0, START, (n, DIMENSION)).astype(np.float32) for n in (WORDS, STEMS))
+        self.words[:, 0], self.stems[:, 0] = 0, 0
         self.filters = r.normal(0, 0.3, (DIMENSION, sum(WIDTHS) * FILTERS)).astype(np.float32)
         self.filters[0] = np.abs(self.filters[0]) + 0.3
         self.bias = np.zeros(len(WIDTHS) * FILTERS, np.float32)
@@ -156,7 +163,7 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
         sums[name][rows] += gradient * gradient
         getattr(net, name)[rows] -= RATE * gradient / np.sqrt(sums[name][rows])
 
-    for _ in range(max(epochs, -(-STEPS * BATCH // max(1, len(docs))))):
+    for _ in range(max(epochs, min(-(-STEPS * BATCH // max(1, len(docs))), PASSED // max(1, sum(len(w) for w, _ in docs))))):
         order = r.permutation(len(docs))
         for at in range(0, len(order), BATCH):
             d_filters, d_bias, d_last = np.zeros_like(net.filters), np.zeros_like(net.bias), np.zeros_like(net.last)
@@ -214,12 +221,12 @@ def best_threshold(logit: np.ndarray, label: np.ndarray, times: np.ndarray | Non
 
 
 def logits(tables: dict, words: np.ndarray, stems: np.ndarray, first: np.ndarray) -> np.ndarray:
-    return pooled(tables, words, stems, first) @ tables["last"] + tables["base"]
+    return (pooled(tables, words, stems, first) * tables["last"]).sum(1) + tables["base"]  # row by row: no text's score depends on another
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = FOLDS, held_out: int = HELD_OUT, train_docs: int = TRAIN_DOCS) -> dict | None:
     """The tables of a trained model with a shift for each language; None without labels of both classes."""
-    rows = labelled(labels, label, folds, held_out)
+    rows = written(labelled(labels, label, folds, held_out), "toxicity-labels")
     chosen = sample_ids(rows.where("label = 1"), train_docs).unionByName(sample_ids(rows.where("label = 0"), train_docs))
 
     def read(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -227,19 +234,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
         cut = lambda x: pa.array([x[a:b].astype("<u2").tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), cut(words), cut(stems), pa.array(language, pa.int32())], ["doc_id", "label", "words", "stems", "language"])
 
-    found = arrow_map(texts_of(docs, chosen, LONGEST), read, "doc_id long, label int, words binary, stems binary, language int")
+    chosen = written(chosen, "toxicity-sample")
+    sizes = sorted((r["label"], r["h"], r["n"], r["doc_id"]) for r in texts_of(docs, chosen).select("doc_id", "label", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"), F.xxhash64("doc_id").alias("h")).collect())
+    kept, spent = set(), Counter()
+    for y, _, n, doc in sizes:  # 2 * train_docs rows, but for repeated ids
+        if not spent[y] or spent[y] + n <= TRAIN_BYTES:
+            kept.add(doc)
+        spent[y] += n
+    chosen = chosen.where(F.col("doc_id").isin(*kept)) if len(kept) < len({x[-1] for x in sizes}) else chosen
+    found = arrow_map(texts_of(docs, chosen), read, "doc_id long, label int, words binary, stems binary, language int")
     table = sorted(found.collect(), key=lambda x: (x["doc_id"], x["words"]))
     y = np.array([x["label"] for x in table], np.float64)
     if not len(y) or y.min() == y.max():
         return None
     ids = [(np.frombuffer(x["words"], "<u2").astype(np.int32), np.frombuffer(x["stems"], "<u2").astype(np.int32)) for x in table]
     language = np.array([x["language"] for x in table])
-    tables, logit = train(ids, y).tables(), np.zeros(len(y))
     part = np.random.default_rng(SEED).permutation(len(y)) % PARTS
-    for k in range(PARTS):  # every document's score by a network that hasn't learned from it
-        rest, own = np.flatnonzero(part != k), np.flatnonzero(part == k)
-        if len(set(y[rest])) == 2 and len(own):
-            logit[own] = _logits_of(train([ids[i] for i in rest], y[rest]).tables(), [ids[i] for i in own])
+    tables, logit = _trained(docs.sparkSession, ids, y, part)
     times = np.ones(len(y))
     rest = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(int(x["doc_id"]),) for x in table], "doc_id long").distinct()), "doc_id", "left_anti")
     binned = _binned(docs, written(rest, "calibration-labels"), tables)
@@ -249,11 +260,35 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
         logit, times = np.concatenate([logit, more[:, 2]]), np.concatenate([times, more[:, 3]])
     overall = best_threshold(logit, y, times)
     own = [language == k for k in range(LANGUAGES)]
-    enough = [times[x & (y == 1)].sum() >= 20 and times[x & (y == 0)].sum() >= 20 for x in own]
-    at = [best_threshold(logit[x], y[x], times[x]) if good else overall for x, good in zip(own, enough, strict=True)]
+    trust = [min(times[x & (y == 1)].sum(), times[x & (y == 0)].sum()) for x in own]
+    at = [(n * best_threshold(logit[x], y[x], times[x]) + TRUST * overall) / (n + TRUST) if n else overall for x, n in zip(own, trust, strict=True)]
     return tables | {"shift": np.array(at) - np.log(THRESHOLD / (1 - THRESHOLD))}
 
 
+def _trained(spark: SparkSession, ids: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, part: np.ndarray) -> tuple[dict, np.ndarray]:
+    """The tables of the network trained on all, and each document's logit by a network that hasn't learned from its part."""
+    sent = spark.sparkContext.broadcast((ids, y, part))  # bounded by TRAIN_DOCS and TRAIN_BYTES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, y, part = sent.value
+        for k in (k for batch in batches for k in batch.column(0).to_pylist()):
+            rest, own = np.flatnonzero(part != k), np.flatnonzero(part == k)
+            if k == PARTS:
+                out = train(ids, y).tables()
+            elif len(set(y[rest])) == 2 and len(own):
+                out = _logits_of(train([ids[i] for i in rest], y[rest]).tables(), [ids[i] for i in own])
+            else:
+                out = np.zeros(len(own))
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([pickle.dumps(out)], pa.binary())], ["k", "out"])
+
+    tasks = spark.range(0, PARTS + 1, 1, PARTS + 1).select(F.col("id").alias("k"))
+    found = {r["k"]: pickle.loads(r["out"]) for r in tasks.mapInArrow(run, "k long, out binary").collect()}
+    logit = np.zeros(len(y))
+    for k in range(PARTS):
+        logit[part == k] = found[k]
+    return found[PARTS], logit
+
+
 def _binned(docs: DataFrame, labels: DataFrame, tables: dict) -> list:
     """language, label, bin and count over all documents with one of the labels (doc_id, label): a bounded number of rows."""
     n = labels.count()

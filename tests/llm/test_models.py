@@ -261,3 +261,115 @@ def test_field_learns_kinds_that_are_rare(spark):
     assert model is not None
     near = np.exp(model[0]).sum(0)
     assert all(np.abs(model[0][:, pii.KINDS.index(k) + 1]).max() > 0.1 for k in ("card", "phone")) and np.isfinite(near).all()
+
+
+def test_quality_scores_do_not_depend_on_the_slice(spark, monkeypatch):
+    import pyarrow as pa
+
+    docs, labels, _ = corpus(spark, 200)
+    texts = pa.array([r["text"] or "" for r in docs.collect()])
+    whole = quality.Terms().read(texts)
+    alone = np.concatenate([quality.Terms().read(texts[i : i + 1]) for i in range(len(texts))])
+    assert np.array_equal(whole, alone)
+    assert np.array_equal(quality.dense(quality.sparse(whole)), whole.astype(np.float16).astype(np.float32))
+    a, b = quality.fit(docs.repartition(1), labels), quality.fit(docs.repartition(7), labels)
+    assert all(np.array_equal(a[k], b[k]) for k in a)
+    one = {r["doc_id"]: r["score"] for r in quality.scored(docs.repartition(1), a).collect()}
+    monkeypatch.setattr("mnemosieve.llm.common.BATCH_ROWS", 1)
+    assert one == {r["doc_id"]: r["score"] for r in quality.scored(docs.repartition(5), a).collect()}
+
+
+def test_vote_against_all_neighbours():
+    r = np.random.default_rng(1)
+    vectors, labelled = quality.unit(r.normal(size=(300, 48))).astype(np.float32), quality.unit(r.normal(size=(900, 48))).astype(np.float32)
+    model = {"vectors": labelled, "labels": r.integers(0, 2, 900).astype(float)}
+    got = quality.vote(vectors, model)
+    for v, score in zip(vectors, got, strict=True):
+        cosine = np.array([float(np.dot(v.astype(float), x.astype(float))) for x in labelled])
+        near = np.argsort(-cosine)[: quality.NEIGHBOURS]
+        weight = np.maximum(cosine[near], 0) ** quality.POWER + 1e-6
+        assert abs(score - (weight * model["labels"][near]).sum() / weight.sum()) < 1e-5
+
+
+def test_statistics_cover_all_documents(spark):
+    docs, _, _ = corpus(spark, 120)
+    table = quality.represented(docs)
+    counts = np.stack([quality.dense(__import__("pyarrow").array([r["terms"]]))[0] for r in table.collect()])
+    weights = quality.term_weights(table)
+    seen = (counts > 0).sum(0)
+    some = quality.SHAPES + quality.STEMS
+    assert np.allclose(weights[:some], np.log((1 + len(counts)) / (1 + seen[:some])) + 0.2)
+    x = quality.unit(counts * weights).astype(float)
+    basis = quality.latent_basis(table, weights).astype(float)
+    _, v = np.linalg.eigh(x.T @ x)
+    assert np.allclose(np.abs((basis[:, :5] * v[:, ::-1][:, :5]).sum(0)), 1, atol=1e-3)
+
+
+@pytest.mark.parametrize(("module", "column"), [(toxicity, "toxic"), (quality, "quality")])
+def test_long_documents_are_learned_from(spark, module, column):
+    r = np.random.default_rng(4)
+    vocab = ["".join(r.choice(list("abcdefghij"), 5)) for _ in range(400)]
+    rows = [(i, " ".join([*r.choice(vocab, 36_000), *(["Idiotic!!", "MORONIC!!"] * 1500 if i % 2 else [])])) for i in range(12)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i, _ in rows], f"doc_id long, {column} int")
+    assert min(len(t) for _, t in rows) > 200_000
+    model = module.fit(docs, labels)
+    assert model is not None
+    limit = toxicity.THRESHOLD if module is toxicity else 0.5
+    assert all((x["score"] >= limit) == (x["doc_id"] % 2 == 1) for x in module.scored(docs, model).collect())
+
+
+def test_training_texts_are_bounded(spark, monkeypatch):
+    docs, labels, _ = corpus(spark, 400)
+    seen, trained = [], toxicity._trained
+    monkeypatch.setattr(toxicity, "_trained", lambda s, ids, y, part: (seen.append((len(y), sum(len(w) for w, _ in ids))), trained(s, ids, y, part))[1])
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 3000)
+    assert toxicity.fit(docs, labels) is not None
+    assert 2 <= seen[0][0] < 60 and seen[0][1] * 4 < 8000
+
+
+def test_gradient_of_the_network():
+    """One step of training moves each parameter against the slope of the loss, as differences show it."""
+    r = np.random.default_rng(2)
+    docs = [(r.integers(0, 40, 12).astype(np.int32), r.integers(0, 20, 12).astype(np.int32)) for _ in range(6)]
+    net = toxicity.Network(3)
+    net.words[:40], net.stems[:20] = r.normal(size=(40, toxicity.DIMENSION)), r.normal(size=(20, toxicity.DIMENSION))
+
+    def loss(net):
+        total = 0.0
+        for i, (w, s) in enumerate(docs):
+            logit = float((toxicity.pooled(net.tables(), w, s, np.array([0, len(w)])) * net.last).sum()) + net.base
+            total += np.log1p(np.exp(-logit)) if i % 2 else np.log1p(np.exp(logit))
+        return total
+
+    import copy
+
+    logits = [float((toxicity.pooled(net.tables(), w, s, np.array([0, len(w)])) * net.last).sum()) + net.base for w, s in docs]
+    for k in range(4):
+        bumped = copy.deepcopy(net)
+        bumped.last[k] += 1e-3
+        slope = (loss(bumped) - loss(net)) / 1e-3
+        want = sum((1 / (1 + np.exp(-z)) - i % 2) * toxicity.pooled(net.tables(), w, s, np.array([0, len(w)]))[0, k] for i, (z, (w, s)) in enumerate(zip(logits, docs, strict=True)))
+        assert abs(slope - want) < 2e-2 * max(1, abs(want))
+    y = np.arange(6) % 2
+    after = toxicity.train(docs, np.arange(6) % 2.0, epochs=60)
+    at = lambda n: np.mean([np.log1p(np.exp(-(2 * y[i] - 1) * toxicity._logits_of(n.tables(), [d])[0])) for i, d in enumerate(docs)])
+    assert at(after) < 0.1 < at(toxicity.Network(3))
+
+
+def test_wide_filters_tell_what_single_words_cannot():
+    """Toxic where two words follow each other; both words occur in all documents."""
+    r = np.random.default_rng(5)
+    docs, y = [], []
+    for i in range(400):
+        words = r.integers(10, 200, 20).astype(np.int32)
+        a = int(r.integers(0, 9))
+        b = a + 1 if i % 2 else a + 10
+        words[a], words[b] = 1, 2
+        docs.append((words, words))
+        y.append(i % 2)
+    y = np.array(y, float)
+    net = toxicity.train(docs[:300], y[:300], epochs=40)
+    wide = toxicity._logits_of(net.tables(), docs[300:])
+    alone = net.tables() | {"last": net.last * (np.arange(len(net.last)) < toxicity.FILTERS)}
+    auc = lambda z: np.mean(z[y[300:] == 1][:, None] > z[y[300:] == 0][None])
+    assert auc(wide) > 0.9 > 0.75 > auc(toxicity._logits_of(alone, docs[300:]))
