@@ -8,12 +8,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mnemosieve.sources.tables import read_table, scratch_path, written
 
-__all__ = ["arrow_map", "attach_groups", "lower_ascii", "read_table", "scratch_path", "slices", "worker_state", "written", "WordHasher"]
+__all__ = ["arrow_map", "attach_groups", "carried", "lower_ascii", "read_table", "restored", "scratch_path", "slices", "worker_state", "written", "WordHasher"]
 
 #: Rows of a batch that goes to Python, and bytes of text that a function sees at once.
 BATCH_ROWS, SLICE_BYTES = 1000, 1 << 20
@@ -68,6 +68,16 @@ def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch
     return df.withColumn(column, F.coalesce(F.col(column).cast("string"), F.lit(""))).mapInArrow(run, schema)
 
 
+def carried(docs: DataFrame, *columns: Column) -> DataFrame:
+    """The given columns and `_own`, a struct of all columns of docs: whatever names they have, they clash with nothing."""
+    return docs.select(*columns, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_own"))
+
+
+def restored(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of docs out of `_own`."""
+    return df.select(*(F.col("_own").getField(c).alias(c) for c in docs.columns))
+
+
 def lower_ascii(column):
     """Lower-cases A-Z and nothing else."""
     return F.translate(column, UPPER, LOWER)

@@ -6,7 +6,8 @@ prefix sum, shifted by one random offset, gives a copy for each whole number it
 hash of doc_id, so any stretch of the prefix sum holds its share of long and short ones and the words taken come near the target.
 
 Defined results: null texts have size 0; a null source is a source, the last; a source without words has target 0 and gives nothing;
-repeated rows are rows of their own; ties of the order go by doc_id; an empty table gives no rows; further columns are ignored.
+repeated rows are rows of their own; ties of the order go by doc_id; an empty table gives no rows; further columns are ignored, or carried unchanged by
+the mix, whatever their names.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mnemosieve.llm.common import read_table, written
+from mnemosieve.llm.common import carried, read_table, restored, written
 
 WEIGHTS, SHARE, MOST, SEED = (5, 2, 1), 1.5, 2, "mix-1"
-#: Rows that one task ranks, unless a group is among the 2000 largest, which are split by hash into runs of this many.
+#: Rows that one task ranks at most, about: groups of more are split by hash into runs.
 RANK_ROWS = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 KEY = ["_none", "_source"]
@@ -51,19 +52,21 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share:
 
 
 def mixed(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST, seed: str = SEED) -> DataFrame:
-    """rows (doc_id, source, size and others) with source_size, target and copies."""
-    columns = rows.columns
+    """rows (doc_id, source, size and others) with source_size, target and copies, which take the place of columns of these names."""
+    columns = [c for c in rows.columns if c not in ("source_size", "target", "copies")]
     group = [*KEY, "_class"]
-    keyed = rows.withColumns({
+    keyed = carried(rows.select(*(F.col(f"`{c}`") for c in columns)), F.col("doc_id"), F.col("source"), F.col("size")).withColumns({
         "_none": F.col("source").isNull(), "_source": F.coalesce(F.col("source").cast("string"), F.lit("")), "_class": size_class("size"),
         "_hash": F.pmod(F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)).cast("long"), F.lit(1 << 31)) * F.lit(2654435761), F.lit(1 << 32)),
     })
     counts = written(keyed.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")), "mix-counts")
     limit = max(RANK_ROWS, (counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]) // 2000)
+    usual = -(-limit // RANK_ROWS)  # runs of a group that isn't among the largest
     runs = counts.where(F.col("n") > limit).select(*group, F.ceil(F.col("n") / RANK_ROWS).cast("long").alias("_runs"))  # 2000 rows at most
-    salted = keyed.join(F.broadcast(runs), group, "left").withColumn("_salt", F.coalesce(F.shiftright(F.col("_hash") * F.col("_runs"), 32), F.lit(0).cast("long"))).drop("_runs")
+    run = lambda of: F.shiftright(F.col("_hash") * of, 32)
+    salted = keyed.join(F.broadcast(runs), group, "left").withColumn("_salt", run(F.coalesce("_runs", F.lit(usual)))).drop("_runs")
     group = [*group, "_salt"]
-    if runs.isEmpty():
+    if usual == 1 and runs.isEmpty():
         fine = counts.select(*KEY, "_class", "n").withColumn("_salt", F.lit(0).cast("long"))
     else:
         fine = salted.groupBy(*group).agg(F.count(F.lit(1)).alias("n"))
@@ -78,15 +81,14 @@ def mixed(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SH
     return (
         salted.withColumn("_rank", rank).join(places, group).withColumn("_rank", F.col("_rank") + F.col("_before"))
         .withColumn("copies", (crossed(at) - crossed(at - 1)).cast("long"))
-        .select(*columns, "source_size", "target", "copies")
+        .select(*(F.col("_own").getField(c).alias(c) for c in columns), "source_size", "target", "copies")
     )
 
 
 def mixture(docs: DataFrame) -> DataFrame:
     """The mix itself: rows of docs, each as often as it is taken."""
-    chosen = mixed(docs.withColumn("size", word_count(F.col("text")))) if "size" not in docs.columns else mixed(docs.withColumnRenamed("size", "_own_size").withColumn("size", word_count(F.col("text"))))
-    out = chosen.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
-    return out.select(*[F.col("_own_size").alias(c) if c == "size" else F.col(c) for c in docs.columns])
+    chosen = mixed(carried(docs, F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size")).withColumnRenamed("_own", "_docs")).where("copies > 0")
+    return restored(chosen.select(F.col("_docs").alias("_own"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))), docs)
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:

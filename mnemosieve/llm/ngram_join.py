@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnemosieve.llm.common import BATCH_ROWS, WordHasher, arrow_map, attach_groups, mix64, read_table, slices, worker_state, written
+from mnemosieve.llm.common import BATCH_ROWS, WordHasher, arrow_map, attach_groups, carried, mix64, read_table, restored, slices, worker_state, written
 
 WORDS, PERCENT = 4, 85
 #: Shingles known to be frequent at most (they only order the others, whatever is left out); documents of a slice that make one a candidate.
@@ -578,10 +578,10 @@ def representatives(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("r")
     keep = placed.where("n > 0").groupBy("component").agg(first).select("r.row_key").unionByName(placed.where("n = 0").select("row_key"))
     keep = written(keep.select(F.col("row_key").alias("_row_key")).distinct(), "kept")
-    out = docs.withColumn("_row_key", _row_key()).join(keep, "_row_key", "left_semi")
-    if docs.groupBy("doc_id").count().where("count > 1").isEmpty():
-        return out.select(*docs.columns)
-    return out.dropDuplicates(["_row_key"]).select(*docs.columns)
+    out = carried(docs, _row_key().alias("_row_key")).join(keep, "_row_key", "left_semi")
+    if not docs.groupBy("doc_id").count().where("count > 1").isEmpty():
+        out = out.dropDuplicates(["_row_key"])
+    return restored(out, docs)
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

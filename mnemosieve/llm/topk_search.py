@@ -1,11 +1,12 @@
 """Exact top-k inner-product search by the three-phase uniform threshold.
 
-The lists are blocks of dimensions. Phase 1: each task lists, for each query and block, its k best partial products, resolves what is
-listed, and sends its k best scores; the k-th best of all is a score that k rows reach, so a safe cutoff. Phase 2: the cutoff is broadcast;
-a score of at least `cutoff` needs a block of at least cutoff / blocks, so entries below that in every block are left out. Phase 3: the
-others are resolved exactly, and those that reach the cutoff compete for the k places.
+The lists are blocks of dimensions: a score is the sum of its partial products over the blocks. Phase 1: each task goes through its rows once and gathers
+its local lists. As soon as it knows k scores of a query, the least of them is its threshold: a score that reaches it needs a partial product of
+threshold / blocks in some block, so only entries above that are looked at, and only those are summed up exactly. A task's lists, k entries a query
+at most, go to the shared folder. Phase 2: the k-th best of all lists is a score that k rows reach, a safe cutoff, which is broadcast; only list
+entries that reach it are collected. Phase 3: ties and ranks of what remains are resolved. Rows are read once, and phase 2 reads lists only.
 
-Queries come in blocks of a bounded size; only such a block and its cutoffs are ever broadcast. Products are of integers and exact:
+Queries come in blocks of a bounded size, one pass over the rows for each; only such a block and its cutoffs are ever broadcast. Products are of integers and exact:
 32-bit floats hold them below 2**24, 64-bit floats below 2**53, Python integers beyond.
 
 Defined results: a vector that is null or empty or holds a null or non-finite component takes no part; only vectors of the query's length
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 
 from mnemosieve.llm.common import BATCH_ROWS, read_table, scratch_path, written
 
-K, BLOCKS, QUERY_BLOCK, SCALE = 5, 4, 2048, 256
+#: Queries of a pass, which a task holds, and their bytes at most; queries of a tile, whose products with a batch of rows it holds at once.
+K, BLOCKS, QUERY_BLOCK, QUERY_BYTES, TILE, SCALE = 5, 4, 16_384, 32 << 20, 1024, 256
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -70,57 +72,60 @@ def as_long(scores: np.ndarray) -> np.ndarray:
     return scores.astype(np.int64)
 
 
-def _emit(query: list, ids: list, scores: list) -> pa.RecordBatch:
-    join = lambda x: pa.array(np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64))
-    return pa.RecordBatch.from_arrays([join(query), join(ids), join(scores)], ["query_id", "vec_id", "score"])
+class Lists:
+    """A task's best entries for each of its queries: at most k, by score and then by vec_id."""
+
+    def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int, blocks: int) -> None:
+        self.ids, self.queries, self.k, self.blocks = ids, queries, k, blocks
+        self.threshold = np.full(len(ids), LEAST)
+        self.query, self.vec, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.resolved = 0  # entries that were summed up
+
+    def add(self, ids: np.ndarray, rows: np.ndarray) -> None:
+        found = [self.enough(at, ids, rows) for at in range(0, len(self.ids), TILE)]
+        query, vec, score = (np.concatenate([old, *(x[c] for x in found)]) for c, old in enumerate((self.query, self.vec, self.score)))
+        order = np.lexsort((vec, -score, query))
+        query, vec, score = query[order], vec[order], score[order]
+        first = np.searchsorted(query, query)
+        stays = np.arange(len(query)) - first < self.k
+        self.query, self.vec, self.score = query[stays], vec[stays], score[stays]
+        full = np.flatnonzero(np.arange(len(self.query)) - np.searchsorted(self.query, self.query) == self.k - 1)
+        self.threshold[self.query[full]] = self.score[full]
+
+    def enough(self, at: int, ids: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Entries of one tile of queries that reach their thresholds: number of the query, vec_id, score."""
+        parts = partials(self.queries[at : at + TILE], rows, self.blocks)
+        threshold = self.threshold[at : at + TILE]
+        limit = threshold.astype(np.float64)
+        limit -= np.abs(limit) * 1e-9 + 1  # below the threshold, whatever rounding does
+        limit = (limit / len(parts))[:, None]
+        enough = parts[0] >= limit
+        for p in parts[1:]:
+            enough |= p >= limit
+        enough &= self.ids[at : at + TILE, None] != ids[None]
+        open_ = threshold == LEAST
+        if open_.any() and rows.shape[0] > self.k + 1:  # nothing is known of these queries: of this batch, only the k best and what ties with them
+            total = sum((p[open_] for p in parts[1:]), parts[0][open_])
+            own = self.ids[at : at + TILE][open_, None] == ids[None]
+            least = np.sort(np.where(own, total.min() - 1 if total.dtype != object else min(map(min, total)) - 1, total), 1)[:, -self.k]
+            enough[open_] &= total >= least[:, None]
+        i, j = np.nonzero(enough)
+        self.resolved += len(i)
+        score = as_long(sum((p[i, j] for p in parts[1:]), parts[0][i, j]))
+        stays = score >= threshold[i]
+        return i[stays] + at, ids[j[stays]], score[stays]
 
 
 def phase_one(queries: dict[int, tuple[np.ndarray, np.ndarray]], k: int, blocks: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    best: dict[int, tuple[np.ndarray, np.ndarray]] = {d: (np.full((len(i), k), LEAST), np.zeros((len(i), k), np.int64)) for d, (i, _) in queries.items()}
-    seen = {d: np.zeros(len(i), np.int64) for d, (i, _) in queries.items()}
+    """A task's lists over all its rows."""
+    lists = {d: Lists(ids, rows, k, blocks) for d, (ids, rows) in queries.items()}
     for batch in batches:
         for d, (ids, rows) in quantised(batch).items():
-            if d not in queries:
-                continue
-            own, q = queries[d]
-            parts = partials(q, rows, blocks)
-            total = sum(parts[1:], parts[0])
-            listed = [np.argpartition(p, -k, 1)[:, -k:] if p.shape[1] > k else np.broadcast_to(np.arange(p.shape[1]), p.shape) for p in parts]
-            at = np.sort(np.concatenate(listed, 1), 1)
-            score = as_long(np.take_along_axis(total, at, 1))
-            score[(ids[at] == own[:, None]) | np.pad(at[:, 1:] == at[:, :-1], ((0, 0), (1, 0)))] = LEAST
-            all_scores, all_ids = np.concatenate([best[d][0], score], 1), np.concatenate([best[d][1], ids[at]], 1)
-            top = np.argpartition(all_scores, -k, 1)[:, -k:]
-            best[d] = np.take_along_axis(all_scores, top, 1), np.take_along_axis(all_ids, top, 1)
-            seen[d] += len(ids)
-    for d, (own, _) in queries.items():
-        scores, ids = best[d]
-        real = scores > LEAST
-        if real.any():
-            yield _emit([np.broadcast_to(own[:, None], real.shape)[real]], [ids[real]], [scores[real]])
-
-
-def later_phases(queries: dict[int, tuple[np.ndarray, np.ndarray]], cutoffs: dict[int, int], blocks: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    cut = {d: np.array([cutoffs.get(int(i), int(LEAST)) for i in own], np.int64) for d, (own, _) in queries.items()}
-    slack = {d: x - np.abs(x) * 1e-9 - 1 for d, x in ((d, x.astype(np.float64)) for d, x in cut.items())}  # below the cutoff, whatever rounding does
-    for batch in batches:
-        out: tuple[list, list, list] = ([], [], [])
-        for d, (ids, rows) in quantised(batch).items():
-            if d not in queries:
-                continue
-            own, q = queries[d]
-            parts = partials(q, rows, blocks)
-            limit = (slack[d] / len(parts))[:, None]
-            enough = parts[0] >= limit
-            for p in parts[1:]:
-                enough |= p >= limit
-            i, j = np.nonzero(enough)
-            score = as_long(sum((p[i, j] for p in parts[1:]), parts[0][i, j]))
-            stays = (score >= cut[d][i]) & (ids[j] != own[i])
-            for column, x in zip(out, (own[i[stays]], ids[j[stays]], score[stays]), strict=True):
-                column.append(x)
-        if any(map(len, out[0])):
-            yield _emit(*out)
+            if d in lists:
+                lists[d].add(ids, rows)
+    for x in lists.values():
+        if len(x.query):
+            yield pa.RecordBatch.from_arrays([pa.array(x.ids[x.query]), pa.array(x.vec), pa.array(x.score)], ["query_id", "vec_id", "score"])
 
 
 def top_k(rows: DataFrame, queries: DataFrame, k: int = K, blocks: int = BLOCKS, query_block: int = QUERY_BLOCK) -> DataFrame:
@@ -129,23 +134,21 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K, blocks: int = BLOCKS,
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     asked = written(queries.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id is not null and embedding is not null").groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "queries")
-    n = -(-asked.count() // query_block)
+    count, longest = asked.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()
+    n = -(-count // max(1, min(query_block, QUERY_BYTES // (8 * max(1, longest)))))
     path = scratch_path(spark, "top-k")
-    for block in range(n):  # about query_block queries each, whatever the number of rows
+    for block in range(n):  # about query_block queries each
         table = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(n)) == block).toArrow().combine_chunks()
         batches = table.to_batches()
         if not batches or not (held := quantised(batches[0])):
             continue
         sent = spark.sparkContext.broadcast(held)
-        first = rows.mapInArrow(lambda it, sent=sent: phase_one(sent.value, k, blocks, it), FOUND)
-        best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
-        cutoffs = {r[0]: r[1] for r in first.withColumn("r", best).where(F.col("r") == k).select("query_id", "score").collect()}  # one for each query of the block
-        cut = spark.sparkContext.broadcast(cutoffs)
-        found = rows.mapInArrow(lambda it, sent=sent, cut=cut: later_phases(sent.value, cut.value, blocks, it), FOUND)
-        place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-        found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(path)
+        lists = written(rows.mapInArrow(lambda it, sent=sent: phase_one(sent.value, k, blocks, it), FOUND), "lists")
+        by_score, place = Window.partitionBy("query_id").orderBy(F.desc("score")), Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        cutoffs = lists.withColumn("r", F.row_number().over(by_score)).where(F.col("r") == k).select("query_id", F.col("score").alias("cutoff"))  # one for each query of the block
+        sufficient = lists.join(F.broadcast(cutoffs), "query_id", "left").where("cutoff is null or score >= cutoff")
+        sufficient.withColumn("rank", F.row_number().over(place)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(path)
         sent.destroy()
-        cut.destroy()
     schema = "query_id long, rank int, vec_id long, score long"
     if n and spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)):
         return spark.read.schema(schema).parquet(path)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnemosieve.llm.common import WordHasher, arrow_map, read_table, worker_state, written
+from mnemosieve.llm.common import WordHasher, arrow_map, carried, read_table, restored, worker_state, written
 from mnemosieve.llm.folds import fold, labelled, sample_ids, texts_of
 
 TRAIN_DOCS, TRAIN_BYTES, TRUST = 2500, 32 << 20, 10.0
@@ -336,18 +336,15 @@ def clean(docs: DataFrame, model: dict | None, threshold: float = THRESHOLD) ->
     if model is None:
         return docs
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        text = batch.column(batch.num_columns - 1)
-        words, stems, first, language = worker_state("toxicity_reader", Reader).read(text)
+        words, stems, first, language = worker_state("toxicity_reader", Reader).read(batch.column(0))
         logit = logits(sent.value, words, stems, first) - sent.value["shift"][language]
-        keep = pa.array(1 / (1 + np.exp(-np.clip(logit, -30, 30))) < threshold)
-        kept = batch.filter(keep)
-        return pa.RecordBatch.from_arrays(kept.columns[:-1], names) if kept.num_rows else None
+        kept = batch.filter(pa.array(1 / (1 + np.exp(-np.clip(logit, -30, 30))) < threshold))
+        return kept.select([1]) if kept.num_rows else None
 
-    own = docs.withColumn("_scored", F.col("text"))
-    return arrow_map(own, run, docs.schema, "_scored")
+    own = carried(docs, F.col("text"))
+    return restored(arrow_map(own, run, own.select("_own").schema), docs)
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

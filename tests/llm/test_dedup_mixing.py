@@ -46,14 +46,44 @@ def test_hot_group(spark, monkeypatch):
 
 
 def test_directory_doubles():
-    depth, slots = xd.directory({0: 5, 1: 5, 2: 1, 15: 3}, capacity=4, depth=4)
-    assert depth == 4 and len(slots) == 16 and slots[0] != slots[1] and len(set(slots[8:])) == 1
-    assert xd.directory({}, 4, 4) == (0, [0])
-    assert xd.directory({3: 100}, 4, 4)[0] == 4  # a bucket of one address stays overfull
+    histogram = {0: 5, 1: 5, 2: 1, 15: 3}
+    grown = xd.Directory(4).grown(histogram, 4)
+    assert grown.depth == 4 and len(grown.slots) == 16 and grown.slots[0] != grown.slots[1] and len(set(grown.slots[8:])) == 1
+    table = grown.table(histogram, 4)
+    assert [s for s, *_ in table] == list(range(16)) and [b for _, b, _ in table] == sorted(b for _, b, _ in table)  # buckets follow their keys
+    assert [p for *_, p in table[:3]] == [2, 2, 1]
+    assert xd.Directory(4).grown({}, 4).slots == [0]
+    assert xd.Directory(4).grown({3: 100}, 4).table({3: 100}, 4)[3][2] == 25  # a bucket of one address gets pages
+
+
+def test_directory_against_plain_splitting():
+    import random
+
+    r = random.Random(4)
+    for capacity in (1, 3, 10, 1000):
+        histogram = {p: r.randrange(1, 6) for p in r.sample(range(64), 30)}
+        grown = xd.Directory(6).grown(histogram, capacity)
+
+        def buckets(first, width, capacity=capacity, histogram=histogram):
+            n = sum(histogram.get(p, 0) for p in range(first, first + width))
+            return [(first, width)] if n <= capacity or width == 1 else buckets(first, width // 2) + buckets(first + width // 2, width // 2)
+
+        want = {p: i for i, (first, width) in enumerate(buckets(0, 64)) for p in range(first, first + width)}
+        table = grown.table(histogram, capacity)
+        assert {p: table[p >> (6 - grown.depth)][1] for p in range(64)} == want
+
+
+def test_owners_hold_their_buckets(spark):
+    rows = [(i, f"text {i % 700}") for i in range(2000)]
+    index, slim = xd.build_index(spark.createDataFrame(rows, SCHEMA), capacity=10, depth=8)
+    files = index.select("bucket", "page", F.input_file_name().alias("file")).distinct().collect()
+    assert len({(r["bucket"], r["page"]) for r in files}) == len(files) > 50  # a bucket's page is written by one task
+    assert index.groupBy("bucket", "page").count().where("count > 30").isEmpty() and index.count() == 700
+    assert slim.join(index, xd.ADDRESS).count() == 2000  # every row finds its key by its address
 
 
 def test_deduplicated(spark):
-    docs = spark.createDataFrame([(i, t, "l") for i, t in ROWS], "doc_id long, text string, kept string")
+    docs = spark.createDataFrame([(i, t, "l", 1, 2) for i, t in ROWS], "doc_id long, text string, kept string, _key int, `text_sha256` int")
     out = xd.deduplicated(docs)
     assert out.columns == docs.columns
     assert sorted((r["doc_id"], (r["text"] or "").translate(FOLD)) for r in out.where("doc_id is not null").collect()) == sorted((i, (t or "").translate(FOLD)) for i, t in {(9, "same"), (2, "ÀB"), (3, "àb"), (6, ""), (7, " "), (10, "x" * 200_000)})
@@ -85,8 +115,8 @@ def test_targets(spark, sizes):
 
 
 def docs_of(spark):
-    rows = [(i, None if i % 17 == 0 else "w " * (i * 37 % 300), None if i % 29 == 0 else "ab"[i % 2] if i % 3 else "hot", "clash") for i in range(2000)]
-    return spark.createDataFrame(rows, "doc_id long, text string, source string, size string")
+    rows = [(i, None if i % 17 == 0 else "w " * (i * 37 % 300), None if i % 29 == 0 else "ab"[i % 2] if i % 3 else "hot", "clash", "a", "b", 1, 2, 3) for i in range(2000)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string, size string, target string, copies string, _rank int, source_size int, _own int")
 
 
 @pytest.mark.parametrize("limit", [100_000, 50])
@@ -110,7 +140,7 @@ def test_mixture(spark, monkeypatch, limit):
 def test_mixture_rows(spark):
     docs = docs_of(spark)
     out = mx.mixture(docs)
-    assert out.columns == docs.columns and out.where("size = 'clash'").count() == out.count() > 0
+    assert out.columns == docs.columns and out.where("size = 'clash' and target = 'a' and copies = 'b' and _rank = 1 and source_size = 2 and _own = 3").count() == out.count() > 0
     assert mx.mixture(docs.limit(0)).count() == 0
 
 

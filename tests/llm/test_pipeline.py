@@ -6,6 +6,8 @@ from tests.conftest import DATA, agree
 from tests.llm.test_dedup_mixing import FOLD
 from tests.llm.test_ngram_join import brute
 
+CLASH = ("a", "b", "c", 1, 2, 3, "d", 4)
+
 
 def test_stages(spark, tmp_path):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
@@ -34,12 +36,12 @@ def test_stages(spark, tmp_path):
 
 
 def test_empty_and_odd_documents(spark):
-    schema = "doc_id long, text string, lang string, source string, n_chars long, size string, kept string"
-    for rows in ([], [(1, None, None, None, None, "a", "b"), (2, "", "", "", 0, "a", "b"), (2, "", "", "", 0, "a", "b"), (3, "some words of a text here", "en", "s", 5, "a", "b")]):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, size string, kept string, target string, copies int, _key int, _row_key long, _scored string, source_size int"
+    for rows in ([], [(1, None, None, None, None, *CLASH), (2, "", "", "", 0, *CLASH), (2, "", "", "", 0, *CLASH), (3, "some words of a text here", "en", "s", 5, *CLASH)]):
         docs = spark.createDataFrame(rows, schema)
         for _, stage in corpus_pipeline.STAGES[:-1]:
             out = stage(spark, docs, str(DATA))
-            assert out.columns == docs.columns
+            assert out.columns == docs.columns and all(tuple(r)[5:] == CLASH for r in out.collect())
             docs = spark.createDataFrame(out.collect(), schema)
         corpus_pipeline.STAGES[-1][1](spark, docs, str(DATA)).count()
 

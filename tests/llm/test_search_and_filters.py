@@ -225,3 +225,17 @@ def test_pages_keep_the_article(spark):
     for r in hx.extracted(rows).collect():
         assert r["text"] == article_of(pages[r["page_id"]])
     assert rows.select(F.col("page_id")).count() == len(pages)
+
+
+def test_thresholds_save_work():
+    r = np.random.default_rng(6)
+    rows = np.floor(256 * (lambda x: x / np.linalg.norm(x, axis=1, keepdims=True))(r.normal(size=(20_000, 64))))
+    lists = tk.Lists(np.arange(100), rows[:100], 5, 4)
+    for at in range(0, len(rows), 1000):
+        lists.add(np.arange(at, at + 1000), rows[at : at + 1000])
+    assert lists.resolved < 0.25 * 100 * len(rows) and len(lists.query) == 500
+    total = rows[:100] @ rows.T
+    total[np.arange(100), np.arange(100)] = -1e9
+    for q in range(100):
+        want = np.lexsort((np.arange(len(rows)), -total[q]))[:5]
+        assert lists.vec[lists.query == q].tolist() == want.tolist() and lists.score[lists.query == q].tolist() == total[q][want].tolist()
