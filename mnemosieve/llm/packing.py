@@ -10,6 +10,7 @@ time it occurs; equal lengths are interchangeable, ties go by doc_id; an empty t
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from bisect import bisect_left, insort
@@ -23,9 +24,10 @@ from pyspark.sql import functions as F
 from mnemosieve.llm.common import arrow_map, worker_state, written
 
 CAPACITY, END_ID = 4096, 1
-#: Nodes the search may visit after the best-fit start, however many lengths there are; fillings of one sequence it compares, for many pieces and for
-#: at most FEW, which are searched one by one; rows ranked by one task.
-NODES, FILLINGS, ALL_FILLINGS, FEW, RANK_ROWS = 2000, 48, 1000, 64, 100_000
+#: Nodes the search may visit after the best-fit start, however many lengths there are; fillings of one sequence it compares; rows ranked by one task.
+NODES, FILLINGS, RANK_ROWS = 2000, 48, 100_000
+#: At most FEW pieces are searched one by one; at most SMALL with all their fillings and as many nodes as it takes, remembering what was left before.
+FEW, ALL_FILLINGS, SMALL, ALL_NODES = 64, 1000, 20, 200_000
 #: Chunks a worker remembers the ids of in each of two generations, some 200 bytes each.
 REMEMBERED = 300_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -109,12 +111,12 @@ def dominates(a: Pattern, b: Pattern) -> bool:
     return True
 
 
-def fillings(counts: dict[int, int], lengths: list[int], residue: int, most: int) -> list[Pattern]:
-    """Undominated among at most `most` fillings of the residue, least waste first. lengths: ascending, those that remain. Every length and every
-    multiplicity is a branch; the first branch may take half of what is left to find, so fillings differ from their longest item on."""
+def fillings(counts: dict[int, int], lengths: list[int], residue: int, most: int | None) -> list[Pattern]:
+    """Undominated among at most `most` fillings of the residue (all, if None), least waste first. lengths: ascending, those that remain. Every length and
+    every multiplicity is a branch; with a limit, the first branch may take half of what is left to find, so fillings differ from their longest item on."""
     found: list[tuple[int, Pattern]] = []
 
-    def walk(below: int, residue: int, pattern: Pattern, most: int) -> int:
+    def walk(below: int, residue: int, pattern: Pattern, most: int | None) -> int:
         at = min(bisect_left(lengths, residue + 1), below)
         if not at:
             found.append((residue, pattern))
@@ -123,9 +125,9 @@ def fillings(counts: dict[int, int], lengths: list[int], residue: int, most: int
         for i in range(at - 1, -1, -1):
             length = lengths[i]
             for k in range(min(counts[length], residue // length), 0, -1):
-                if done >= most:
+                if most is not None and done >= most:
                     return done
-                done += walk(i, residue - k * length, (*pattern, (length, k)), (most - done + 1) // 2)
+                done += walk(i, residue - k * length, (*pattern, (length, k)), None if most is None else (most - done + 1) // 2)
         return done
 
     walk(len(lengths), residue, (), most)
@@ -158,11 +160,11 @@ class Remaining:
             else:
                 del self.counts[length], self.lengths[bisect_left(self.lengths, length)]
 
-    def moves(self, one_by_one: bool) -> list[tuple[Pattern, int]]:
+    def moves(self, one_by_one: bool, small: bool = False) -> list[tuple[Pattern, int]]:
         """Sequences of the largest item with a filling, and how often each may be filled: as often as it lasts first, then once."""
         largest = self.lengths[-1]
         self.add(((largest, 1),), -1)
-        found = fillings(self.counts, self.lengths, self.capacity - largest, ALL_FILLINGS if one_by_one else FILLINGS)
+        found = fillings(self.counts, self.lengths, self.capacity - largest, None if small else ALL_FILLINGS if one_by_one else FILLINGS)
         self.add(((largest, 1),), 1)
         patterns = [((largest, 1 + filling[0][1]), *filling[1:]) if filling and filling[0][0] == largest else ((largest, 1), *filling) for filling in found]
         often = [min(self.counts[x] // k for x, k in p) for p in patterns]
@@ -177,9 +179,11 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
     if fewest <= least:
         return best
     volume = sum(x * n for x, n in counts.items())
-    one_by_one = sum(counts.values()) <= FEW
+    one_by_one, small = sum(counts.values()) <= FEW, sum(counts.values()) <= SMALL
+    nodes = max(nodes, ALL_NODES) if small else nodes
     left, plan, used, waste = Remaining(counts, capacity), [], 0, 0
-    stack = [iter(left.moves(one_by_one))]
+    before: dict[tuple, int] = {}  # the fewest sequences with which the same items were left
+    stack = [iter(left.moves(one_by_one, small))]
     while stack and nodes > 0 and fewest > least:
         move = next(stack[-1], None)
         if move is None:
@@ -195,8 +199,10 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = NODE
                 end = best_fit(left.counts, capacity)
                 if used + bins(end) < fewest:
                     best, fewest = [*plan, *end], used + bins(end)
-                if left.counts:
-                    stack.append(iter(left.moves(one_by_one)))
+                key = tuple(sorted(left.counts.items())) if small else None
+                if left.counts and (not small or before.get(key, fewest) > used):
+                    before[key] = used
+                    stack.append(iter(left.moves(one_by_one, small)))
                     continue
         if plan:
             pattern, times = plan.pop()
@@ -263,12 +269,17 @@ def pack(rows: DataFrame, order: list[str], capacity: int = CAPACITY, length: st
 
 
 class Chunks(dict):
-    """Ids of chunks between spaces as little-endian bytes. White space always parts tokens, so a text's ids are those of its chunks.
+    """Ids of texts as little-endian bytes, by their chunks between spaces where that gives the ids of the whole text.
 
-    Two things make chunks recur more often without changing ids: A-Z is lower-cased (the tokenizer lower-cases anyway), and a run of ASCII
-    symbols (but apostrophes) between a letter and white space, always tokens of its own, becomes a chunk.
+    For a tokenizer that lower-cases and always parts tokens at white space, a text's ids are those of its chunks. Two things make chunks recur more often
+    without changing ids: A-Z is lower-cased, and a run of ASCII symbols (but apostrophes) between a letter and white space, always tokens of its own,
+    becomes a chunk. Whether the tokenizer is of that kind is read off its own steps and tried on PROBES; any other gets its texts whole.
     """
 
+    PROBES = (
+        "Ab cD  e\tF\nG. x", " A", "a b ", "Don't (x) [y]! we'll", "ÀÉ ß x Ñ", "中文 字 a中", "1,234.5% $x", "a--b ##c _d", "🙂 é e\u0301", "\u00a0x\u2003y", "<s> [CLS] </s>", "İ ſ ﬁ", "tok en izer", "x\u200by \u00ad", "",
+    )
+
     SYMBOL = r"[!-&(-/:-@\[-`{-~]"
     MARK = re.compile(rf"({SYMBOL})(?<=[a-zß-öø-ÿ]{SYMBOL})({SYMBOL}*)(?=[ \n]|$)")
     LETTERS = re.compile(r"[a-zß-öø-ÿ]+")
@@ -280,6 +291,12 @@ class Chunks(dict):
         self.last = np.zeros(max(ids.values()) + 1, bool)  # ids that end a word
         self.last[[i for token, i in ids.items() if token.endswith("</w>")]] = True
         self.special = [x.content for x in tokenizer.get_added_tokens_decoder().values()]  # a text that holds one is left as it is
+        steps = json.loads(tokenizer.to_str())
+        normalizer = steps.get("normalizer") or {}
+        lowers = any(x.get("type") == "Lowercase" or x.get("type") == "BertNormalizer" and x.get("lowercase") for x in [normalizer, *normalizer.get("normalizers", [])])
+        self.whole = not lowers or steps.get("truncation") is not None or steps.get("padding") is not None
+        self.whole = self.whole or self.by_chunks(list(self.PROBES)) != self.directly(list(self.PROBES))
+        self.clear()
 
     def learn(self, chunks: set[str]) -> None:
         words, rest = [], []
@@ -306,7 +323,13 @@ class Chunks(dict):
         lower = text.lower() if text.isascii() else text.encode("utf-8", "surrogatepass").translate(self.LOWER).decode("utf-8", "surrogatepass")
         return text if any(x in lower for x in self.special) else self.MARK.sub(r" \1\2", lower)
 
+    def directly(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
     def ids(self, texts: list[str]) -> list[bytes]:
+        return self.directly(texts) if self.whole else self.by_chunks(texts)
+
+    def by_chunks(self, texts: list[str]) -> list[bytes]:
         if len(self) > REMEMBERED:
             self.older = dict(self)
             self.clear()
