@@ -2,8 +2,8 @@
 
 Rules judge the URLs that they fit, and these judgements are the labels the trees learn from; the trees judge the rest. Features: lengths,
 depth, digit ratio, character entropy, parameters, hyphens, labels of the host, and the share of blocked URLs among those labelled under
-the host's last label and its last two. The shares count all labelled URLs; the trees are fitted on TRAIN_ROWS labelled URLs at most, those
-with the smallest hashes.
+the host's last label and its last two. The shares count all labelled URLs, but for a labelled URL only those of other folds, so its own label is no
+part of its features. The trees are fitted on TRAIN_ROWS labelled URLs at most, those with the smallest hashes.
 
 Defined results: a null URL or one without `://` has an empty host and path; a URL that fits no rule is allowed where there is nothing to
 learn from (no labelled URL of one verdict, or an empty table); repeated rows are judged alike; of rules of one length the first given
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from mnemosieve.llm.common import attach_groups, lower_ascii, read_table, written
 
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
-#: Labelled URLs the trees are fitted on; trees and their depth; pseudo-counts of a suffix's share.
-TRAIN_ROWS, TREES, TREE_DEPTH, PRIOR = 20_000, 20, 4, 20.0
+#: Labelled URLs the trees are fitted on; trees and their depth; pseudo-counts of a suffix's share; folds of labelled URLs.
+TRAIN_ROWS, TREES, TREE_DEPTH, PRIOR, FOLDS = 20_000, 20, 4, 20.0, 5
 PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 FEATURES = ["url_length", "host_length", "path_length", "depth", "digits", "entropy", "parameters", "hyphens", "labels", "last_label", "last_two"]
 
@@ -64,16 +64,36 @@ def lexical(df: DataFrame) -> DataFrame:
     })
 
 
-def suffix_shares(rows: DataFrame) -> DataFrame:
-    """suffix, n, last_two, last_label: smoothed shares of blocked URLs among the labelled."""
-    counts = written(rows.groupBy("suffix").agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("known"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("blocked")), "suffixes")
+def with_shares(rows: DataFrame) -> DataFrame:
+    """rows (suffix, url, label) with last_two and last_label: smoothed shares of blocked URLs, for a labelled URL among those of the other folds."""
+    part = F.when(F.col("label").isNotNull(), F.pmod(F.xxhash64("url"), F.lit(FOLDS)).cast("int")).otherwise(FOLDS)
+    rows = rows.withColumn("part", part)
+    counts = written(rows.groupBy("suffix", "part").agg(F.count(F.lit(1)).alias("n"), F.count("label").alias("known"), F.coalesce(F.sum("label"), F.lit(0.0)).alias("blocked")), "suffixes")
     known, blocked = counts.agg(F.sum("known"), F.sum("blocked")).first()
     base = (blocked or 0.0) / max(1, known or 0)
-    last = counts.groupBy(F.substring_index("suffix", ".", -1).alias("last")).agg(((F.sum("blocked") + base * PRIOR) / (F.sum("known") + PRIOR)).alias("last_label"))
-    return (
-        counts.withColumn("last", F.substring_index("suffix", ".", -1)).join(last, "last")
-        .withColumn("last_two", (F.col("blocked") + F.col("last_label") * PRIOR) / (F.col("known") + PRIOR)).select("suffix", "n", "last_two", "last_label")
-    )
+    others = [F.array(*(F.coalesce(F.sum(F.when(F.col("part") != k, F.col(c))), F.lit(0)).cast("double") for k in range(FOLDS + 1))).alias(c) for c in ("known", "blocked")]
+    smooth = lambda b, n, prior: (b + prior * PRIOR) / (n + PRIOR)
+    each = lambda blocked, known, prior: F.array(*(smooth(blocked[k], known[k], prior(k)) for k in range(FOLDS + 1)))
+    last = counts.groupBy(F.substring_index("suffix", ".", -1).alias("last")).agg(*others, F.count_distinct("suffix").alias("suffixes"))
+    last = written(last.select("last", "suffixes", each(F.col("blocked"), F.col("known"), lambda k: F.lit(base)).alias("last_label")), "last-shares")
+    two = counts.groupBy("suffix").agg(*others, F.sum("n").alias("n")).withColumn("last", F.substring_index("suffix", ".", -1))
+    two = attach_groups(two, last, ["last"], "suffixes")
+    shares = written(two.select("suffix", "n", "last_label", each(F.col("blocked"), F.col("known"), lambda k: F.col("last_label")[k]).alias("last_two")), "suffix-shares")
+    found = attach_groups(rows, shares, ["suffix"], "n").drop("n")
+    return found.withColumns({"last_label": F.col("last_label")[F.col("part")], "last_two": F.col("last_two")[F.col("part")]}).drop("part")
+
+
+def training_rows(full: DataFrame, most: int) -> DataFrame:
+    """`most` labelled rows with the smallest hashes. A cut by the hash leaves some 2 * most rows, so that tasks don't send `most` rows each."""
+    key = F.xxhash64("url", "page_id")
+    known = full.where("label is not null").withColumn("_key", key)
+    n, wanted = known.count(), 2 * most + 1000
+    while True:
+        some = known.where(F.col("_key") < int(-(1 << 63) + (1 << 64) * (wanted / n))) if n > wanted else known
+        sample = written(some.orderBy("_key", "page_id").limit(most).select("label", *FEATURES), "url-sample")
+        if n <= wanted or sample.count() >= most:
+            return sample
+        wanted *= 2
 
 
 def judged(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -83,9 +103,8 @@ def judged(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, train_r
     rows = lexical(pages.select("page_id", "url").withColumn("host", host).withColumn("path", path).withColumn("rule", rule).withColumn("given", verdict))
     rows = rows.withColumn("label", F.when(F.col("given") == "block", 1.0).when(F.col("given") == "allow", 0.0))
     out = ["page_id", "host", "path", "rule", "verdict", "score"]
-    shares = written(suffix_shares(rows), "suffix-shares")
-    full = attach_groups(rows, shares, ["suffix"], "n").drop("n")
-    sample = written(full.where("label is not null").orderBy(F.xxhash64("url"), "page_id").limit(train_rows).select("label", *FEATURES), "url-sample")
+    full = with_shares(rows)
+    sample = training_rows(full, train_rows)
     seen = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
     if len(seen) < 2:
         return full.withColumn("verdict", F.coalesce("given", F.lit("allow"))).withColumn("score", F.lit(None).cast("double")).select(*out)

@@ -90,6 +90,39 @@ def test_trees_learn(spark):
     assert got[1000] == "block" and got[1001] == "allow"
 
 
+def test_shares_leave_out_the_own_fold(spark):
+    from collections import Counter
+
+    rows = [(f"http://x/{i}", ["a.org", "b.org", "c.com", "d.net"][i % 4], [1.0, 0.0, None][i % 3] if i % 4 != 3 else None) for i in range(120)]
+    df = spark.createDataFrame(rows, "url string, suffix string, label double")
+    parts = {r["url"]: r["p"] for r in df.select("url", F.pmod(F.xxhash64("url"), F.lit(uf.FOLDS)).alias("p")).collect()}
+    base = sum(y or 0 for *_, y in rows) / sum(y is not None for *_, y in rows)
+    for r in uf.with_shares(df).collect():
+        others = [(s, y) for u, s, y in rows if y is not None and (r["label"] is None or parts[u] != parts[r["url"]])]
+        n, b = Counter(), Counter()
+        for s, y in others:
+            n[s], b[s] = n[s] + 1, b[s] + y
+            n[s[-3:]], b[s[-3:]] = n[s[-3:]] + 1, b[s[-3:]] + y
+        last = (b[r["suffix"][-3:]] + base * uf.PRIOR) / (n[r["suffix"][-3:]] + uf.PRIOR)
+        assert abs(r["last_label"] - last) < 1e-9 and abs(r["last_two"] - (b[r["suffix"]] + last * uf.PRIOR) / (n[r["suffix"]] + uf.PRIOR)) < 1e-9
+
+
+def test_held_out_verdicts(spark):
+    """Hosts no rule knows: verdicts follow what the labelled URLs have in common."""
+    import random
+
+    r = random.Random(4)
+    rows = []
+    for i in range(1500):
+        bad = i % 2
+        path = ("9" if bad else "a") + "/".join("".join(r.choice("0123456789" if bad and r.random() < 0.6 else "abcdefgh") for _ in range(6)) for _ in range(r.randint(1, 5)))
+        rows.append((i, f"http://w{i}.{'shop.com' if i < 1000 else f'site{i}.info'}/{path}" + (f"?a={i}&b=2" if bad and r.random() < 0.5 else "")))
+    rules = (("shop.com/9", "block"), ("shop.com/", "allow"))
+    for train_rows in (20_000, 300):
+        got = {x["page_id"]: x["verdict"] for x in uf.judged(spark.createDataFrame(rows, "page_id long, url string"), rules, train_rows).collect()}
+        assert sum(got[i] == ("block" if i % 2 else "allow") for i in range(1000, 1500)) > 0.9 * 500
+
+
 PAGE = """<html><head><title>T</title><script>var a = "</p><p>no";</script><style>p{x}</style></head><body><!-- <p>no</p> --><nav><ul><li><a href="/a">Menu</a><li><a>Two</a></ul></nav>
 <div class="ad">Buy this now, it is a very long advertisement that looks like text and has many words in it.</div><article><h1>Head&amp;line</h1><p>First  para&nbsp;with <b>bold</b> and <a href="x">link</a>,
 and more than enough words to count.<p>Second<br>line.</p><p>Short.</p></article><div id="comments"><p>A reader wrote a long comment here which must not be part of the text at all.</p></div>
