@@ -108,7 +108,7 @@ class Corpus:
 
     @cached_property
     def wanted(self) -> DataFrame:
-        return sc.with_idf(sc.query_tokens(self.queries), self.terms, self.stats[1])
+        return written(sc.with_idf(sc.query_tokens(self.queries), self.terms, self.stats[1]), "wanted")
 
     @cached_property
     def matches(self) -> DataFrame:
@@ -116,7 +116,7 @@ class Corpus:
 
     @cached_property
     def lexical(self) -> DataFrame:
-        return sc.lexical_scores(self.matches, self.wanted, self.variant).withColumn("ordering", F.round("ordering", 6))
+        return written(sc.lexical_scores(self.matches, self.wanted, self.variant).withColumn("ordering", F.round("ordering", 6)), "lexical")
 
     @cached_property
     def pool(self) -> DataFrame:
@@ -724,7 +724,7 @@ def _gold(c: Corpus) -> DataFrame:
 
 
 def _gold_ranks(c: Corpus) -> DataFrame:
-    return ev.gold_ranks(sc.ranked(c.scores), _gold(c))
+    return ev.counted_ranks(c.scores, written(_gold(c), "gold"))
 
 
 @query(f"WITH {_GR} SELECT k, round(count(*) FILTER (rank <= k) / count(*)::DOUBLE, 6) AS recall, count(*) AS n FROM gr, (SELECT unnest([1, 5, 10, 30, 100]) AS k) GROUP BY 1")
@@ -758,8 +758,8 @@ z AS (SELECT coalesce(gr.rank <= 10, false) AS x, coalesce(cg.rank <= 10, false)
 def v06_mcnemar(spark, sf_dir):
     c = Corpus(spark, sf_dir)
     gold = written(_gold(c), "gold")
-    vector_only = sc.ranked(c.cosines.withColumn("boosted", F.round(F.col("cosine").cast("double"), 6)))
-    return ev.mcnemar(ev.gold_ranks(sc.ranked(c.scores), gold), ev.gold_ranks(vector_only, gold)).select("only_a", "only_b", "n", r6("difference"), r6("sigma"))
+    vector_only = c.scores.withColumn("boosted", F.round(F.col("cosine").cast("double"), 6))
+    return ev.mcnemar(ev.counted_ranks(c.scores, gold), ev.counted_ranks(vector_only, gold)).select("only_a", "only_b", "n", r6("difference"), r6("sigma"))
 
 
 # Streams.

@@ -9,14 +9,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType
 
 from mnemosieve.functions.text import distinct_tokens, tokens
 from mnemosieve.functions.vectors import boost, dot_f32
 from mnemosieve.operators.index import SCORING
+from mnemosieve.sources.tables import written
 
 VARIANTS = ("field_cov", "cov_n", "idf_cov")
-#: Rows of query tokens, or of query vectors, up to which they are broadcast; a larger batch is joined by a shuffle.
-BROADCAST_ROWS = 200_000
+#: Rows and bytes of query tokens, or of query vectors, up to which they are broadcast; a larger batch is joined by a shuffle.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
 @dataclass(frozen=True)
@@ -28,9 +30,24 @@ class Ranking:
     coverage: str = "field_cov"
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df, to be broadcast if it has at most `rows` rows."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def weight(column: str, kind: DataType) -> Column:
+    """Bytes of a column's value, about."""
+    c = F.col(f"`{column}`")
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(c), F.lit(0))
+    if isinstance(kind, ArrayType) and isinstance(kind.elementType, (StringType, BinaryType)):
+        return F.coalesce(F.aggregate(c, F.lit(0), lambda s, x: s + F.coalesce(F.octet_length(x), F.lit(0)) + 8), F.lit(0))
+    if isinstance(kind, (ArrayType, MapType)):
+        return F.greatest(F.size(c), F.lit(0)) * 8
+    return F.lit(8)
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """df, written once, to be broadcast if it has at most `rows` rows and weighs at most `size` bytes."""
+    df = written(df, "small")
+    each = sum((weight(f.name, f.dataType) for f in df.schema.fields), F.lit(16)).cast("long")
+    n, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(each), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and total <= size else df
 
 
 def query_tokens(queries: DataFrame) -> DataFrame:
@@ -71,16 +88,18 @@ def lexical_scores(found: DataFrame, wanted: DataFrame, coverage: str = "field_c
     if coverage not in VARIANTS:
         raise ValueError(f"coverage is one of {', '.join(VARIANTS)}")
     total = F.aggregate(F.array_sort(F.collect_list(F.struct("pos", "idf"))), F.lit(0.0), lambda s, e: s + e["idf"])
-    per_query = wanted.groupBy("query_id").agg(total.alias("t")).select("query_id", F.when(F.col("t") != 0, F.col("t")).otherwise(1.0).alias("total_idf"))
-    rows = found.groupBy("query_id", "doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "idf", "raw", "w"))).alias("m"), F.first("n_query_tokens").alias("nq"))
+    per_query = lambda: wanted.groupBy("query_id").agg(total.alias("t")).select("query_id", F.when(F.col("t") != 0, F.col("t")).otherwise(1.0).alias("total_idf"))
+    # field weights and counts are whole numbers, which any order sums alike; sums of fractions run in the order of the tokens
+    fractions = ["raw", "idf"] if coverage == "idf_cov" else ["raw"]
     fold = lambda name: F.aggregate("m", F.lit(0.0), lambda s, e: s + e[name])
-    summed = rows.select("query_id", "doc_id", "nq", F.size("m").alias("matched"), fold("w").alias("wmass"), fold("idf").alias("mass"), fold("raw").alias("raw"))
+    summed = found.groupBy("query_id", "doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", *fractions))).alias("m"), F.sum("w").alias("wmass"), F.count(F.lit(1)).cast("int").alias("matched"), F.max("n_query_tokens").alias("nq"))
+    summed = summed.withColumns({"raw": fold("raw")} | ({"mass": fold("idf")} if coverage == "idf_cov" else {})).drop("m")
     if coverage == "field_cov":
         scored = summed.withColumn("coverage", F.col("wmass") / (F.lit(3.0) * F.col("nq")))
     elif coverage == "cov_n":
         scored = summed.withColumn("coverage", F.col("matched") / F.col("nq").cast("double"))
     else:
-        scored = summed.join(small(per_query), "query_id").withColumn("coverage", F.col("mass") / F.col("total_idf"))
+        scored = summed.join(small(per_query()), "query_id").withColumn("coverage", F.col("mass") / F.col("total_idf"))
     evidence = F.lit(params["scoring_evidence_weight"]) * (F.col("raw") / (F.col("raw") + 1.0))
     ordering = F.col("coverage") if coverage == "idf_cov" else F.col("coverage") + evidence
     return scored.select("query_id", "doc_id", "coverage", ordering.alias("ordering"), "raw", "matched")

@@ -14,8 +14,9 @@ from mnemosieve.functions.vectors import hash_embedding
 from mnemosieve.operators import index as ix
 from mnemosieve.operators import retrieval as rt
 from mnemosieve.operators import scoring as sc
-from mnemosieve.plans.store import IndexStore
-from mnemosieve.sources.observations import active_snapshot, side_columns, source_hash
+from mnemosieve.plans.store import SEGMENTED, SEGMENTS, IndexStore
+from mnemosieve.sources.observations import active_snapshot, side_columns, snapshot_digest
+from mnemosieve.sources.tables import written
 
 log = logging.getLogger(__name__)
 
@@ -74,58 +75,92 @@ class Engine:
         whole = full or self.store.inspect(self.embedder.identity) != "ok"
         if whole:
             return "full", snapshot.count()
-        return ix.plan(self.store.read("docs"), snapshot, self.store.meta().get("source_hash", ""), source_hash(snapshot))
+        return ix.plan(self.store.read("docs"), snapshot, self.store.meta().get("source_hash", ""), snapshot_digest(snapshot))
 
-    def sync(self, records: DataFrame, full: bool = False, unlimited: bool = False) -> dict:
-        """Brings the index up to the source. Over max_docs nothing is embedded or written."""
-        snapshot = active_snapshot(records)
+    def sync(self, records: DataFrame, full: bool = False, unlimited: bool = False, only: DataFrame | None = None) -> dict:
+        """Brings the index up to the source. Over max_docs nothing is embedded or written. The source is read once, into a table from which digest,
+        difference and documents come. An update writes a segment of the documents it touches. only: ids (id) outside of which nothing has changed."""
         begun = self.store.current()
         whole = full or self.store.inspect(self.embedder.identity) != "ok"
-        new_hash = source_hash(snapshot)
-        old = None if whole else self.store.read("docs", begun)
+        snapshot = active_snapshot(records)
+        if only is not None and not whole:
+            return self._touch(written(snapshot.join(only, "id", "left_semi"), "snapshot"), begun, unlimited, only)
+        snapshot = written(snapshot, "snapshot")
+        new_hash = snapshot_digest(snapshot)
         stored = "" if whole else self.store.meta(begun).get("source_hash", "")
-        mode, touched = ix.plan(old, snapshot, stored, new_hash, whole, None if unlimited else self.max_docs)
-        out = {"mode": mode, "docs_touched": touched, "source_changed": stored != new_hash, "version": begun}
-        if mode == "noop":
-            return out
+        if not whole and stored == new_hash:
+            return {"mode": "noop", "docs_touched": 0, "source_changed": False, "version": begun}
+        if not whole:
+            return self._touch(snapshot, begun, unlimited, None, new_hash, stored)
+        mode, touched = ix.plan(None, snapshot, "", new_hash, True, None if unlimited else self.max_docs)
         if mode == "deferred":
-            raise SyncNeeded("full" if whole else "incremental", touched)
-        vectors = lambda docs: docs.select("doc_id", F.lit(self.embedder.identity).alias("model"), F.lit(self.embedder.dimension).alias("dim"), self.embedder.embed(document_text(F.col("title"), F.col("content"))).alias("vec"))
-        version = (begun or 0) + 1
+            raise SyncNeeded("full", touched)
+        docs = ix.documents(snapshot)
+        segment = self.store.stage({"docs": docs, "postings": ix.postings(docs), "vectors": self._vectors(docs), "touched": docs.select("doc_id").limit(0)})
+        return self._commit([segment], begun, new_hash, "full", touched, stored != new_hash)
+
+    def _touch(self, snapshot: DataFrame, begun: int, unlimited: bool, only: DataFrame | None, new_hash: str | None = None, stored: str | None = None) -> dict:
+        """An update by the difference between the index and the snapshot, or between their parts with some ids."""
+        old = self.store.read("docs", begun)
+        part = old if only is None else old.join(only.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
+        changes = written(ix.diff(part, snapshot), "changes")
+        touched = changes.count()
+        if not unlimited and self.max_docs is not None and touched > self.max_docs:
+            raise SyncNeeded("incremental", touched)
+        out = {"mode": "incremental" if touched else "hash-only", "docs_touched": touched, "source_changed": stored != new_hash or bool(touched), "version": begun}
+        if not touched and new_hash is None:
+            return out | {"mode": "noop"}
+        if not touched:
+            return self._commit(self.store.segments(begun), begun, new_hash, "hash-only", 0, True)
+        fresh = ix.documents(snapshot.join(changes.where("change = 'changed'").select(F.col("doc_id").alias("id")), "id", "left_semi"))
+        tables = {"docs": fresh, "postings": ix.postings(fresh), "vectors": self._vectors(fresh), "touched": changes.select("doc_id")}
+        segments = [*self.store.segments(begun), self.store.stage(tables)]
+        if len(segments) > SEGMENTS:
+            none = changes.select("doc_id").limit(0)
+            segments = [self.store.stage({**{t: self.store.merged(t, segments) for t in SEGMENTED}, "touched": none})]
+        if new_hash is None:  # the source as a whole hasn't been read; the next whole sync compares by the difference
+            new_hash = "partial"
+        return self._commit(segments, begun, new_hash, "incremental", touched, out["source_changed"], changes)
+
+    def _commit(self, segments: list[str], begun: int | None, new_hash: str, mode: str, touched: int, changed: bool, changes: DataFrame | None = None) -> dict:
+        docs, posted = self.store.merged("docs", segments), self.store.merged("postings", segments)
         if mode == "full":
-            docs = ix.documents(snapshot)
-            posted, all_vectors = ix.postings(docs), vectors(docs)
             term_rows = ix.terms(posted)
-        else:
-            changes = ix.diff(old, snapshot)
-            before = self.store.read("postings", begun)
-            docs, posted = ix.apply_changes(old, before, snapshot)
-            fresh = docs.join(changes, "doc_id", "left_semi")
-            all_vectors = self.store.read("vectors", begun).join(changes, "doc_id", "left_anti").unionByName(vectors(fresh))
-            term_rows = ix.repair_terms(self.store.read("terms", begun), posted, ix.affected_terms(before, posted, changes))
-        self.store.stage({"docs": docs, "postings": posted, "vectors": all_vectors}, version)
-        docs, posted = self.store.read("docs", version), self.store.read("postings", version)
-        self.store.stage({"terms": term_rows if mode != "full" else ix.terms(posted), "meta": ix.meta(docs, posted, new_hash, self.embedder.identity)}, version)
-        self.store.publish(version, begun)
+        elif changes is None:
+            term_rows = self.store.read("terms", begun)
+        else:  # terms of the touched documents, before and after
+            of = lambda p: p.join(changes.select("doc_id"), "doc_id", "left_semi").groupBy("token", "kind").agg(F.count(F.lit(1)).alias("n"))
+            gone, come = of(self.store.read("postings", begun)).withColumn("n", -F.col("n")), of(posted)
+            moved = gone.unionByName(come).unionByName(self.store.read("terms", begun).select("token", "kind", F.col("df").alias("n")))
+            term_rows = moved.groupBy("token", "kind").agg(F.sum("n").alias("df")).where("df > 0")
+        whole = self.store.stage({"terms": term_rows, "meta": ix.meta(docs, posted, new_hash, self.embedder.identity)})
+        version = self.store.publish(segments, whole, begun)
         self.totals["syncs"] += 1
         self.totals["docs_touched"] += touched
-        return out | {"version": version}
+        return {"mode": mode, "docs_touched": touched, "source_changed": changed, "version": version}
+
+    def _vectors(self, docs: DataFrame) -> DataFrame:
+        text = document_text(F.col("title"), F.col("content"))
+        return docs.select("doc_id", F.lit(self.embedder.identity).alias("model"), F.lit(self.embedder.dimension).alias("dim"), self.embedder.embed(text).alias("vec"))
 
     def rebuild(self, records: DataFrame) -> dict:
         return self.sync(records, full=True, unlimited=True)
 
     def ranked(self, queries: DataFrame, version: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Scores of every document for each query, the candidates in lexical order, and the matches. queries: query_id, query and, optionally, vec."""
+        """Scores of every document for each query, the candidates in lexical order, and the matches, each as a table, since they are read several times.
+        queries: query_id, query and, optionally, vec."""
         docs = self.store.read("docs", version)
         params = ix.scoring_params(self.store.read("meta", version))
         told = ix.avgdl(docs).first()
         if "vec" not in queries.columns:
             queries = queries.withColumn("vec", self.embedder.embed(F.col("query")))
-        wanted = sc.with_idf(sc.query_tokens(queries), self.store.read("terms", version), told["n_docs"])
+        queries = written(queries.select("query_id", "query", "vec"), "queries")
+        wanted = written(sc.with_idf(sc.query_tokens(queries), self.store.read("terms", version), told["n_docs"]), "wanted")
         found = sc.matches(docs, self.store.read("postings", version), wanted, told["avgdl"], params)
-        lexical = sc.lexical_scores(found, wanted, self.ranking.coverage, params)
+        found = written(found, "matches")
+        lexical = written(sc.lexical_scores(found, wanted, self.ranking.coverage, params), "lexical")
         scores = sc.boosted(sc.cosines(docs, self.store.read("vectors", version), queries), sc.pool(lexical, self.ranking.top_k), self.ranking.weight)
-        return scores, lexical, found
+        return written(scores, "scores"), lexical, found
 
     def recall(self, queries: DataFrame, request: rt.Request, records: DataFrame | None = None) -> dict[str, DataFrame]:
         """hits, summary and, where a type filter matched nothing, available_types. With records the index is caught up first; failures are raised."""
@@ -145,7 +180,7 @@ class Engine:
                 return None
             docs = self.store.read("docs")
             scores, lexical, found = self.ranked(requests.withColumn("query", document_text(F.col("title"), F.col("content"))))
-            shown = rt.candidates(scores, docs, requests, self.shown)
+            shown = written(rt.candidates(scores, docs, requests, self.shown), "shown")
             shared = sc.shared_rare_terms(found, shown, rt.SHARED_TERMS)
             extras = side_columns(records, shown.select(F.col("doc_id").alias("id")))
             return {

@@ -13,6 +13,7 @@ from mnemosieve.functions.text import score_text
 from mnemosieve.operators.retrieval import will_update
 from mnemosieve.plans.engine import Engine
 from mnemosieve.sources.observations import fallback_envelope, write_outcome
+from mnemosieve.sources.tables import written as written_table
 
 FIELDS = ("title", "content", "observation", "type", "scope", "topic_key")
 
@@ -37,13 +38,14 @@ def save(engine: Engine, records: DataFrame, requests: DataFrame, write: Callabl
     """Candidates are looked up before anything is written. write: requests to (query_id, status, failure, written_id); a connection failure, timeout or
     server error goes to fallback: requests to (query_id, response text). requests: query_id, project, session_id and the fields of a record."""
     rows = normalized(requests)
-    good = rows.where("error is null").drop("error").cache()
+    good = written_table(rows.where("error is null").drop("error"), "requests")
     found = engine.candidates(good, records)
-    sent = write(good).withColumn("outcome", write_outcome(F.col("status"), F.col("failure"), F.col("written_id"))).cache()
+    sent = write(good).withColumn("outcome", write_outcome(F.col("status"), F.col("failure"), F.col("written_id")))
+    sent = written_table(sent, "sent")  # the sink runs once: what follows reads its answers
     written = sent.where("outcome like 'success%'").select("query_id", "written_id", "outcome")
     again = sent.where(F.col("outcome").isin("connection", "timeout", "server")).select("query_id")
     if fallback is not None:
-        told = fallback(good.join(again, "query_id", "left_semi")).withColumn("_e", fallback_envelope(F.col("response")))
+        told = written_table(fallback(good.join(again, "query_id", "left_semi")), "fallback").withColumn("_e", fallback_envelope(F.col("response")))
         written = written.unionByName(told.select("query_id", F.col("_e.id").alias("written_id"), F.lit("fallback").alias("outcome")))
     shown = None if found is None else will_update(found["candidates"], written.select("query_id", "written_id"))
     failed = sent.where(~F.col("outcome").like("success%")).join(written, "query_id", "left_anti").select("query_id", F.col("outcome").alias("reason"))

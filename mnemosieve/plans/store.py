@@ -1,15 +1,23 @@
-"""Versions of an index: immutable Parquet directories and a pointer to the current one, on any file system Spark reads."""
+"""Versions of an index: immutable Parquet segments and a commit for each version, on any file system Spark reads."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+import os
+import uuid
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mnemosieve.operators.index import ALGO_VERSION
+from mnemosieve.operators import index as ix
 from mnemosieve.operators.scoring import small
 
-TABLES = ("docs", "postings", "terms", "vectors", "meta")
+#: Tables that an update only adds to; rows of documents that a later segment has touched count no more. And those that are written whole.
+SEGMENTED, WHOLE = ("docs", "postings", "vectors"), ("terms", "meta")
+TABLES = (*SEGMENTED, *WHOLE)
+#: Segments of a version at most; an update beyond merges them.
+SEGMENTS = 8
 
 
 class Busy(RuntimeError):
@@ -18,86 +26,146 @@ class Busy(RuntimeError):
 
 @dataclass
 class IndexStore:
-    """An index under a path. A version is written whole before the pointer moves, so readers see all of it or none."""
+    """An index under a path. Directories have names of their own and are written whole before the commit that names them is created; the commit
+    of a version can be created once only. So readers see all of a version or none, and of several writers one wins and none harms another."""
 
     spark: SparkSession
     path: str
+    _checked: dict = field(default_factory=dict, repr=False)
+    _manifests: dict = field(default_factory=dict, repr=False)
 
     def _fs(self, path: str):
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
         p = hadoop.Path(path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
 
+    def _names(self, path: str) -> list[str]:
+        fs, p = self._fs(path)
+        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
     def exists(self) -> bool:
-        fs, p = self._fs(f"{self.path}/CURRENT")
-        return fs.exists(p)
+        return bool(self._names(f"{self.path}/commits"))
+
+    def _manifest(self, version: int) -> dict | None:
+        """segments and whole: directories of a version; None while its commit is being written."""
+        if version not in self._manifests:
+            rows = self.spark.read.text(f"{self.path}/commits/{version:012d}", wholetext=True).collect()
+            try:
+                self._manifests[version] = json.loads(rows[0][0])
+            except (IndexError, ValueError):
+                return None
+        return self._manifests[version]
 
     def current(self) -> int | None:
         """The version readers use; nothing is created where there is none."""
-        if not self.exists():
-            return None
-        row = self.spark.read.text(f"{self.path}/CURRENT").first()
-        return int(row[0]) if row and row[0].strip().isdigit() else None
+        for version in sorted((int(x) for x in self._names(f"{self.path}/commits") if x.isdigit()), reverse=True):
+            if self._manifest(version) is not None:
+                return version
+        return None
+
+    def segments(self, version: int | None) -> list[str]:
+        return [] if version is None else self._manifest(version)["segments"]
 
     def read(self, table: str, version: int | None = None) -> DataFrame:
         version = self.current() if version is None else version
-        if version is None:
+        found = None if version is None else self._manifest(version)
+        if found is None:
             raise FileNotFoundError(f"no index under {self.path}")
-        return self.spark.read.parquet(f"{self.path}/v={version}/{table}")
-
-    def stage(self, tables: dict[str, DataFrame], version: int) -> None:
-        """Writes a version beside the others; postings and terms are grouped by token so that a lookup reads few row groups."""
-        for name, df in tables.items():
-            out = df.repartition("token").sortWithinPartitions("token", "kind") if name in ("postings", "terms") else df
-            out.write.mode("overwrite").parquet(f"{self.path}/v={version}/{name}")
-
-    def publish(self, version: int, expected: int | None) -> None:
-        """Moves the pointer if it still stands where the writer began."""
+        if table in WHOLE:
+            return self.spark.read.parquet(f"{self.path}/{found['whole']}/{table}")
+        return self.merged(table, found["segments"])
+
+    def merged(self, table: str, segments: list[str]) -> DataFrame:
+        """A table of some segments, oldest first: without rows of documents that a later segment has touched."""
+        parts, touched = [], None
+        for name in reversed(segments):
+            rows = self.spark.read.parquet(f"{self.path}/{name}/{table}")
+            parts.append(rows if touched is None else rows.join(touched, "doc_id", "left_anti").select(*rows.columns))
+            own = self.spark.read.parquet(f"{self.path}/{name}/touched")
+            touched = own if touched is None else touched.unionByName(own)
+        return reduce(DataFrame.unionByName, parts)
+
+    def stage(self, tables: dict[str, DataFrame]) -> str:
+        """Writes tables into a directory of their own. Postings and terms lie in ranges of tokens, and a frequent token's postings in ranges of
+        documents, so a lookup reads few row groups and no task holds a word's whole list."""
+        name = f"d-{uuid.uuid4().hex}"
+        order = {"postings": ["token", "kind", "doc_id"], "terms": ["token", "kind"]}
+        for table, df in tables.items():
+            out = df.repartitionByRange(*order[table]).sortWithinPartitions(*order[table]) if table in order else df
+            out.write.parquet(f"{self.path}/{name}/{table}")
+        return name
+
+    def publish(self, segments: list[str], whole: str, expected: int | None) -> int:
+        """Creates the commit after `expected`; if there is one already, another writer was faster."""
+        version = (expected or 0) + 1
+        fs, p = self._fs(f"{self.path}/commits/{version:012d}")
+        data = json.dumps({"segments": segments, "whole": whole}).encode()
         if self.current() != expected:
             raise Busy(f"the index moved from version {expected} to {self.current()}")
-        fs, temporary = self._fs(f"{self.path}/CURRENT.{version}")
-        out = fs.create(temporary, True)
-        out.write(bytearray(f"{version}\n".encode()))
-        out.close()
-        _, pointer = self._fs(f"{self.path}/CURRENT")
-        context = self.spark.sparkContext._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri())
-        options = self.spark.sparkContext._gateway.new_array(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context.rename(temporary, pointer, options)
+        try:
+            fs.mkdirs(p.getParent())
+            if fs.getUri().getScheme() == "file":  # Hadoop's local file system looks first and creates then
+                with os.fdopen(os.open(p.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY, 0o644), "wb") as f:
+                    f.write(data)
+            else:
+                out = fs.create(p, False)
+                out.write(bytearray(data))
+                out.close()
+        except Exception as e:
+            if isinstance(e, FileExistsError) or fs.exists(p):
+                raise Busy(f"another writer published version {version}") from None
+            raise
+        return version
 
     def discard(self) -> None:
         """Removes the index; creates nothing."""
         fs, p = self._fs(self.path)
         if fs.exists(p):
             fs.delete(p, True)
+        self._checked.clear()
+        self._manifests.clear()
 
     def keep_last(self, versions: int = 2) -> None:
-        """Removes versions that neither readers nor writers need."""
+        """Removes older commits, and directories that only they name. For a time without writers: what one has staged isn't named yet."""
         current = self.current() or 0
-        fs, p = self._fs(self.path)
-        for status in fs.listStatus(p) if fs.exists(p) else []:
-            name = status.getPath().getName()
-            if name.startswith("v=") and int(name[2:]) <= current - versions:
-                fs.delete(status.getPath(), True)
+        kept = [v for v in (int(x) for x in self._names(f"{self.path}/commits")) if v > current - versions]
+        named = {x for v in kept if (m := self._manifest(v)) for x in (*m["segments"], m["whole"])}
+        for version in (int(x) for x in self._names(f"{self.path}/commits")):
+            if version not in kept:
+                fs, p = self._fs(f"{self.path}/commits/{version:012d}")
+                fs.delete(p, False)
+        for name in self._names(self.path):
+            if name.startswith("d-") and name not in named:
+                fs, p = self._fs(f"{self.path}/{name}")
+                fs.delete(p, True)
 
     def meta(self, version: int | None = None) -> dict[str, str]:
         return {r["key"]: r["value"] for r in self.read("meta", version).collect()}
 
     def inspect(self, identity: str) -> str:
-        """missing, unreadable, no-meta, algo-mismatch, model-mismatch or ok."""
+        """missing, unreadable, no-meta, algo-mismatch, model-mismatch, untrusted or ok. A version is immutable, so one found ok is not checked again."""
         if not self.exists():
             return "missing"
+        version = self.current()
+        if self._checked.get(version) == identity:
+            fs, p = self._fs(f"{self.path}/{self._manifest(version)['whole']}/meta")
+            return "ok" if fs.exists(p) else "unreadable"
         try:
-            found = self.meta()
+            found = self.meta(version)
             for table in TABLES:
-                self.read(table).limit(1).count()
+                self.read(table, version).limit(1).count()
         except Exception:  # noqa: BLE001  any failure to read means the same here
             return "unreadable"
         if not found:
             return "no-meta"
-        if found.get("algo_version") != ALGO_VERSION:
+        if found.get("algo_version") != ix.ALGO_VERSION:
             return "algo-mismatch"
-        return "ok" if found.get("identity") == identity else "model-mismatch"
+        if found.get("identity") != identity:
+            return "model-mismatch"
+        if ix.check(self.read("docs", version), self.read("vectors", version), self.read("meta", version)):
+            return "untrusted"
+        self._checked[version] = identity
+        return "ok"
 
     def terms_of(self, tokens: DataFrame) -> DataFrame:
         """Posting lists of some tokens (token, kind)."""

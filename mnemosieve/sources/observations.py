@@ -6,11 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mnemosieve.functions.text import parse_envelope, text_of
-from mnemosieve.sources.tables import read_table
+from mnemosieve.sources.tables import read_table, written
 
 FIELDS = ["id", "updated_at", "title", "content", "type", "project", "scope"]
-#: Documents of one digest block; a block's row holds their serialised texts.
-DIGEST_ROWS = 1000
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,8 +44,18 @@ def source_hash(snapshot: DataFrame) -> str:
     return digest.hexdigest()
 
 
+def snapshot_digest(snapshot: DataFrame) -> str:
+    """A digest of the same records in no order, by which a sync tells whether the source has changed: their number and, for each quarter of the records'
+    SHA-256, the sum. Tasks add up their own part; nothing but the sums reaches the driver."""
+    sha = F.sha2(serialized(F.col("id"), F.col("updated_at"), F.col("content")), 256)
+    quarters = [F.sum(F.conv(F.substring(sha, 16 * i + 1, 15), 16, 10).cast("decimal(38,0)")) for i in range(4)]
+    told = snapshot.agg(F.count(F.lit(1)), *quarters).first()
+    return "-".join(str(int(x or 0)) for x in told)
+
+
 def source_state(snapshot: DataFrame) -> DataFrame:
-    """One row: hash, total_content_chars, doc_count, all from one set of rows."""
+    """One row: hash, total_content_chars, doc_count, all from one set of rows, which is written first."""
+    snapshot = written(snapshot, "snapshot")
     told = snapshot.agg(F.coalesce(F.sum(F.length("content")), F.lit(0)).cast("long").alias("total_content_chars"), F.count(F.lit(1)).alias("doc_count")).first()
     return snapshot.sparkSession.createDataFrame([(source_hash(snapshot), told[0], told[1])], "hash string, total_content_chars long, doc_count long")
 

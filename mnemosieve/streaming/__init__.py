@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from mnemosieve.functions.text import blank, has_learnings_section
 from mnemosieve.plans.engine import Engine
+from mnemosieve.sources.tables import written
 
 
 def capture(texts: DataFrame, delay: str = "1 hour") -> DataFrame:
@@ -29,10 +30,12 @@ def counters(events: DataFrame, window: str = "1 hour", delay: str = "10 minutes
 
 
 def keep_index(engine: Engine, changes: DataFrame, source: Callable[[], DataFrame], checkpoint: str):
-    """Runs a sync for each micro-batch of a change feed; the source is read anew, so a repeated batch changes nothing."""
+    """Runs a sync of the ids (id) of each micro-batch of a change feed. Their records are read anew, so a repeated batch changes nothing; the others
+    aren't compared, and the batch's documents become a segment."""
     def apply(batch: DataFrame, _: int) -> None:
-        if not batch.isEmpty():
-            engine.sync(source(), unlimited=True)
+        ids = written(batch.select("id").distinct(), "fed")
+        if not ids.isEmpty():
+            engine.sync(source(), unlimited=True, only=ids)
 
     return changes.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

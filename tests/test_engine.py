@@ -77,14 +77,99 @@ def test_another_writer_wins(spark, tmp_path):
     engine = Engine(spark, f"file://{tmp_path}/a", HashEmbedder(8))
     engine.sync(table(spark, [record(1)]))
     with pytest.raises(Busy):
-        engine.store.publish(7, None)
+        engine.store.publish(["x"], "y", None)
     assert engine.store.current() == 1
-    (tmp_path / "a" / "v=1" / "meta").rename(tmp_path / "moved")
+    (tmp_path / "a" / engine.store._manifest(1)["whole"] / "meta").rename(tmp_path / "moved")
     assert engine.store.inspect(engine.embedder.identity) == "unreadable"
     engine.store.discard()
     assert engine.store.inspect(engine.embedder.identity) == "missing"
 
 
+def test_two_writers_at_once(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = f"file://{tmp_path}/a"
+    Engine(spark, path, HashEmbedder(8)).sync(table(spark, [record(1)]))
+
+    def write(i):
+        try:
+            return Engine(spark, path, HashEmbedder(8)).sync(table(spark, [record(1), record(10 + i, f"title {i}", f"content {i}")]))["version"]
+        except Busy:
+            return None
+
+    with ThreadPoolExecutor(3) as pool:
+        got = list(pool.map(write, range(3)))
+    engine = Engine(spark, path, HashEmbedder(8))
+    assert [v for v in got if v] and engine.store.current() == max(v for v in got if v) and engine.store.inspect("hash-8") == "ok"
+    assert len({v for v in got if v}) == len([v for v in got if v])  # no version has two writers
+    ids = {r[0] for r in engine.store.read("docs").select("doc_id").collect()}
+    assert len(ids) == 2 and {r[0] for r in engine.store.read("postings").select("doc_id").distinct().collect()} == ids
+
+
+def test_segments_equal_a_rebuild(spark, tmp_path, monkeypatch):
+    from mnemosieve.plans import engine as module
+
+    monkeypatch.setattr(module, "SEGMENTS", 3)
+    engine, other = Engine(spark, f"file://{tmp_path}/a", HashEmbedder(8)), Engine(spark, f"file://{tmp_path}/b", HashEmbedder(8))
+    rows = {i: record(i, f"title {i}", f"读层 word{i % 3} text", updated="a") for i in range(8)}
+    engine.sync(table(spark, list(rows.values())))
+    most = 0
+    for step in range(4):
+        rows[step] = record(step, f"changed {step}", f"content word{step}", updated=f"b{step}")
+        rows.pop(7 - step)
+        told = engine.sync(table(spark, list(rows.values())))
+        assert told["mode"] == "incremental" and told["docs_touched"] == 2
+        most = max(most, len(engine.store.segments(engine.store.current())))
+        other.sync(table(spark, list(rows.values())), full=True)
+        for name in ("docs", "postings", "terms", "vectors", "meta"):
+            a, b = engine.store.read(name), other.store.read(name)
+            assert sorted(map(str, a.select(*b.columns).collect())) == sorted(map(str, b.collect())), name
+    assert most == 3
+    before = engine.store.current()
+    engine.store.keep_last(1)
+    assert engine.store.current() == before and engine.store.read("postings").count() == other.store.read("postings").count()
+
+
+def test_an_index_that_is_not_whole_is_not_trusted(spark, tmp_path):
+    engine = Engine(spark, f"file://{tmp_path}/a", HashEmbedder(8))
+    engine.sync(table(spark, CORPUS))
+    segment = engine.store.segments(1)[0]
+    vectors = spark.createDataFrame(engine.store.read("vectors").limit(2).collect(), engine.store.read("vectors").schema)
+    vectors.write.mode("overwrite").parquet(f"file://{tmp_path}/a/{segment}/vectors")
+    fresh = Engine(spark, f"file://{tmp_path}/a", HashEmbedder(8))
+    assert fresh.store.inspect("hash-8") == "untrusted" and fresh.plan(table(spark, CORPUS))[0] == "full"
+    fresh.sync(table(spark, CORPUS))
+    assert fresh.store.inspect("hash-8") == "ok"
+
+
+def test_feed_of_ids(spark, tmp_path):
+    engine = Engine(spark, f"file://{tmp_path}/a", HashEmbedder(8))
+    rows = [record(i, f"title {i}", f"content {i}") for i in range(5)]
+    engine.sync(table(spark, rows))
+    changed = [record(0, "other", "text", updated="later"), record(1, "other", "text", updated="later"), *rows[2:4], record(9, "new", "one")]
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "id long")
+    told = engine.sync(table(spark, changed), only=ids(0, 4, 9))
+    assert (told["mode"], told["docs_touched"]) == ("incremental", 3)
+    assert {r["doc_id"]: r["title"] for r in engine.store.read("docs").collect()} == {0: "other", 1: "title 1", 2: "title 2", 3: "title 3", 9: "new"}
+    assert engine.sync(table(spark, changed), only=ids(0, 4, 9))["mode"] == "noop"
+    assert engine.sync(table(spark, changed))["docs_touched"] == 1 and engine.sync(table(spark, changed))["mode"] == "noop"
+
+
+def test_digest_in_no_order(spark):
+    from mnemosieve.sources.observations import snapshot_digest
+
+    a = active_snapshot(table(spark, CORPUS))
+    assert snapshot_digest(a) == snapshot_digest(a.repartition(3).orderBy("id", ascending=False)) != snapshot_digest(a.where("id > 1"))
+
+
+def test_small_minds_bytes(spark):
+    from mnemosieve.operators.scoring import small
+
+    wide = spark.createDataFrame([(i, "x" * 1000, [1.0] * 100) for i in range(50)], "i long, s string, v array<double>")
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().logical().toString() or "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hinted(small(wide)) and not hinted(small(wide, size=50_000)) and not hinted(small(wide, rows=49)) and small(wide, rows=1).count() == 50
+
+
 WORDS = st.sampled_from(["读层", "alpha beta", "Hello b2", "单", "", "x 1 22", "été"])
 ROW = st.tuples(st.integers(1, 6), WORDS, WORDS, st.booleans())
 
