@@ -22,7 +22,7 @@ from mnemosieve.operators import index as ix
 from mnemosieve.operators import instruments as im
 from mnemosieve.operators import retrieval as rt
 from mnemosieve.operators import scoring as sc
-from mnemosieve.operators.identity import compared, dir_fingerprint
+from mnemosieve.operators.identity import compared, dir_fingerprint, identity_digest
 from mnemosieve.sources import observations as ob
 from mnemosieve.sources.tables import read_table, scratch_path, written
 
@@ -223,19 +223,26 @@ def s20_response_envelopes(spark, sf_dir):
     return ob.envelopes(rows.select("conv_id", "turn", F.when(F.col("turn") % 3 == 0, F.col("text")).otherwise(whole).alias("body")), "body")
 
 
-@query("SELECT conv_id, turn, conv_id AS id, (turn % 4)::INT AS dropped_candidates FROM conversations")
+@query("SELECT conv_id, turn, conv_id * 1000 + turn AS id, len(string_split(text, ' '))::INT AS dropped_candidates FROM conversations")
 def s19_fallback_envelopes(spark, sf_dir):
     rows = read_table(spark, sf_dir, "conversations")
-    body = F.to_json(F.struct(F.col("conv_id").alias("id"), F.array_repeat("role", (F.col("turn") % 4).cast("int")).alias("candidates")))
+    body = F.to_json(F.struct((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.split("text", " ").alias("candidates")))
     return rows.withColumn("e", ob.fallback_envelope(body)).select("conv_id", "turn", "e.id", "e.dropped_candidates")
 
 
-@query("SELECT conv_id, turn, CASE turn % 5 WHEN 0 THEN 'success' WHEN 1 THEN 'server' WHEN 2 THEN 'rejected' WHEN 3 THEN 'success-without-id' ELSE 'timeout' END AS outcome FROM conversations")
+@query("""SELECT conv_id, turn, CASE WHEN length(text) % 7 = 0 THEN 'timeout' WHEN 200 + length(text) % 400 < 300 THEN CASE WHEN role = 'user' THEN 'success' ELSE 'success-without-id' END
+ WHEN 200 + length(text) % 400 >= 500 THEN 'server' ELSE 'rejected' END AS outcome FROM conversations""")
 def s18_write_outcomes(spark, sf_dir):
     rows = read_table(spark, sf_dir, "conversations")
-    k = F.col("turn") % 5
-    status, failure = F.when(k == 0, 200).when(k == 1, 500).when(k == 2, 404).when(k == 3, 201), F.when(k == 4, "timeout")
-    return rows.select("conv_id", "turn", ob.write_outcome(status, failure, F.when(k == 0, F.col("conv_id"))).alias("outcome"))
+    n = F.length("text")
+    return rows.select("conv_id", "turn", ob.write_outcome(200 + n % 400, F.when(n % 7 == 0, "timeout"), F.when(F.col("role") == "user", F.col("conv_id"))).alias("outcome"))
+
+
+@query("SELECT conv_id, 'r' || turn AS id, turn, role, text FROM conversations")
+def s17_response_frames(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "conversations").withColumn("id", F.concat(F.lit("r"), "turn"))
+    told = F.from_json("value", "id string, payload struct<conv_id: bigint, turn: bigint, role: string, text: string>")
+    return ob.response_frames(rows.select("id", "conv_id", "turn", "role", "text")).select(told.alias("f")).select("f.id", "f.payload.*")
 
 
 @query("SELECT vec_id AS doc_id, round(embedding[1]::DOUBLE, 6) AS first, true AS same FROM embeddings")
@@ -301,10 +308,13 @@ def x24_learnings(spark, sf_dir):
     return read_table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.has_learnings_section(t).alias("has_learnings"))
 
 
-@query("SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN conv_id END AS extracted, CASE WHEN turn % 2 = 0 THEN turn END AS saved, CASE WHEN turn % 2 = 0 THEN 0::BIGINT END AS duplicates FROM conversations")
+@query("""WITH t AS (SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN text || chr(10) || 'done: extracted=' || length(text) || ' saved=' || turn || ' duplicates=' || length(role) ELSE text END AS text FROM conversations),
+ n AS (SELECT *, regexp_extract(text, 'extracted=(\\d+)\\s+saved=(\\d+)\\s+duplicates=(\\d+)', ['e', 's', 'd']) AS r FROM t)
+ SELECT conv_id, turn, nullif(r.e, '')::BIGINT AS extracted, nullif(r.s, '')::BIGINT AS saved, nullif(r.d, '')::BIGINT AS duplicates FROM n""")
 def x25_capture_counts(spark, sf_dir):
     rows = read_table(spark, sf_dir, "conversations")
-    t = F.when(F.col("turn") % 2 == 0, F.concat(F.lit("done: extracted="), "conv_id", F.lit(" saved="), "turn", F.lit(" duplicates=0"))).otherwise("nothing")
+    report = F.concat("text", F.lit("\ndone: extracted="), F.length("text"), F.lit(" saved="), "turn", F.lit(" duplicates="), F.length("role"))
+    t = F.when(F.col("turn") % 2 == 0, report).otherwise(F.col("text"))
     return rows.select("conv_id", "turn", *[c.alias(n) for n, c in tx.capture_counts(t).items()])
 
 
@@ -325,12 +335,12 @@ def x28_blocks_to_text(spark, sf_dir):
     return rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(block)).alias("b"), F.count_if(F.col("role") != "system").alias("n")).where("n > 0").select("conv_id", tx.blocks_to_text(F.col("b")).alias("text"))
 
 
-@query("SELECT conv_id, turn, (1300 * turn)::BIGINT AS budget_ms, turn AS capacity, greatest(1, ceil(turn * 1300.0 / 1000))::BIGINT AS seconds FROM conversations")
+@query("""WITH c AS (SELECT conv_id, turn, length(text) * 100 AS budget_ms, least(16, greatest(1, turn % 20)) AS n FROM conversations), d AS (SELECT *, greatest(0, floor(budget_ms * n / 1300.0::DOUBLE))::BIGINT AS capacity FROM c)
+ SELECT conv_id, turn, capacity, ceil(capacity * 1300.0::DOUBLE / n / 1000)::BIGINT AS seconds FROM d""")
 def x30_capacity(spark, sf_dir):
-    rows = read_table(spark, sf_dir, "conversations")
-    budget = F.col("turn") * rq.MS_PER_DOC
-    capacity = F.greatest(F.lit(0), F.floor(budget / F.lit(float(rq.MS_PER_DOC)))).cast("long")
-    return rows.select("conv_id", "turn", budget.cast("long").alias("budget_ms"), capacity.alias("capacity"), F.greatest(F.lit(1), F.ceil(capacity * rq.MS_PER_DOC / F.lit(1000.0))).cast("long").alias("seconds"))
+    threads = F.col("turn") % 20
+    rows = read_table(spark, sf_dir, "conversations").withColumn("capacity", rq.embed_capacity_of(F.length("text") * 100, threads))
+    return rows.select("conv_id", "turn", "capacity", rq.estimate_seconds_of(F.col("capacity"), threads).alias("seconds"))
 
 
 @query("SELECT event_id, CASE WHEN value = floor(value) THEN printf('%.1f', value) ELSE value::VARCHAR END AS shown, printf('%.4f', value) AS four FROM events")
@@ -338,9 +348,9 @@ def x32_number_text(spark, sf_dir):
     return read_table(spark, sf_dir, "events").select("event_id", tx.float_text(F.col("value")).alias("shown"), tx.score_text(F.col("value")).alias("four"))
 
 
-@query("SELECT conv_id, turn, 'mem_' || role AS tool FROM conversations")
+@query("SELECT conv_id, turn, unnest(regexp_extract_all(replace(text || ' mem_' || role || ' now', ' th', ' mem_th'), 'mem_[a-z0-9_]+')) AS tool FROM conversations")
 def x33_tool_mentions(spark, sf_dir):
-    line = F.concat(F.lit("call mem_"), "role", F.lit(" now"))
+    line = F.replace(F.concat("text", F.lit(" mem_"), "role", F.lit(" now")), F.lit(" th"), F.lit(" mem_th"))
     return read_table(spark, sf_dir, "conversations").select("conv_id", "turn", F.explode(tx.tool_mentions(line)).alias("tool"))
 
 
@@ -643,12 +653,23 @@ def e05_summary_once(spark, sf_dir):
     return en.summaries_once(rows.select(F.concat(F.lit("c"), "conv_id").alias("session_id"), F.concat(F.lit("k"), F.floor(F.col("conv_id") / 2)).alias("compaction_id"), (F.col("conv_id") * 1000 + F.col("turn")).alias("seq"), F.when(F.col("conv_id") % 5 == 0, "").otherwise(F.col("text")).alias("text")))
 
 
-@query(f"SELECT 'c' || conv_id AS session_id, 'k' || conv_id AS compaction_id, '{FRAME}' || chr(10) || chr(10) || 'known' AS text, conv_id % 2 = 0 AS wakeup FROM (SELECT DISTINCT conv_id FROM conversations) WHERE conv_id % 3 <> 0")
+@query(f"""WITH f AS (SELECT conv_id, min_by(text, turn) AS recall FROM conversations GROUP BY 1), b AS (SELECT {100 - -(-len(FRAME) // 4)} AS n)
+SELECT 'c' || conv_id AS session_id, 'k' || conv_id AS compaction_id, '{FRAME}' || chr(10) || chr(10) || CASE WHEN length(recall) <= 4 * n THEN recall ELSE substr(recall, 1, 4 * n) || chr(10) || '…(truncated to ' || n || ' tokens)' END AS text,
+ conv_id % 2 = 0 AS wakeup FROM f, b WHERE conv_id % 3 <> 0 AND trim(recall) <> ''""")
 def e06_injection_once(spark, sf_dir):
     rows = read_table(spark, sf_dir, "conversations")
     data = F.concat(F.lit('{"compactionId":"k'), "conv_id", F.lit('","turn":'), F.when(F.col("conv_id") % 2 == 0, "null").otherwise("3"), F.when(F.col("conv_id") % 3 == 0, ',"error":"x"').otherwise(""), F.lit("}"))
     ends = rows.select(F.concat(F.lit("c"), "conv_id").alias("session_id"), F.lit("compaction/end").alias("type"), F.col("turn").alias("seq"), data.alias("data"))
-    return en.injections(ends, FRAME, ends.select("session_id").distinct().withColumn("recall", F.lit("known")), 100)
+    recalled = rows.groupBy(F.concat(F.lit("c"), "conv_id").alias("session_id")).agg(F.min_by("text", "turn").alias("recall"))
+    return en.injections(ends, FRAME, recalled, 100)
+
+
+@query("SELECT conv_id, turn FROM conversations WHERE role <> 'assistant' AND length(text) % 3 = 0")
+def e11_without_subagents(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "conversations")
+    told = rows.withColumns({"origin": F.when(F.col("role") == "assistant", "subagent").otherwise(F.col("role")), "depth": F.length("text") % 3})
+    return en.without_subagents(told).select("conv_id", "turn")
+
 
 
 # Instruments.
@@ -695,17 +716,25 @@ def q08_stats(spark, sf_dir):
 
 
 # Identity.
-@query("SELECT lang AS \"group\", sha256(string_agg(rel_path || chr(10) || sha || chr(10), '' ORDER BY rel_path)) AS fingerprint FROM (SELECT lang, lpad(doc_id::VARCHAR, 9, '0') AS rel_path, sha256(coalesce(text, '')) AS sha FROM documents) GROUP BY 1")
+@query("SELECT conv_id::VARCHAR AS \"group\", sha256(string_agg(lpad(turn::VARCHAR, 9, '0') || chr(10) || sha256(text) || chr(10), '' ORDER BY turn)) AS fingerprint FROM conversations GROUP BY 1")
 def a16_dir_fingerprint(spark, sf_dir):
-    d = read_table(spark, sf_dir, "documents")
-    return dir_fingerprint(d.select(F.col("lang").alias("group"), F.lpad(F.col("doc_id").cast("string"), 9, "0").alias("rel_path"), F.sha2(tx.text_of(F.col("text")), 256).alias("sha256")))
+    d = read_table(spark, sf_dir, "conversations")
+    return dir_fingerprint(d.select(F.col("conv_id").cast("string").alias("group"), F.lpad(F.col("turn").cast("string"), 9, "0").alias("rel_path"), F.sha2("text", 256).alias("sha256")))
+
+
+@query("SELECT sha256(string_agg(r, chr(10) ORDER BY r)) AS identity FROM (SELECT n_name || ' ' || length(n_name) || ' ' || sha256(n_name) AS r FROM nation)")
+def a17_identity_digest(spark, sf_dir):
+    return identity_digest(read_table(spark, sf_dir, "nation").select(F.col("n_name").alias("rel_path"), F.length("n_name").alias("bytes"), F.sha2("n_name", 256).alias("sha256")))
 
 
-@query("SELECT 'd' || doc_id AS rel_path, CASE WHEN doc_id % 7 = 0 THEN 'missing' WHEN doc_id % 5 = 0 THEN 'extra' WHEN doc_id % 3 = 0 THEN 'mismatch' ELSE 'ok' END AS state FROM documents")
+@query("SELECT 'd' || doc_id AS rel_path, CASE WHEN doc_id % 7 = 0 THEN 'missing' WHEN doc_id % 5 = 0 THEN 'extra' WHEN doc_id % 3 = 0 AND coalesce(text, '') <> lower(coalesce(text, '')) THEN 'mismatch' ELSE 'ok' END AS state FROM documents")
 def j15_declared_files(spark, sf_dir):
-    files = read_table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("d"), "doc_id").alias("rel_path"), F.length("text").alias("bytes"), F.lit("x").alias("sha256"))
-    declared = files.where("doc_id % 7 = 0 or doc_id % 5 <> 0")
-    return compared(declared.drop("doc_id"), files.where("doc_id % 7 <> 0").withColumn("bytes", F.when(F.col("doc_id") % 3 == 0, F.col("bytes") + 1).otherwise(F.col("bytes"))).drop("doc_id"))
+    """Files as declared and as found; every third is found in lower case."""
+    d = read_table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("d"), "doc_id").alias("rel_path"), tx.text_of(F.col("text")).alias("text"))
+    described = lambda rows, text: rows.select("rel_path", F.octet_length(text).alias("bytes"), F.sha2(text, 256).alias("sha256"))
+    found = F.when(F.col("doc_id") % 3 == 0, F.lower("text")).otherwise(F.col("text"))
+    return compared(described(d.where("doc_id % 7 = 0 or doc_id % 5 <> 0"), F.col("text")), described(d.where("doc_id % 7 <> 0"), found))
+
 
 
 # Evaluation.
@@ -762,6 +791,61 @@ def v06_mcnemar(spark, sf_dir):
     return ev.mcnemar(ev.counted_ranks(c.scores, gold), ev.counted_ranks(vector_only, gold)).select("only_a", "only_b", "n", r6("difference"), r6("sigma"))
 
 
+# The engine as its users call it. Every text has one direction, so all candidates are in the pool and coverage decides.
+class _Flat:
+    """One vector for every text."""
+
+    identity, dimension = "flat", 1
+
+    def embed(self, text):
+        return F.array(F.lit(1.0).cast("float"))
+
+
+def _engine(c: Corpus):
+    from mnemosieve.plans.engine import Engine
+
+    engine = Engine(c.spark, scratch_path(c.spark, "engine"), _Flat(), sc.Ranking(top_k=0), shown=SHOWN)
+    engine.sync(c.records.where("id % 7 <> 0"), unlimited=True)
+    engine.sync(c.records, unlimited=True)  # the rest comes as a segment
+    return engine
+
+
+_FLAT_SCORES = f"""{_lex('field_cov').rsplit(' QUALIFY', 1)[0]}), sco AS (SELECT q.query_id, docs.doc_id, coverage, CASE WHEN coverage IS NULL THEN 1::FLOAT ELSE (1::FLOAT + (0.2::DOUBLE * coverage)::FLOAT)::FLOAT END AS boosted
+ FROM docs CROSS JOIN q LEFT JOIN lex USING (query_id, doc_id))"""
+_ENGINE_HITS = f"""WITH {_FLAT_SCORES}, f AS (SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY boosted DESC, doc_id))::INT AS place, doc_id, title, type, project, scope, boosted, {_FLAT} AS x
+ FROM sco JOIN docs USING (doc_id) WHERE project = 'src0' QUALIFY place <= 10), hit AS (SELECT * EXCLUDE (x), {_EXCERPT} AS excerpt FROM f)"""
+
+
+@query(f"{_ENGINE_HITS} SELECT query_id, place, doc_id, title, type, project, scope, round(boosted::DOUBLE, 6) AS score, excerpt FROM hit")
+def q03_engine_recall(spark, sf_dir):
+    c = Corpus(spark, sf_dir)
+    return _engine(c).recall(c.queries.select("query_id", "query"), rt.Request(project="src0"))["hits"].withColumn("score", F.round(F.col("score").cast("double"), 6))
+
+
+@query(f"{_ENGINE_HITS} SELECT query_id, string_agg('#' || doc_id || ' [' || type || '] ' || title || ' (' || printf('%.4f', boosted::DOUBLE) || ')' || chr(10) || '  ' || excerpt, chr(10) ORDER BY place) AS text FROM hit GROUP BY 1")
+def x36_rendered_hits(spark, sf_dir):
+    from mnemosieve.plans.saving import rendered_hits
+
+    c = Corpus(spark, sf_dir)
+    return rendered_hits(_engine(c).recall(c.queries.select("query_id", "query"), rt.Request(project="src0"))["hits"])
+
+
+_ENGINE_CAND = _FLAT_SCORES.replace("text AS query", "substr(text, 1, 80) || chr(10) || text AS query")
+
+
+@query(f"""WITH {_ENGINE_CAND}, r AS (SELECT query_id, doc_id, project, 'src' || (query_id % 20) AS q_project, (row_number() OVER (PARTITION BY query_id ORDER BY boosted DESC, doc_id)) AS semantic_rank FROM sco JOIN docs USING (doc_id))
+SELECT query_id, doc_id, (row_number() OVER (PARTITION BY query_id ORDER BY semantic_rank))::INT AS place, semantic_rank FROM r WHERE project = q_project QUALIFY place <= {SHOWN}""")
+def q04_engine_candidates(spark, sf_dir):
+    c = Corpus(spark, sf_dir)
+    return _engine(c).candidates(c.requests, c.records)["candidates"].select("query_id", "doc_id", "place", "semantic_rank")
+
+
+@query(f"WITH {_DOCS}, q AS (SELECT item_id AS query_id, text AS query FROM benchmark) SELECT query_id, i AS pos, t.kind || chr(0) || t.token AS key FROM (SELECT query_id, unnest({_tok('query')}) AS t, generate_subscripts({_tok('query')}, 1) - 1 AS i FROM q)")
+def x06_token_key(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.posexplode(tx.tokens(F.col("text"))).alias("pos", "t"))
+    return rows.select("query_id", F.col("pos").cast("long").alias("pos"), tx.token_key(F.col("t")).alias("key"))
+
+
 # Streams.
 @query("SELECT 'c' || conv_id AS session_id, turn // 4 AS turn, count(*) > 0 AS captured FROM conversations WHERE NOT (conv_id % 3 = 0 AND turn % 4 = 0) GROUP BY 1, 2")
 def stream_capture(spark, sf_dir):

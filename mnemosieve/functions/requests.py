@@ -67,6 +67,20 @@ def estimate_seconds(docs: int, threads: int, ms_per_doc: float = MS_PER_DOC) ->
     return math.ceil(docs * ms_per_doc / min(MOST_THREADS, max(1, threads)) / 1000)
 
 
+def workers(threads: Column) -> Column:
+    return F.least(F.lit(MOST_THREADS), F.greatest(F.lit(1), threads))
+
+
+def embed_capacity_of(budget_ms: Column, threads: Column, ms_per_doc: float = MS_PER_DOC) -> Column:
+    """embed_capacity() of columns."""
+    return F.greatest(F.lit(0), F.floor(budget_ms * workers(threads) / F.lit(float(ms_per_doc)))).cast("long")
+
+
+def estimate_seconds_of(docs: Column, threads: Column, ms_per_doc: float = MS_PER_DOC) -> Column:
+    """estimate_seconds() of columns."""
+    return F.ceil(docs * F.lit(float(ms_per_doc)) / workers(threads) / 1000).cast("long")
+
+
 @dataclass(frozen=True)
 class Refusal:
     """Why a request was turned down, and what would do instead."""

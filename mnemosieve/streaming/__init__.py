@@ -49,10 +49,18 @@ def run_once(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
 INSTRUMENTS = "session_id string, read_first long, blind long, unknown long, verdicts map<string, long>"
 
 
-def instruments(events: DataFrame) -> DataFrame:
+#: Milliseconds after which the state of a session without events is dropped.
+IDLE_MS = 24 * 3_600_000
+
+
+def instruments(events: DataFrame, idle_ms: int | None = IDLE_MS) -> DataFrame:
     """Counters of each session as they stand after each micro-batch. events: streaming, session_id, seq, kind (read, saved, verdict or end), ids, verb.
-    A session's ids and counts are its state, dropped when it ends; a verdict without ids leaves open what was read first."""
+    A session's ids and counts are its state, dropped when it ends or is idle for long; a verdict without ids leaves open what was read first.
+    idle_ms: None for a run that is to end by itself (a trigger of what is available), since timeouts always call for another batch."""
     def update(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         known, counts, verbs = state.get if state.exists else ([], [0, 0, 0], [])
         known, counts, verdicts = set(known), list(counts), dict.fromkeys(verbs[::2], 0) | {v: int(n) for v, n in zip(verbs[::2], verbs[1::2], strict=True)}
         ended = False
@@ -68,7 +76,9 @@ def instruments(events: DataFrame) -> DataFrame:
             state.remove()
         else:
             state.update((sorted(known), counts, [x for v, n in sorted(verdicts.items()) for x in (v, str(n))]))
+            if idle_ms is not None:
+                state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame({"session_id": [key[0]], "read_first": [counts[0]], "blind": [counts[1]], "unknown": [counts[2]], "verdicts": [verdicts]})
 
     rows = events.select("session_id", "seq", "kind", "ids", "verb")
-    return rows.groupBy("session_id").applyInPandasWithState(update, INSTRUMENTS, "known array<long>, counts array<long>, verbs array<string>", "update", "NoTimeout")
+    return rows.groupBy("session_id").applyInPandasWithState(update, INSTRUMENTS, "known array<long>, counts array<long>, verbs array<string>", "update", "NoTimeout" if idle_ms is None else "ProcessingTimeTimeout")

@@ -81,7 +81,7 @@ def test_stream_instruments(spark, tmp_path):
     got = {}
     for i, batch in enumerate((rows, later)):
         spark.createDataFrame(batch, schema).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
-        stream = streaming.instruments(spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in"))
+        stream = streaming.instruments(spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in"), idle_ms=None)
         sink = stream.writeStream.outputMode("update").option("checkpointLocation", f"{tmp_path}/log").trigger(availableNow=True)
         sink.foreachBatch(lambda df, _: got.update({r["session_id"]: r for r in df.collect()})).start().awaitTermination()
     a, b = got["a"], got["b"]

@@ -112,3 +112,12 @@ def test_identity(spark):
     assert dir_fingerprint(files).first()["fingerprint"] == hashlib.sha256(b"a\ns2\nb\ns1\n").hexdigest()
     have = spark.createDataFrame([("a", 2, "s2"), ("c", 1, "x"), ("b", 1, "other")], "rel_path string, bytes long, sha256 string")
     assert {r[0]: r[1] for r in compared(files.drop("group"), have).collect()} == {"a": "ok", "b": "mismatch", "c": "extra"}
+
+
+def test_capacity_of_columns_is_that_of_numbers(spark):
+    from mnemosieve.functions import requests as rq
+
+    rows = [(b, t, n) for b in (0, 1, 1300, 58_500, 585_000) for t in (-1, 0, 1, 5, 16, 40) for n in (0, 1, 7, 1000)]
+    df = spark.createDataFrame(rows, "b long, t long, n long")
+    for r in df.select("*", rq.embed_capacity_of(F.col("b"), F.col("t")).alias("c"), rq.estimate_seconds_of(F.col("n"), F.col("t")).alias("s")).collect():
+        assert (r["c"], r["s"]) == (rq.embed_capacity(r["b"], r["t"]), rq.estimate_seconds(r["n"], r["t"]))
