@@ -2,8 +2,8 @@
 
 Keys are SHA-256 digests; a key's leading bits address a slot of the directory, which names a bucket. A bucket with more keys than its capacity is split
 by one more bit, which doubles the directory where that bit is new. Where the directory has reached its largest depth, an overfull bucket gets pages
-instead, told apart by further bits of the key, so a page's number of keys is bounded at any size. Buckets in the order of their keys are dealt to owners,
-a range each. An owner's task gets the rows of its buckets, groups them by digest *and* text, so texts that share a digest are chained apart by
+instead, told apart by further bits of the key, so a page's number of keys is bounded at any size. A bucket's page, which
+is a range of keys, has one owner. The owner's task gets the rows, groups them by digest *and* text, so texts that share a digest are chained apart by
 comparing bytes, and writes its part of the index. Copies of texts with very many copies are counted where they are, before they move. Rows find their
 group by addressing the directory: slot, bucket, page and key.
 
@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from mnemosieve.llm.common import LOWER, UPPER, attach_groups, carried, hot_limit, lower_ascii, read_table, restored, written
 
-#: Keys of a bucket before it is split; bits of the directory at most, which bounds it to 65,536 slots; buckets of an owner's range.
-CAPACITY, DEPTH, RANGE = 4000, 16, 16
+#: Keys of a bucket before it is split; bits of the directory at most, which bounds it to 65,536 slots.
+CAPACITY, DEPTH = 500, 16
 KEY_BITS = 60
 
 
@@ -102,7 +102,7 @@ def build_index(docs: DataFrame, digest: Callable[[Column], Column] = sha256, ca
     hot = F.broadcast(copies.where(F.col("n") > limit).select("text_sha256"))  # 2000 rows at most
     owned = addressed(keyed)
     groups = lambda rows: rows.groupBy("owner", *ADDRESS, "_text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
-    owned = owned.withColumn("owner", F.concat_ws("/", F.floor(F.col("bucket") / RANGE), "page"))
+    owned = owned.withColumn("owner", F.concat_ws("/", "bucket", "page"))
     counted = groups(owned.join(hot, "text_sha256", "left_semi"))
     moved = owned.join(hot, "text_sha256", "left_anti").repartition("owner")  # to the owner of the bucket
     texts = groups(moved).unionByName(counted).drop("_text", "owner")

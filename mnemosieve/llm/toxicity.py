@@ -40,7 +40,7 @@ SURELY, PARTS = 3.2, 4
 #: Width of a bin of logits, which end at +-END; labelled ids up to which they are sent to the texts instead of joined with the logits.
 BIN, END, SENT = 0.01, 40, 1_000_000
 #: Words whose responses are held at once.
-CHUNK = 50_000
+CHUNK = 20_000
 
 # Frequent function words by language.
 FUNCTION_WORDS = {
@@ -138,6 +138,20 @@ def pooled(tables: dict, words: np.ndarray, stems: np.ndarray, first: np.ndarray
     return np.maximum(out + tables["bias"], 0)
 
 
+def strongest(net: Network, words: np.ndarray, stems: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each filter, where in a text its response is largest, and that response; -inf where the text is shorter than the filter."""
+    value, where = np.full(len(net.bias), -np.inf, np.float32), np.zeros(len(net.bias), int)
+    reach = max(WIDTHS) - 1
+    for at in range(0, len(words), CHUNK):
+        stop = min(len(words), at + CHUNK)
+        r = responses((net.words[words[at : stop + reach]] + net.stems[stems[at : stop + reach]]) @ net.filters, stop - at)
+        place = r.argmax(0)
+        high = r[place, np.arange(len(place))]
+        better = high > value
+        value[better], where[better] = high[better], place[better] + at
+    return where, value
+
+
 def telling(docs: list[np.ndarray], labels: np.ndarray, buckets: int) -> np.ndarray:
     """How surely a bucket's words occur in documents of label 1 more often than by chance: the first coordinate of their embedding at the start.
     The root of the log-likelihood ratio, from SURELY on."""
@@ -172,10 +186,8 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
             batch = order[at : at + BATCH]
             for i in batch:
                 words, stems = docs[i]
-                e = net.words[words] + net.stems[stems]
-                resp = responses(e @ net.filters, len(words))
-                where = resp.argmax(0) if len(words) else np.zeros(len(net.bias), int)
-                value = (resp[where, np.arange(len(net.bias))] if len(words) else np.full(len(net.bias), -np.inf)) + net.bias
+                where, value = strongest(net, words, stems)
+                value = value + net.bias
                 hidden = np.maximum(value, 0)
                 keep = (r.random(len(hidden)) > 0.2) / 0.8
                 logit = float(hidden * keep @ net.last) + net.base
@@ -191,7 +203,7 @@ def train(docs: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
                         cols = column + j * FILTERS + mine
                         rows = where[k * FILTERS + mine] + j
                         g = back[k * FILTERS + mine]
-                        d_filters[:, cols] += e[rows].T * g
+                        d_filters[:, cols] += (net.words[words[rows]] + net.stems[stems[rows]]).T * g
                         touched.append((words[rows], stems[rows], (net.filters[:, cols] * g).T))
                     column += width * FILTERS
             step("last", d_last)

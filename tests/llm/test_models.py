@@ -373,3 +373,19 @@ def test_wide_filters_tell_what_single_words_cannot():
     alone = net.tables() | {"last": net.last * (np.arange(len(net.last)) < toxicity.FILTERS)}
     auc = lambda z: np.mean(z[y[300:] == 1][:, None] > z[y[300:] == 0][None])
     assert auc(wide) > 0.9 > 0.75 > auc(toxicity._logits_of(alone, docs[300:]))
+
+
+def test_strongest_in_pieces(monkeypatch):
+    r = np.random.default_rng(7)
+    net = toxicity.Network(2)
+    net.words[:], net.stems[:] = r.normal(size=net.words.shape), r.normal(size=net.stems.shape)
+    for n in (0, 1, 2, 3, 57):
+        w, s = r.integers(0, 90, n).astype(np.int32), r.integers(0, 90, n).astype(np.int32)
+        where, value = toxicity.strongest(net, w, s)
+        for chunk in (1, 2, 10):
+            monkeypatch.setattr(toxicity, "CHUNK", chunk)
+            again = toxicity.strongest(net, w, s)
+            assert np.array_equal(where, again[0]) and np.allclose(value, again[1])
+        monkeypatch.undo()
+        pooled = toxicity.pooled(net.tables(), w, s, np.array([0, n]))[0]
+        assert np.allclose(np.maximum(value + net.bias, 0), pooled, atol=1e-4)
