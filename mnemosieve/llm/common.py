@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from mnemosieve.sources.tables import read_table, scratch_path, written
 
-__all__ = ["arrow_map", "attach_groups", "carried", "lower_ascii", "read_table", "restored", "scratch_path", "slices", "worker_state", "written", "WordHasher"]
+__all__ = ["arrow_map", "attach_groups", "carried", "lower_ascii", "read_table", "restored", "scale_floored", "scratch_path", "slices", "tree_sum", "valid_vector", "vector_rows", "worker_state", "written", "WordHasher"]
 
 #: Rows of a batch that goes to Python, and bytes of text that a function sees at once.
 BATCH_ROWS, SLICE_BYTES = 1000, 1 << 20
@@ -165,3 +165,36 @@ class WordHasher:
         value = (raw[np.repeat(start, size) + within].astype(np.uint64) + np.uint64(1)) * power[within]
         return mix64(np.add.reduceat(value, begins) + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
+
+
+def valid_vector(vector: Column) -> Column:
+    """Whether a vector has components, none of them null or non-finite."""
+    return F.coalesce((F.size(vector) > 0) & F.forall(vector, lambda x: F.coalesce(F.abs(x.cast("double")) < float("inf"), F.lit(False))), F.lit(False))
+
+
+def scale_floored(vector: Column, scale: int, most: float) -> Column:
+    """floor(scale * x) of each component, as doubles that hold whole numbers, within +-most."""
+    return F.transform(vector, lambda x: F.least(F.greatest(F.floor(F.least(F.greatest(x.cast("double") * float(scale), F.lit(-most)), F.lit(most))).cast("double"), F.lit(-most)), F.lit(most)))
+
+
+def vector_rows(vectors: pa.Array) -> np.ndarray:
+    """The lists of a column, all of one length and without nulls, as rows."""
+    flat = vectors.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(vectors), -1)
+
+
+def tree_sum(rows: DataFrame, of_batch: Callable[[pa.RecordBatch], np.ndarray], zero: np.ndarray) -> np.ndarray:
+    """The sum of of_batch over all batches of rows: within a task, then over tasks by treeAggregate. An array of objects holds Python's integers, so is exact."""
+    exact = zero.dtype == object
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = zero
+        for batch in batches:
+            if batch.num_rows:
+                total = total + of_batch(batch)
+        whole, real = ([str(v) for v in total.ravel()], []) if exact else ([], total.ravel().tolist())
+        yield pa.RecordBatch.from_arrays([pa.array([whole], pa.list_(pa.string())), pa.array([real], pa.list_(pa.float64()))], ["whole", "real"])
+
+    read = lambda r: np.array([int(v) for v in r["whole"]], object) if exact else np.array(r["real"])
+    total = rows.mapInArrow(run, "whole array<string>, real array<double>").rdd.treeAggregate(zero.ravel(), lambda a, r: a + read(r), lambda a, b: a + b)
+    return total.reshape(zero.shape)

@@ -19,6 +19,9 @@ QUERIES = {
     "op8_source_mixing": "mixing",
     "op9_ngram_jaccard_join": "ngram_join",
     "op10_html_extraction": "html_extract",
+    "op11_byte_bpe": "byte_bpe",
+    "op12_embedding_whitening": "whitening",
+    "op13_vector_codes": "vector_codes",
 }
 
 
