@@ -49,14 +49,43 @@ def meta_totals(docs: DataFrame, posted: DataFrame) -> DataFrame:
     return of_docs.join(of_postings).join(of_terms)  # three single rows
 
 
+TOTALS = ["doc_count", "total_content_chars", "n_terms", "n_postings", "n_title_tokens", "n_content_tokens"]
+
+
 def meta(docs: DataFrame, posted: DataFrame, source_hash: str, identity: str) -> DataFrame:
     """key, value: the totals and the constants that define scores."""
-    names = ["doc_count", "total_content_chars", "n_terms", "n_postings", "n_title_tokens", "n_content_tokens"]
+    return meta_of(meta_totals(docs, posted), source_hash, identity)
+
+
+def meta_of(totals: DataFrame, source_hash: str, identity: str) -> DataFrame:
+    """meta() from one row of totals."""
     fixed = {"algo_version": ALGO_VERSION, "identity": identity, "all_cjk_unigrams": "0", "source_hash": source_hash}
-    pairs = [F.struct(F.lit(n).alias("key"), F.col(n).cast("string").alias("value")) for n in names]
+    pairs = [F.struct(F.lit(n).alias("key"), F.col(n).cast("string").alias("value")) for n in TOTALS]
     pairs += [F.struct(F.lit(k).alias("key"), F.lit(v).alias("value")) for k, v in fixed.items()]
     pairs += [F.struct(F.lit(k).alias("key"), float_text(F.lit(v)).alias("value")) for k, v in SCORING.items()]
-    return meta_totals(docs, posted).select(F.explode(F.array(*pairs)).alias("p")).select("p.key", "p.value")
+    return totals.select(F.explode(F.array(*pairs)).alias("p")).select("p.key", "p.value")
+
+
+def moved_terms(gone: DataFrame, come: DataFrame) -> DataFrame:
+    """token, kind, change: by how many documents a term has gained or lost. gone, come: postings of the touched documents before and after."""
+    count = lambda p, sign: p.groupBy("token", "kind").agg((sign * F.count(F.lit(1))).alias("n"))
+    return count(gone, -1).unionByName(count(come, 1)).groupBy("token", "kind").agg(F.sum("n").alias("change")).where("change <> 0")
+
+
+def updated_terms(moved: DataFrame, known: DataFrame) -> DataFrame:
+    """token, kind, df_before, df of the moved terms. known: their rows (token, kind, df) as they stand; none for a term that is new."""
+    before = F.coalesce(F.col("df"), F.lit(0))
+    return moved.join(known.select("token", "kind", "df"), ["token", "kind"], "left").select("token", "kind", before.alias("df_before"), (before + F.col("change")).alias("df"))
+
+
+def totals_after(before: dict[str, str], gone: tuple[DataFrame, DataFrame], come: tuple[DataFrame, DataFrame], terms_moved: DataFrame) -> dict[str, int]:
+    """Totals after an update from those before it and what was touched. gone, come: documents and postings; terms_moved: of updated_terms()."""
+    def told(docs: DataFrame, posted: DataFrame) -> dict[str, int]:
+        return meta_totals(docs, posted).first().asDict()
+
+    old, new = told(*gone), told(*come)
+    opened, closed = terms_moved.agg(F.count_if((F.col("df_before") == 0) & (F.col("df") > 0)), F.count_if((F.col("df_before") > 0) & (F.col("df") == 0))).first()
+    return {k: int(before[k]) - old[k] + new[k] for k in TOTALS} | {"n_terms": int(before["n_terms"]) + opened - closed}
 
 
 def scoring_params(meta_rows: DataFrame) -> dict[str, float]:

@@ -45,9 +45,14 @@ def weight(column: str, kind: DataType) -> Column:
 def small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
     """df, written once, to be broadcast if it has at most `rows` rows and weighs at most `size` bytes."""
     df = written(df, "small")
+    return F.broadcast(df) if fits(df, rows, size) else df
+
+
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether df (a written table) may be broadcast."""
     each = sum((weight(f.name, f.dataType) for f in df.schema.fields), F.lit(16)).cast("long")
     n, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(each), F.lit(0))).first()
-    return F.broadcast(df) if n <= rows and total <= size else df
+    return n <= rows and total <= size
 
 
 def query_tokens(queries: DataFrame) -> DataFrame:

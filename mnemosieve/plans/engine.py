@@ -1,8 +1,14 @@
-"""The engine: keeps an index current, answers retrievals, finds candidates for records about to be written."""
+"""The engine: keeps an index current, answers retrievals, finds candidates for records about to be written.
+
+An update reads what it touches: the old documents of the touched ids, from which their old postings follow, and the terms of these and of the new ones,
+by buckets. Totals and document frequencies move by the difference; no posting list of another document is read.
+"""
 
 from __future__ import annotations
 
 import logging
+import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -14,7 +20,8 @@ from mnemosieve.functions.vectors import hash_embedding
 from mnemosieve.operators import index as ix
 from mnemosieve.operators import retrieval as rt
 from mnemosieve.operators import scoring as sc
-from mnemosieve.plans.store import SEGMENTED, SEGMENTS, IndexStore
+from mnemosieve.plans.embedding import watched
+from mnemosieve.plans.store import SEGMENTS, IndexStore
 from mnemosieve.sources.observations import active_snapshot, side_columns, snapshot_digest
 from mnemosieve.sources.tables import written
 
@@ -77,64 +84,82 @@ class Engine:
             return "full", snapshot.count()
         return ix.plan(self.store.read("docs"), snapshot, self.store.meta().get("source_hash", ""), snapshot_digest(snapshot))
 
-    def sync(self, records: DataFrame, full: bool = False, unlimited: bool = False, only: DataFrame | None = None) -> dict:
+    def sync(self, records: DataFrame, full: bool = False, unlimited: bool = False, only: DataFrame | None = None, on_progress: Callable[[int, int], None] | None = None) -> dict:
         """Brings the index up to the source. Over max_docs nothing is embedded or written. The source is read once, into a table from which digest,
-        difference and documents come. An update writes a segment of the documents it touches. only: ids (id) outside of which nothing has changed."""
+        difference and documents come. An update writes a segment of the documents it touches. only: ids (id) outside of which nothing has changed.
+        on_progress: told (documents embedded, of so many) while an embedder that counts is at work. The result has the metering of the sync."""
+        at = time.perf_counter()
+        out = self._synced(records, full, unlimited, only, on_progress)
+        return out | {"sync_ms": 1000 * (time.perf_counter() - at), "index_bytes": self.store.size()}
+
+    def _synced(self, records: DataFrame, full: bool, unlimited: bool, only: DataFrame | None, on_progress: Callable[[int, int], None] | None) -> dict:
         begun = self.store.current()
         whole = full or self.store.inspect(self.embedder.identity) != "ok"
         snapshot = active_snapshot(records)
         if only is not None and not whole:
-            return self._touch(written(snapshot.join(only, "id", "left_semi"), "snapshot"), begun, unlimited, only)
+            snapshot = written(snapshot.join(only, "id", "left_semi"), "snapshot")
+            return {"hash_ms": 0.0, "rows_scanned": snapshot.count()} | self._touch(snapshot, begun, unlimited, only, on_progress=on_progress)
+        at = time.perf_counter()
         snapshot = written(snapshot, "snapshot")
         new_hash = snapshot_digest(snapshot)
+        told = {"hash_ms": 1000 * (time.perf_counter() - at), "rows_scanned": int(new_hash.split("-")[0])}
         stored = "" if whole else self.store.meta(begun).get("source_hash", "")
         if not whole and stored == new_hash:
-            return {"mode": "noop", "docs_touched": 0, "source_changed": False, "version": begun}
+            return told | {"mode": "noop", "docs_touched": 0, "embed_docs": 0, "source_changed": False, "version": begun, "doc_count": int(self.store.meta(begun)["doc_count"])}
         if not whole:
-            return self._touch(snapshot, begun, unlimited, None, new_hash, stored)
+            return told | self._touch(snapshot, begun, unlimited, None, new_hash, stored, on_progress)
         mode, touched = ix.plan(None, snapshot, "", new_hash, True, None if unlimited else self.max_docs)
         if mode == "deferred":
             raise SyncNeeded("full", touched)
-        docs = ix.documents(snapshot)
-        segment = self.store.stage({"docs": docs, "postings": ix.postings(docs), "vectors": self._vectors(docs), "touched": docs.select("doc_id").limit(0)})
-        return self._commit([segment], begun, new_hash, "full", touched, stored != new_hash)
-
-    def _touch(self, snapshot: DataFrame, begun: int, unlimited: bool, only: DataFrame | None, new_hash: str | None = None, stored: str | None = None) -> dict:
+        segment = self._staged(ix.documents(snapshot), touched, None, on_progress)
+        posted = self.store.table(segment, "postings")
+        self.store.stage({"terms": ix.terms(posted)}, name=segment)
+        meta = ix.meta(self.store.table(segment, "docs"), posted, new_hash, self.embedder.identity)
+        return told | self._commit([segment], begun, meta, "full", touched, stored != new_hash) | {"embed_docs": touched, "doc_count": touched}
+
+    def _staged(self, docs: DataFrame, count: int, touched: DataFrame | None, on_progress: Callable[[int, int], None] | None) -> str:
+        """Writes a segment but for its terms. Vectors come first: where embedding fails, there is no half of anything."""
+        with watched(self.embedder, count, on_progress):
+            segment = self.store.stage({"vectors": self._vectors(docs)}, count)
+        return self.store.stage({"docs": docs, "postings": ix.postings(docs), "touched": docs.select("doc_id").limit(0) if touched is None else touched}, name=segment)
+
+    def _touch(self, snapshot: DataFrame, begun: int, unlimited: bool, only: DataFrame | None, new_hash: str | None = None, stored: str | None = None, on_progress: Callable[[int, int], None] | None = None) -> dict:
         """An update by the difference between the index and the snapshot, or between their parts with some ids."""
         old = self.store.read("docs", begun)
         part = old if only is None else old.join(only.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
         changes = written(ix.diff(part, snapshot), "changes")
         touched = changes.count()
+        before = self.store.meta(begun)
         if not unlimited and self.max_docs is not None and touched > self.max_docs:
             raise SyncNeeded("incremental", touched)
-        out = {"mode": "incremental" if touched else "hash-only", "docs_touched": touched, "source_changed": stored != new_hash or bool(touched), "version": begun}
+        changed = stored != new_hash or bool(touched)
         if not touched and new_hash is None:
-            return out | {"mode": "noop"}
+            return {"mode": "noop", "docs_touched": 0, "embed_docs": 0, "source_changed": changed, "version": begun, "doc_count": int(before["doc_count"])}
         if not touched:
-            return self._commit(self.store.segments(begun), begun, new_hash, "hash-only", 0, True)
-        fresh = ix.documents(snapshot.join(changes.where("change = 'changed'").select(F.col("doc_id").alias("id")), "id", "left_semi"))
-        tables = {"docs": fresh, "postings": ix.postings(fresh), "vectors": self._vectors(fresh), "touched": changes.select("doc_id")}
-        segments = [*self.store.segments(begun), self.store.stage(tables)]
+            meta = self._meta({k: int(before[k]) for k in ix.TOTALS}, new_hash)
+            return self._commit(self.store.segments(begun), begun, meta, "hash-only", 0, True) | {"embed_docs": 0, "doc_count": int(before["doc_count"])}
+        gone = written(part.join(changes.select("doc_id"), "doc_id", "left_semi"), "gone")
+        fresh = written(ix.documents(snapshot.join(changes.where("change = 'changed'").select(F.col("doc_id").alias("id")), "id", "left_semi")), "fresh")
+        embedded = fresh.count()
+        segment = self._staged(fresh, embedded, changes.select("doc_id"), on_progress)
+        gone_postings, come_postings = written(ix.postings(gone), "gone-postings"), self.store.table(segment, "postings")
+        moved = written(ix.moved_terms(gone_postings, come_postings), "moved")
+        terms = written(ix.updated_terms(moved, self.store.lookup("terms", moved, begun)), "terms")
+        self.store.stage({"terms": terms.select("token", "kind", "df")}, name=segment)
+        totals = ix.totals_after(before, (gone, gone_postings), (fresh, come_postings), terms)
+        segments = [*self.store.segments(begun), segment]
         if len(segments) > SEGMENTS:
-            none = changes.select("doc_id").limit(0)
-            segments = [self.store.stage({**{t: self.store.merged(t, segments) for t in SEGMENTED}, "touched": none})]
-        if new_hash is None:  # the source as a whole hasn't been read; the next whole sync compares by the difference
-            new_hash = "partial"
-        return self._commit(segments, begun, new_hash, "incremental", touched, out["source_changed"], changes)
-
-    def _commit(self, segments: list[str], begun: int | None, new_hash: str, mode: str, touched: int, changed: bool, changes: DataFrame | None = None) -> dict:
-        docs, posted = self.store.merged("docs", segments), self.store.merged("postings", segments)
-        if mode == "full":
-            term_rows = ix.terms(posted)
-        elif changes is None:
-            term_rows = self.store.read("terms", begun)
-        else:  # terms of the touched documents, before and after
-            of = lambda p: p.join(changes.select("doc_id"), "doc_id", "left_semi").groupBy("token", "kind").agg(F.count(F.lit(1)).alias("n"))
-            gone, come = of(self.store.read("postings", begun)).withColumn("n", -F.col("n")), of(posted)
-            moved = gone.unionByName(come).unionByName(self.store.read("terms", begun).select("token", "kind", F.col("df").alias("n")))
-            term_rows = moved.groupBy("token", "kind").agg(F.sum("n").alias("df")).where("df > 0")
-        whole = self.store.stage({"terms": term_rows, "meta": ix.meta(docs, posted, new_hash, self.embedder.identity)})
-        version = self.store.publish(segments, whole, begun)
+            segments = self.store.compacted(segments, totals["doc_count"])
+        # "partial": the source as a whole hasn't been read; the next whole sync compares by the difference
+        meta = self._meta(totals, new_hash or "partial")
+        return self._commit(segments, begun, meta, "incremental", touched, changed) | {"embed_docs": embedded, "doc_count": totals["doc_count"]}
+
+    def _meta(self, totals: dict[str, int], source_hash: str) -> DataFrame:
+        row = self.spark.createDataFrame([tuple(totals[k] for k in ix.TOTALS)], ", ".join(f"{k} long" for k in ix.TOTALS))
+        return ix.meta_of(row, source_hash, self.embedder.identity)
+
+    def _commit(self, segments: list[str], begun: int | None, meta: DataFrame, mode: str, touched: int, changed: bool) -> dict:
+        version = self.store.publish(segments, self.store.stage({"meta": meta}), begun)
         self.totals["syncs"] += 1
         self.totals["docs_touched"] += touched
         return {"mode": mode, "docs_touched": touched, "source_changed": changed, "version": version}
@@ -155,8 +180,9 @@ class Engine:
         if "vec" not in queries.columns:
             queries = queries.withColumn("vec", self.embedder.embed(F.col("query")))
         queries = written(queries.select("query_id", "query", "vec"), "queries")
-        wanted = written(sc.with_idf(sc.query_tokens(queries), self.store.read("terms", version), told["n_docs"]), "wanted")
-        found = sc.matches(docs, self.store.read("postings", version), wanted, told["avgdl"], params)
+        asked = written(sc.query_tokens(queries), "asked")
+        wanted = written(sc.with_idf(asked, self.store.lookup("terms", asked, version), told["n_docs"]), "wanted")
+        found = sc.matches(docs, self.store.lookup("postings", wanted, version), wanted, told["avgdl"], params)
         found = written(found, "matches")
         lexical = written(sc.lexical_scores(found, wanted, self.ranking.coverage, params), "lexical")
         scores = sc.boosted(sc.cosines(docs, self.store.read("vectors", version), queries), sc.pool(lexical, self.ranking.top_k), self.ranking.weight)

@@ -1,4 +1,8 @@
-"""Versions of an index: immutable Parquet segments and a commit for each version, on any file system Spark reads."""
+"""Versions of an index: immutable Parquet segments and a commit for each version, on any file system Spark reads.
+
+Postings and terms lie in buckets of (token, kind), a directory each, and within a bucket in ranges; the name of a segment tells how many buckets it has. So a
+lookup of some tokens opens only their buckets, and no task holds a word's whole list. Documents and vectors lie in ranges of doc_id.
+"""
 
 from __future__ import annotations
 
@@ -8,16 +12,29 @@ import uuid
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from mnemosieve.operators import index as ix
-from mnemosieve.operators.scoring import small
+from mnemosieve.operators.scoring import fits
+from mnemosieve.sources.tables import written
 
-#: Tables that an update only adds to; rows of documents that a later segment has touched count no more. And those that are written whole.
-SEGMENTED, WHOLE = ("docs", "postings", "vectors"), ("terms", "meta")
+#: Tables that an update only adds to, and those that are written whole. Rows of documents that a later segment has touched count no more; of a term, the
+#: latest segment's row counts, and one without documents (df 0) is none.
+SEGMENTED, WHOLE = ("docs", "postings", "vectors", "terms"), ("meta",)
 TABLES = (*SEGMENTED, *WHOLE)
-#: Segments of a version at most; an update beyond merges them.
-SEGMENTS = 8
+ORDER = {"postings": ["bucket", "token", "kind", "doc_id"], "terms": ["bucket", "token", "kind"], "docs": ["doc_id"], "vectors": ["doc_id"]}
+#: Segments of a version at most; an update beyond merges them. Documents to a bucket, and buckets of a segment at most.
+SEGMENTS, BUCKET_DOCS, BUCKETS = 8, 1000, 4096
+
+
+def buckets_for(docs: int) -> int:
+    """A power of two."""
+    return min(BUCKETS, 1 << max(0, -(-docs // BUCKET_DOCS) - 1).bit_length())
+
+
+def bucket_of(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("token", "kind"), F.lit(buckets)).cast("int")
 
 
 class Busy(RuntimeError):
@@ -75,26 +92,49 @@ class IndexStore:
             return self.spark.read.parquet(f"{self.path}/{found['whole']}/{table}")
         return self.merged(table, found["segments"])
 
-    def merged(self, table: str, segments: list[str]) -> DataFrame:
-        """A table of some segments, oldest first: without rows of documents that a later segment has touched."""
-        parts, touched = [], None
+    def table(self, segment: str, table: str, only: DataFrame | None = None) -> DataFrame:
+        """A segment's own rows. only: tokens (token, kind), a small table; of the others' buckets no file is opened."""
+        rows = self.spark.read.parquet(f"{self.path}/{segment}/{table}")
+        if "bucket" not in rows.columns:
+            return rows
+        if only is not None:
+            wanted = [r[0] for r in only.select(bucket_of(int(segment.rsplit("-", 1)[1]))).distinct().collect()]  # as many as there are buckets at most
+            rows = rows.where(F.col("bucket").isin(wanted)).join(F.broadcast(only.select("token", "kind").distinct()), ["token", "kind"], "left_semi")
+        return rows.drop("bucket")
+
+    def merged(self, table: str, segments: list[str], only: DataFrame | None = None, empty_terms: bool = False) -> DataFrame:
+        """A table of some segments, oldest first: without rows of documents that a later segment has touched, and with each term's latest row.
+        only: tokens to look up. empty_terms: keeps terms that have lost their documents, for a merge of later segments."""
+        parts, later = [], None
+        key, mark = (["token", "kind"], "terms") if table == "terms" else ("doc_id", "touched")
         for name in reversed(segments):
-            rows = self.spark.read.parquet(f"{self.path}/{name}/{table}")
-            parts.append(rows if touched is None else rows.join(touched, "doc_id", "left_anti").select(*rows.columns))
-            own = self.spark.read.parquet(f"{self.path}/{name}/touched")
-            touched = own if touched is None else touched.unionByName(own)
-        return reduce(DataFrame.unionByName, parts)
-
-    def stage(self, tables: dict[str, DataFrame]) -> str:
-        """Writes tables into a directory of their own. Postings and terms lie in ranges of tokens, and a frequent token's postings in ranges of
-        documents, so a lookup reads few row groups and no task holds a word's whole list."""
-        name = f"d-{uuid.uuid4().hex}"
-        order = {"postings": ["token", "kind", "doc_id"], "terms": ["token", "kind"]}
+            rows = self.table(name, table, only)
+            parts.append(rows if later is None else rows.join(later, key, "left_anti").select(*rows.columns))
+            own = (rows if table == "terms" else self.table(name, mark)).select(*([key] if isinstance(key, str) else key))
+            later = own if later is None else later.unionByName(own)
+        found = reduce(DataFrame.unionByName, parts)
+        return found.where("df > 0") if table == "terms" and not empty_terms else found
+
+    def stage(self, tables: dict[str, DataFrame], docs: int = 0, name: str | None = None) -> str:
+        """Writes tables into a directory of their own, or into one that was staged before. docs: how many documents, for the number of buckets."""
+        name = name or f"d-{uuid.uuid4().hex}-{buckets_for(docs)}"
         for table, df in tables.items():
-            out = df.repartitionByRange(*order[table]).sortWithinPartitions(*order[table]) if table in order else df
-            out.write.parquet(f"{self.path}/{name}/{table}")
+            out = df.withColumn("bucket", bucket_of(int(name.rsplit("-", 1)[1]))) if "bucket" in ORDER.get(table, ()) else df
+            if table in ORDER:
+                out = out.repartitionByRange(*ORDER[table]).sortWithinPartitions(*ORDER[table])
+            writer = out.write.partitionBy("bucket") if "bucket" in out.columns else out.write
+            writer.parquet(f"{self.path}/{name}/{table}")
         return name
 
+    def compacted(self, segments: list[str], docs: int) -> list[str]:
+        """Fewer segments with the same rows. The first stays as it is while the later ones have touched less than half of `docs` documents."""
+        touched = sum(self.table(x, "touched").count() for x in segments[1:])
+        tail = segments[1:] if 2 * touched < docs else segments
+        none = self.table(segments[0], "touched").limit(0)
+        gone = none if tail is segments else reduce(DataFrame.unionByName, [self.table(x, "touched") for x in tail]).distinct()
+        tables = {t: self.merged(t, tail, empty_terms=tail is not segments) for t in SEGMENTED}
+        return [*segments[: len(segments) - len(tail)], self.stage({**tables, "touched": gone}, docs if tail is segments else touched)]
+
     def publish(self, segments: list[str], whole: str, expected: int | None) -> int:
         """Creates the commit after `expected`; if there is one already, another writer was faster."""
         version = (expected or 0) + 1
@@ -167,6 +207,16 @@ class IndexStore:
         self._checked[version] = identity
         return "ok"
 
+    def lookup(self, table: str, tokens: DataFrame, version: int | None = None) -> DataFrame:
+        """Postings or terms of some tokens (token, kind). Tokens too many to broadcast are met by a shuffle, with all buckets read."""
+        segments, wanted = self.segments(self.current() if version is None else version), written(tokens.select("token", "kind").distinct(), "tokens")
+        return self.merged(table, segments, wanted) if fits(wanted) else self.merged(table, segments).join(wanted, ["token", "kind"], "left_semi")
+
     def terms_of(self, tokens: DataFrame) -> DataFrame:
-        """Posting lists of some tokens (token, kind)."""
-        return self.read("postings").join(small(tokens), ["token", "kind"])
+        """Posting lists of some tokens (token, kind and others)."""
+        return self.lookup("postings", tokens).join(tokens, ["token", "kind"])
+
+    def size(self) -> int:
+        """Bytes of all files under the path."""
+        fs, p = self._fs(self.path)
+        return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
