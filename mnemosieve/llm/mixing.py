@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from mnemosieve.llm.common import carried, read_table, restored, written
 
@@ -57,6 +58,7 @@ def mixed(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SH
     group = [*KEY, "_class"]
     keyed = carried(rows.select(*(F.col(f"`{c}`") for c in columns)), F.col("doc_id"), F.col("source"), F.col("size")).withColumns({
         "_none": F.col("source").isNull(), "_source": F.coalesce(F.col("source").cast("string"), F.lit("")), "_class": size_class("size"),
+        "_tie": content_hash(rows, [c for c in columns if c not in ("doc_id", "source", "size")]),
         "_hash": F.pmod(F.pmod(F.coalesce(F.col("doc_id"), F.lit(0)).cast("long"), F.lit(1 << 31)) * F.lit(2654435761), F.lit(1 << 32)),
     })
     counts = written(keyed.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("words")), "mix-counts")
@@ -75,7 +77,7 @@ def mixed(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SH
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed), F.when(F.col("_none"), "n").otherwise("s"), F.col("_source"))), 1, 8), 16, 10).cast("double") / float(1 << 32)
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     places = fine.withColumn("_before", F.coalesce(F.sum("n").over(before), F.lit(0))).join(targets, KEY).withColumn("_offset", offset).withColumn("_each", each).select(*group, "_before", "_offset", "_each", "source_size", "target")
-    rank = F.row_number().over(Window.partitionBy(*group).orderBy("_hash", "doc_id"))
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy("_hash", "doc_id", "size", "_tie"))
     crossed = lambda i: F.floor(i * F.col("_each") + F.col("_offset"))
     at = F.col("_rank").cast("double")
     return (
@@ -85,6 +87,16 @@ def mixed(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SH
     )
 
 
+def content_hash(rows: DataFrame, columns: list[str]) -> Column:
+    """A hash of further columns (in `_own`), so that rows that share a doc_id have an order of their own. Maps have no hash and don't count."""
+    hashed = []
+    for c in columns:
+        kind, own = rows.schema[c].dataType, F.col("_own").getField(c)
+        fields = [(f.dataType, own.getField(f.name)) for f in kind.fields] if isinstance(kind, StructType) else [(kind, own)]
+        hashed += [x for k, x in fields if "map<" not in k.simpleString()]
+    return F.xxhash64(*hashed) if hashed else F.lit(0).cast("long")
+
+
 def mixture(docs: DataFrame) -> DataFrame:
     """The mix itself: rows of docs, each as often as it is taken."""
     chosen = mixed(carried(docs, F.col("doc_id"), F.col("source"), word_count(F.col("text")).alias("size")).withColumnRenamed("_own", "_docs")).where("copies > 0")
@@ -118,7 +130,7 @@ WITH d AS (
   FROM f
 ), r AS (
   SELECT c.doc_id, c.size, t.source_size, t.target, t.u, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS e,
-    (row_number() OVER (PARTITION BY c.source ORDER BY c.class, c.h, c.doc_id))::DOUBLE AS i
+    (row_number() OVER (PARTITION BY c.source ORDER BY c.class, c.h, c.doc_id, c.size))::DOUBLE AS i
   FROM c JOIN t ON c.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target, (floor(i * e + u) - floor((i - 1) * e + u))::BIGINT * size AS taken FROM r

@@ -137,6 +137,13 @@ def test_mixture(spark, monkeypatch, limit):
         assert sorted(map(str, rows)) == sorted(map(str, mx.mixed(docs.select("doc_id", "source", "size")).collect()))
 
 
+def test_repeated_ids_have_an_order(spark):
+    rows = [(5, "w " * 32, "a"), (5, "w " * 33, "a"), (5, "v " * 33, "a"), (6, "w " * 40, "a")]
+    schema = "doc_id long, text string, source string"
+    got = [sorted(map(str, mx.mixture(spark.createDataFrame([rows[i] for i in order], schema).coalesce(1)).collect())) for order in ((0, 1, 2, 3), (3, 2, 1, 0), (1, 3, 0, 2))]
+    assert got[0] == got[1] == got[2] and got[0]
+
+
 def test_mixture_rows(spark):
     docs = docs_of(spark)
     out = mx.mixture(docs)
