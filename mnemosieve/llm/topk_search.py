@@ -11,7 +11,7 @@ Queries come in blocks of a bounded size, one pass over the rows for each; only
 
 Defined results: a vector that is null or empty or holds a null or non-finite component takes no part; only vectors of the query's length
 are compared with it; ties go to the smaller vec_id; a score beyond 64 bits counts as the largest or smallest long; repeated rows are candidates of their own, but a row with the query's vec_id is no
-candidate for it; a repeated query id is asked once, with its smallest vector; fewer candidates than k give fewer rows.
+candidate for it; a repeated query id is asked once, with the smallest of its vectors that take part; fewer candidates than k give fewer rows.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mnemosieve.llm.common import BATCH_ROWS, read_table, scratch_path, written
+from mnemosieve.llm.common import BATCH_ROWS, read_table, scratch_path, valid_vector, written
 
 #: Queries of a pass, which a task holds, and their bytes at most; queries of a tile, whose products with a batch of rows it holds at once.
 K, BLOCKS, QUERY_BLOCK, QUERY_BYTES, TILE, SCALE = 5, 4, 16_384, 32 << 20, 1024, 256
@@ -133,7 +133,7 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = K, blocks: int = BLOCKS,
     spark = rows.sparkSession
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    asked = written(queries.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where("vec_id is not null and embedding is not null").groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "queries")
+    asked = written(queries.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")).where(F.col("vec_id").isNotNull() & valid_vector(F.col("embedding"))).groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "queries")
     count, longest = asked.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("embedding")), F.lit(0))).first()
     n = -(-count // max(1, min(query_block, QUERY_BYTES // (8 * max(1, longest)))))
     path = scratch_path(spark, "top-k")
