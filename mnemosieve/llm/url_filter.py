@@ -3,7 +3,8 @@
 Rules judge the URLs that they fit, and these judgements are the labels the trees learn from; the trees judge the rest. Features: lengths,
 depth, digit ratio, character entropy, parameters, hyphens, labels of the host, and the share of blocked URLs among those labelled under
 the host's last label and its last two. The shares count all labelled URLs, but for a labelled URL only those of other folds, so its own label is no
-part of its features. The trees are fitted on TRAIN_ROWS labelled URLs at most, those with the smallest hashes.
+part of its features. The trees are fitted on TRAIN_ROWS labelled URLs at most, half of them of
+either verdict where there are enough, those with the smallest hashes; weights restore the verdicts' shares.
 
 Defined results: a null URL or one without `://` has an empty host and path; a URL that fits no rule is allowed where there is nothing to
 learn from (no labelled URL of one verdict, or an empty table); repeated rows are judged alike; of rules of one length the first given
@@ -84,16 +85,23 @@ def with_shares(rows: DataFrame) -> DataFrame:
 
 
 def training_rows(full: DataFrame, most: int) -> DataFrame:
-    """`most` labelled rows with the smallest hashes. A cut by the hash leaves some 2 * most rows, so that tasks don't send `most` rows each."""
-    key = F.xxhash64("url", "page_id")
-    known = full.where("label is not null").withColumn("_key", key)
-    n, wanted = known.count(), 2 * most + 1000
-    while True:
-        some = known.where(F.col("_key") < int(-(1 << 63) + (1 << 64) * (wanted / n))) if n > wanted else known
-        sample = written(some.orderBy("_key", "page_id").limit(most).select("label", *FEATURES), "url-sample")
-        if n <= wanted or sample.count() >= most:
-            return sample
-        wanted *= 2
+    """At most `most` labelled rows, with label, weight and features: of each verdict those with the smallest hashes, half of them at least from the rarer one if
+    it has so many. A row's weight is what it stands for: the rows of its verdict over those taken. A cut by the hash leaves some two times the rows
+    wanted, so that tasks don't send a whole sample each."""
+    known = full.where("label is not null").withColumn("_key", F.xxhash64("url", "page_id"))
+    counts = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
+    parts = []
+    for label, n in sorted(counts.items()):
+        take, wanted = min(n, max(most // 2, most - sum(m for x, m in counts.items() if x != label))), 0
+        own = known.where(F.col("label") == label)
+        while True:
+            wanted = 2 * take + 1000 if not wanted else 2 * wanted
+            some = own.where(F.col("_key") < int(-(1 << 63) + (1 << 64) * (wanted / n))) if n > wanted else own
+            sample = written(some.orderBy("_key", "page_id").limit(take).select("label", F.lit(n / take).alias("weight"), *FEATURES), "url-sample")
+            if n <= wanted or sample.count() >= take:
+                break
+        parts.append(sample)
+    return reduce(DataFrame.unionByName, parts) if parts else known.limit(0).select("label", F.lit(1.0).alias("weight"), *FEATURES)
 
 
 def judged(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, train_rows: int = TRAIN_ROWS) -> DataFrame:
@@ -109,7 +117,7 @@ def judged(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, train_r
     if len(seen) < 2:
         return full.withColumn("verdict", F.coalesce("given", F.lit("allow"))).withColumn("score", F.lit(None).cast("double")).select(*out)
     vectors = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    model = GBTClassifier(labelCol="label", featuresCol="features", maxIter=TREES, maxDepth=TREE_DEPTH, stepSize=0.2, seed=7).fit(vectors.transform(sample))
+    model = GBTClassifier(labelCol="label", featuresCol="features", weightCol="weight", maxIter=TREES, maxDepth=TREE_DEPTH, stepSize=0.2, seed=7).fit(vectors.transform(sample))
     score = boosted_score(model)
     return full.withColumn("score", score).withColumn("verdict", F.coalesce("given", F.when(F.col("score") > 0.5, "block").otherwise("allow"))).select(*out)
 

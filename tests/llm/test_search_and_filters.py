@@ -35,6 +35,11 @@ def test_top_k(spark, block, blocks):
     assert sorted(map(tuple, got)) == want
 
 
+def test_a_repeated_query_counts_by_its_valid_vector(spark):
+    df = spark.createDataFrame([(50, [None, 1.0], ""), (50, [2.0, 1.0], ""), (1, [1.0, 1.0], ""), (2, [0.0, 1.0], "")], VECTORS)
+    assert [tuple(r) for r in tk.top_k(df, df.where("vec_id = 50")).orderBy("rank").collect()] == [(50, 1, 1, 256 * 256 * 3), (50, 2, 2, 256 * 256)]
+
+
 def test_top_k_of_nothing(spark):
     df = spark.createDataFrame([], VECTORS)
     assert tk.top_k(df, df).count() == 0
@@ -90,6 +95,16 @@ def test_trees_learn(spark):
     assert got[1000] == "block" and got[1001] == "allow"
 
 
+def test_a_rare_verdict_is_learned_from(spark):
+    rules = (("bad.com/", "block"), ("good.com/", "allow"))
+    rows = [(i, f"http://good.com/abc{i}") for i in range(3000)] + [(5000, "http://bad.com/1234567890"), (6000, "http://x.net/abc")]
+    out = {r["page_id"]: r for r in uf.judged(spark.createDataFrame(rows, "page_id long, url string"), rules, 500).collect()}
+    assert out[6000]["score"] is not None and out[6000]["verdict"] == "allow"
+    full = spark.createDataFrame([(float(i % 100 == 0), f"u{i}", i) for i in range(3000)], "label double, url string, page_id long")
+    sample = uf.training_rows(full.select("*", *(F.lit(0.0).alias(c) for c in uf.FEATURES)), 50)
+    assert {r["label"]: (r["n"], round(r["w"], 6)) for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("w")).collect()} == {0.0: (25, 2970.0), 1.0: (25, 30.0)}
+
+
 def test_shares_leave_out_the_own_fold(spark):
     from collections import Counter
 
