@@ -35,7 +35,7 @@ def sample_ids(rows: DataFrame, most: int) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    """doc_id, label and whole text of the chosen (a bounded number)."""
+    """doc_id, label and whole text of the chosen (a bounded number); of a repeated doc_id the smallest text."""
     chosen = chosen.select(F.col("doc_id").alias("_id"), "label")
     docs = docs.select("doc_id", "text")
-    return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("_id")).select("doc_id", "label", "text")
+    return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("_id")).groupBy("doc_id", "label").agg(F.min("text").alias("text"))

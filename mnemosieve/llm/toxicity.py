@@ -6,8 +6,9 @@ are linear in the embeddings, a trained model is two tables of responses, and sc
 
 Thresholds are calibrated by language, which is read off the text's function words; the score is shifted so that every language's threshold
 falls on THRESHOLD. A language's own threshold counts by the labels of its rarer class against TRUST labels' worth of the threshold of all languages
-together, so few labels move it little. Training: at most TRAIN_DOCS labelled documents of each class and, but for one document, at most TRAIN_BYTES of
-their texts, those with the smallest hashes of doc_id; documents of any length are learned from. Calibration: all labelled documents that may be
+together, so few labels move it little. Training: at most TRAIN_DOCS labelled documents of each class and at most TRAIN_WORDS of their
+words, those with the smallest hashes of doc_id. A document of more than DOC_WORDS words is learned from by so many of them, in evenly spaced windows; it shuts
+no other out. Calibration: all labelled documents that may be
 learned from, each by a network that hasn't learned from it, so the classes count as often as they occur. The networks are trained by one task each.
 
 Defined results: null counts as empty; an empty text has the score of no response; repeated rows score alike; texts are read whole, in pieces of
@@ -28,7 +29,9 @@ from pyspark.sql import functions as F
 from mnemosieve.llm.common import WordHasher, arrow_map, carried, read_table, restored, worker_state, written
 from mnemosieve.llm.folds import fold, labelled, sample_ids, texts_of
 
-TRAIN_DOCS, TRAIN_BYTES, TRUST = 2500, 32 << 20, 10.0
+TRAIN_DOCS, TRAIN_WORDS, DOC_WORDS, TRUST = 2500, 5_000_000, 50_000, 10.0
+#: Windows of a document with more than DOC_WORDS words.
+WINDOWS = 50
 FOLDS, HELD_OUT, THRESHOLD = 4, 2, 0.3
 WORDS, STEMS, STEM_BYTES, DIMENSION = 1 << 15, 1 << 13, 4, 12
 WIDTHS, FILTERS = (1, 2, 3), 8
@@ -87,6 +90,15 @@ class Reader:
         return (word % np.uint64(WORDS)).astype(np.int32), (stem % np.uint64(STEMS)).astype(np.int32), first, language
 
 
+def learned(words: int, most: int = DOC_WORDS, windows: int = WINDOWS) -> np.ndarray | slice:
+    """Places of the words that a document of so many is learned from."""
+    if words <= most:
+        return slice(None)
+    size = most // windows
+    start = np.linspace(0, words - size, windows).astype(np.int64)
+    return (start[:, None] + np.arange(size)).ravel()
+
+
 class Network:
     """Embeddings, filters and the logistic layer."""
 
@@ -243,19 +255,19 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
 
     def read(batch: pa.RecordBatch) -> pa.RecordBatch:
         words, stems, first, language = worker_state("toxicity_reader", Reader).read(batch.column(2))
-        cut = lambda x: pa.array([x[a:b].astype("<u2").tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())
+        cut = lambda x: pa.array([x[a:b][learned(b - a)].astype("<u2").tobytes() for a, b in zip(first[:-1], first[1:], strict=True)], pa.binary())
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), cut(words), cut(stems), pa.array(language, pa.int32())], ["doc_id", "label", "words", "stems", "language"])
 
     chosen = written(chosen, "toxicity-sample")
-    sizes = sorted((r["label"], r["h"], r["n"], r["doc_id"]) for r in texts_of(docs, chosen).select("doc_id", "label", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"), F.xxhash64("doc_id").alias("h")).collect())
+    found = written(arrow_map(texts_of(docs, chosen), read, "doc_id long, label int, words binary, stems binary, language int"), "toxicity-words")
+    sizes = found.groupBy("doc_id", "label").agg(F.sum(F.octet_length("words") / 2).cast("long").alias("n"), F.xxhash64("doc_id").alias("h")).collect()
     kept, spent = set(), Counter()
-    for y, _, n, doc in sizes:  # 2 * train_docs rows, but for repeated ids
-        if not spent[y] or spent[y] + n <= TRAIN_BYTES:
+    for y, _, n, doc in sorted((r["label"], r["h"], r["n"], r["doc_id"]) for r in sizes):  # 2 * train_docs rows at most
+        if spent[y] + n <= TRAIN_WORDS:
             kept.add(doc)
-        spent[y] += n
-    chosen = chosen.where(F.col("doc_id").isin(*kept)) if len(kept) < len({x[-1] for x in sizes}) else chosen
-    found = arrow_map(texts_of(docs, chosen), read, "doc_id long, label int, words binary, stems binary, language int")
-    table = sorted(found.collect(), key=lambda x: (x["doc_id"], x["words"]))
+            spent[y] += n
+    found = found.where(F.col("doc_id").isin(*kept)) if len(kept) < len(sizes) else found
+    table = sorted(found.collect(), key=lambda x: (x["doc_id"], x["words"]))  # TRAIN_WORDS of each class at most
     y = np.array([x["label"] for x in table], np.float64)
     if not len(y) or y.min() == y.max():
         return None
@@ -279,7 +291,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = F
 
 def _trained(spark: SparkSession, ids: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, part: np.ndarray) -> tuple[dict, np.ndarray]:
     """The tables of the network trained on all, and each document's logit by a network that hasn't learned from its part."""
-    sent = spark.sparkContext.broadcast((ids, y, part))  # bounded by TRAIN_DOCS and TRAIN_BYTES
+    sent = spark.sparkContext.broadcast((ids, y, part))  # bounded by TRAIN_WORDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, y, part = sent.value

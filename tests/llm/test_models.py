@@ -322,9 +322,27 @@ def test_training_texts_are_bounded(spark, monkeypatch):
     docs, labels, _ = corpus(spark, 400)
     seen, trained = [], toxicity._trained
     monkeypatch.setattr(toxicity, "_trained", lambda s, ids, y, part: (seen.append((len(y), sum(len(w) for w, _ in ids))), trained(s, ids, y, part))[1])
-    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 3000)
+    monkeypatch.setattr(toxicity, "TRAIN_WORDS", 600)
     assert toxicity.fit(docs, labels) is not None
-    assert 2 <= seen[0][0] < 60 and seen[0][1] * 4 < 8000
+    assert 2 <= seen[0][0] < 60 and seen[0][1] <= 2 * 600
+
+
+def test_a_long_document_shuts_no_other_out(spark, monkeypatch):
+    docs, labels, _ = corpus(spark, 200)
+    ids = toxicity.labelled(labels, "toxic", toxicity.FOLDS, toxicity.HELD_OUT).where("label = 1").select("doc_id")
+    first = ids.orderBy(F.xxhash64("doc_id")).first()[0]
+    docs = docs.withColumn("text", F.when(F.col("doc_id") == first, F.repeat(F.concat("text", F.lit(" ")), 400)).otherwise(F.col("text")))
+    seen, trained = [], toxicity._trained
+    monkeypatch.setattr(toxicity, "_trained", lambda s, ids, y, part: (seen.append((int(y.sum()), max(len(w) for w, _ in ids))), trained(s, ids, y, part))[1])
+    monkeypatch.setattr(toxicity, "TRAIN_WORDS", 20_000)
+    monkeypatch.setattr(toxicity.learned, "__defaults__", (1000, 50))
+    assert toxicity.fit(docs, labels) is not None
+    assert seen[0] == (ids.count(), 1000)
+
+
+def test_places_of_a_long_document():
+    assert toxicity.learned(5, 5, 2) == slice(None)
+    assert toxicity.learned(11, 4, 2).tolist() == [0, 1, 9, 10]
 
 
 def test_gradient_of_the_network():
