@@ -822,7 +822,7 @@ def q03_engine_recall(spark, sf_dir):
     return _engine(c).recall(c.queries.select("query_id", "query"), rt.Request(project="src0"))["hits"].withColumn("score", F.round(F.col("score").cast("double"), 6))
 
 
-@query(f"{_ENGINE_HITS} SELECT query_id, string_agg('#' || doc_id || ' [' || type || '] ' || title || ' (' || printf('%.4f', boosted::DOUBLE) || ')' || chr(10) || '  ' || excerpt, chr(10) ORDER BY place) AS text FROM hit GROUP BY 1")
+@query(f"{_ENGINE_HITS} SELECT query_id, string_agg('#' || doc_id || ' [' || type || '] ' || title || ' (' || printf('%.4f', round(boosted::DOUBLE, 4)) || ')' || chr(10) || '  ' || excerpt, chr(10) ORDER BY place) AS text FROM hit GROUP BY 1")
 def x36_rendered_hits(spark, sf_dir):
     from mnemosieve.plans.saving import rendered_hits
 
@@ -871,3 +871,6 @@ def stream_index(spark, sf_dir):
     changes = spark.readStream.schema("id long").parquet(feed)
     streaming.keep_index(engine, changes, lambda: c.records, scratch_path(spark, "index-log")).awaitTermination()
     return engine.store.read("postings")
+
+
+from mnemosieve import catalog_updates  # noqa: E402,F401  registers its queries here

@@ -87,10 +87,16 @@ def capture_counts(result: Column) -> dict[str, Column]:
 
 
 def truncate_to_budget(text: Column, budget: Column | int) -> Column:
-    """Four characters a token, with a note where something was cut."""
+    """Four UTF-16 units a token, with a note where something was cut. A character of two units isn't cut in half: it goes."""
     budget = budget if isinstance(budget, Column) else F.lit(budget)
     most = F.greatest(F.lit(0), F.floor(budget * 4)).cast("int")
-    return F.when(F.length(text) <= most, text).otherwise(F.concat(F.left(text, most), F.lit("\n…(truncated to "), budget.cast("string"), F.lit(" tokens)")))
+    units = F.encode(text, "UTF-16BE")
+    half = F.hex(F.substring(units, 2 * most - 1, F.lit(2))).between("D800", "DBFF") & (most > 0)
+    first = F.decode(F.substring(units, F.lit(1), 2 * most - F.when(half, 2).otherwise(0)), "UTF-16BE")
+    wide = text.rlike("[\\x{10000}-\\x{10FFFF}]")
+    fits = F.when(wide, F.octet_length(units) <= 2 * most).otherwise(F.length(text) <= most)
+    cut = F.when(wide, first).otherwise(F.left(text, most))
+    return F.when(fits, text).otherwise(F.concat(cut, F.lit("\n…(truncated to "), budget.cast("string"), F.lit(" tokens)")))
 
 
 def recall_budget(budget: Column | int, frame: str) -> Column:

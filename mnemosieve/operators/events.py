@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from mnemosieve.functions.text import blank, blocks_to_text, framed_recall, has_learnings_section
 from mnemosieve.functions.requests import is_subagent
+from mnemosieve.operators.ordering import islands
 
-#: Payload fields by event type, and the JSON kind each must have.
+# Payload fields by event type, and the JSON kind each must have.
 CONTRACT = {
     "assistant/message": (("turn", "number"), ("step", "number"), ("message.content", "array")),
     "compaction/summary": (("compactionId", "string"), ("summary", "array")),
@@ -46,7 +47,7 @@ def violations(events: DataFrame) -> DataFrame:
     """The first broken payload of each session and type: one warning each."""
     bad = checked(events).where(F.size("missing_fields") > 0)
     first = bad.groupBy("session_id", "type").agg(F.min_by("missing_fields", "seq").alias("missing_fields"), F.min("seq").alias("seq"))
-    return first.withColumn("warning", F.concat(F.lit('session event shape mismatch for "'), "type", F.lit('" in session '), "session_id", F.lit(": "), F.array_join("missing_fields", ", ")))
+    return first.withColumn("warning", F.concat(F.lit("events of type "), "type", F.lit(" no longer carry "), F.array_join("missing_fields", ", "), F.lit("; first seen in session "), "session_id"))
 
 
 def without_subagents(events: DataFrame) -> DataFrame:
@@ -98,3 +99,19 @@ def idle(connections: DataFrame, now_ms: int, most_ms: int) -> DataFrame:
     """Connections with nothing in flight that are idle for long enough; 0 turns this off."""
     return connections.where((F.lit(most_ms) > 0) & (F.col("in_flight") == 0) & (F.lit(now_ms) - F.col("last_used") >= most_ms))
 
+
+def idle_reclaims(calls: DataFrame, now_ms: int, most_ms: int) -> DataFrame:
+    """workspace, opened_at, last_used, calls, reclaimed_at: the lives of each workspace's connection. It is given up when nothing has been in flight for
+    most_ms; a call at that very moment opens a new one. reclaimed_at is null for one still open at now_ms, and always for most_ms = 0, which turns this off.
+    calls: workspace, call_id, started_at, finished_at (milliseconds; null while in flight, which keeps the connection open)."""
+    never = F.lit((1 << 62) - 1).cast("long")
+    end = F.coalesce(F.col("finished_at"), never)
+    rows = calls.select("workspace", "call_id", "started_at", F.greatest(end, F.col("started_at")).alias("finished_at"))
+    if most_ms > 0:
+        lives = islands(rows, ["workspace"], ["started_at", "call_id"], F.col("finished_at") + F.when(F.col("finished_at") == never, 0).otherwise(most_ms), F.col("started_at"))
+    else:
+        lives = rows.withColumn("island", F.lit(1))
+    found = lives.groupBy("workspace", "island").agg(F.min("started_at").alias("opened_at"), F.max("finished_at").alias("last_used"), F.count(F.lit(1)).alias("calls"))
+    due = F.col("last_used") + most_ms
+    reclaimed = F.when((F.col("last_used") < never) & F.lit(most_ms > 0) & (due <= now_ms), due)
+    return found.select("workspace", "opened_at", F.when(F.col("last_used") < never, F.col("last_used")).alias("last_used"), "calls", reclaimed.alias("reclaimed_at"))

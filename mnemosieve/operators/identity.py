@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mnemosieve.sources.observations import tree_digest
+
 
 def dir_fingerprint(files: DataFrame) -> DataFrame:
     """group, fingerprint: SHA-256 of 'path newline sha newline' over a group's files, in order of UTF-16 units of the path. A manifest is a small table."""
@@ -25,3 +27,8 @@ def compared(declared: DataFrame, installed: DataFrame) -> DataFrame:
     both = declared.withColumn("wanted", F.lit(True)).join(have, "rel_path", "full")
     state = F.when(F.col("there").isNull(), "missing").when(F.col("wanted").isNull(), "extra").when((F.col("bytes") == F.col("b")) & (F.col("sha256") == F.col("s")), "ok").otherwise("mismatch")
     return both.select("rel_path", state.alias("state"))
+
+
+def identity_tree(declaration: DataFrame) -> str:
+    """The digest of a declaration of any length, as a tree over its files in order of path (rel_path, unique; bytes, sha256)."""
+    return tree_digest(declaration, ["rel_path"], F.concat_ws(" ", "rel_path", F.col("bytes").cast("string"), "sha256"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mnemosieve.operators.ordering import placed
+
 FLUSH_CALLS, FLUSH_MS = 20, 60_000
 
 
@@ -40,6 +42,28 @@ def call_means(calls: DataFrame, keys: list[str]) -> DataFrame:
     return calls.withColumn("run", F.floor((place - 1) / FLUSH_CALLS).cast("long")).groupBy(*keys, "run").agg(F.count(F.lit(1)).alias("calls"), F.avg("value").alias("mean_value"))
 
 
+def flushes(calls: DataFrame, keys: list[str], every: int = FLUSH_CALLS, most_ms: float = FLUSH_MS) -> DataFrame:
+    """keys, calls, mean_ms, since_ms, at: the reports of a key's metering. One is due after each `every` calls, and as soon as the calls since the last
+    report took most_ms; it tells the mean of all calls so far. calls: keys, call_id, at, ms.
+
+    Since every `every`-th call reports, each run of so many calls begins with nothing on its account: runs are folded apart from each other, each in one row,
+    and a key's calls are numbered and summed by ranges, whatever their number."""
+    rows = placed(calls.select(*keys, "call_id", "at", F.coalesce(F.col("ms").cast("double"), F.lit(0.0)).alias("ms")), keys, ["at", "call_id"], ("ms",))
+    each = F.array_sort(F.collect_list(F.struct("place", "ms", "running_ms", "at")))
+    kind = rows.schema["at"].dataType.simpleString()
+    none = F.array().cast(f"array<struct<calls: bigint, mean_ms: double, since_ms: double, at: {kind}>>")
+
+    def step(state, x):
+        since = state["since"] + x["ms"]
+        due = (x["place"] % every == 0) | (since >= most_ms)
+        told = F.struct(x["place"].alias("calls"), (x["running_ms"] / x["place"]).alias("mean_ms"), since.alias("since_ms"), x["at"].alias("at"))
+        return F.struct(F.when(due, 0.0).otherwise(since).alias("since"), F.when(due, F.concat(state["out"], F.array(told))).otherwise(state["out"]).alias("out"))
+
+    folded = F.aggregate("each", F.struct(F.lit(0.0).alias("since"), none.alias("out")), step, lambda s: s["out"])
+    runs = rows.groupBy(*keys, F.floor((F.col("place") - 1) / every).alias("_run")).agg(each.alias("each"))
+    return runs.select(*keys, F.inline(folded))
+
+
 def totals(calls: DataFrame) -> DataFrame:
     """Cumulative totals by kind of call."""
     return calls.groupBy("kind").agg(F.count(F.lit(1)).alias("calls"), F.sum("value").alias("total_value"), F.max("at").alias("last_at"))

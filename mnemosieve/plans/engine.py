@@ -59,9 +59,14 @@ class SyncNeeded(RuntimeError):
         self.mode, self.pending = mode, pending
 
 
+class Disabled(RuntimeError):
+    """Retrieval is switched off; nothing was retrieved, and nothing else takes its place."""
+
+
 @dataclass
 class Engine:
-    """One index over one source of records."""
+    """One index over one source of records. enabled: whether callers may retrieve and catch up; sync and rebuild, by which an operator repairs an index,
+    don't ask."""
 
     spark: SparkSession
     path: str
@@ -69,6 +74,7 @@ class Engine:
     ranking: sc.Ranking = field(default_factory=sc.Ranking)
     max_docs: int | None = None
     shown: int = 5
+    enabled: bool = True
 
     def __post_init__(self) -> None:
         if 0 < self.ranking.top_k < self.shown:
@@ -168,6 +174,15 @@ class Engine:
         text = document_text(F.col("title"), F.col("content"))
         return docs.select("doc_id", F.lit(self.embedder.identity).alias("model"), F.lit(self.embedder.dimension).alias("dim"), self.embedder.embed(text).alias("vec"))
 
+    def catch_up(self, records: DataFrame, unlimited: bool = False, on_progress: Callable[[int, int], None] | None = None) -> dict:
+        """A caller's sync."""
+        self._ask()
+        return self.sync(records, unlimited=unlimited, on_progress=on_progress)
+
+    def _ask(self) -> None:
+        if not self.enabled:
+            raise Disabled("retrieval is switched off")
+
     def rebuild(self, records: DataFrame) -> dict:
         return self.sync(records, full=True, unlimited=True)
 
@@ -190,6 +205,7 @@ class Engine:
 
     def recall(self, queries: DataFrame, request: rt.Request, records: DataFrame | None = None) -> dict[str, DataFrame]:
         """hits, summary and, where a type filter matched nothing, available_types. With records the index is caught up first; failures are raised."""
+        self._ask()
         if records is not None:
             self.sync(records)
         docs = self.store.read("docs")

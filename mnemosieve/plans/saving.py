@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mnemosieve.functions.requests import normalized_save
-from mnemosieve.functions.text import score_text
+from mnemosieve.functions.text import score_text, text_of
 from mnemosieve.operators.retrieval import will_update
 from mnemosieve.plans.engine import Engine
 from mnemosieve.sources.observations import fallback_envelope, write_outcome
@@ -59,6 +59,19 @@ def rendered_hits(hits: DataFrame) -> DataFrame:
     return hits.groupBy("query_id").agg(F.array_join(F.transform(rows, lambda x: x["s"]), "\n").alias("text"))
 
 
+def rendered_recall(hits: DataFrame, summary: DataFrame, types: list[str] | None = None) -> DataFrame:
+    """query_id, text: a whole answer for each query of summary: its hits (each with filled marks for what is empty), a note iff more match than are shown, or,
+    without a hit, that there is none and which types exist. hits, summary: of a retrieval; types: of available_types()."""
+    filled = lambda c: F.when(text_of(F.col(c)) == "", "(none)").otherwise(F.col(c))
+    head = F.concat(F.lit("["), F.col("place").cast("string"), F.lit("] #"), F.col("doc_id").cast("string"), F.lit(" score "), score_text(F.col("score")), F.lit(" type "), filled("type"), F.lit(" project "), filled("project"), F.lit(" scope "), filled("scope"))
+    line = F.concat(head, F.when(text_of(F.col("title")) == "", "").otherwise(F.concat(F.lit("\n"), "title")), F.lit("\n"), filled("excerpt"))
+    rows = F.array_sort(F.collect_list(F.struct("place", line.alias("s"))))
+    shown = hits.groupBy("query_id").agg(F.array_join(F.transform(rows, lambda x: x["s"]), "\n").alias("s"), F.count(F.lit(1)).alias("n"))
+    more = F.when(F.col("truncated"), F.concat(F.lit("\nMore records match than the "), F.col("n").cast("string"), F.lit(" shown; a higher limit shows more."))).otherwise("")
+    none = "No record matches." + (f"\nTypes that exist: {' / '.join(types)}" if types else "")
+    return summary.join(shown, "query_id", "left").select("query_id", F.when(F.col("n").isNull(), none).otherwise(F.concat("s", more)).alias("text"))
+
+
 def rendered_candidates(candidates: DataFrame) -> DataFrame:
     """query_id, text: evidence without raw scores, and a reminder iff there is a candidate."""
     mark = lambda c, name: F.when(F.col(c), F.lit(f" {name}")).otherwise("")

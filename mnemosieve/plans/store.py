@@ -7,7 +7,6 @@ lookup of some tokens opens only their buckets, and no task holds a word's whole
 from __future__ import annotations
 
 import json
-import os
 import uuid
 from dataclasses import dataclass, field
 from functools import reduce
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 
 from mnemosieve.operators import index as ix
 from mnemosieve.operators.scoring import fits
-from mnemosieve.sources.tables import written
+from mnemosieve.sources.tables import create_once, file_system, written
 
 #: Tables that an update only adds to, and those that are written whole. Rows of documents that a later segment has touched count no more; of a term, the
 #: latest segment's row counts, and one without documents (df 0) is none.
@@ -52,9 +51,7 @@ class IndexStore:
     _manifests: dict = field(default_factory=dict, repr=False)
 
     def _fs(self, path: str):
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs
-        p = hadoop.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+        return file_system(self.spark, path)
 
     def _names(self, path: str) -> list[str]:
         fs, p = self._fs(path)
@@ -138,23 +135,11 @@ class IndexStore:
     def publish(self, segments: list[str], whole: str, expected: int | None) -> int:
         """Creates the commit after `expected`; if there is one already, another writer was faster."""
         version = (expected or 0) + 1
-        fs, p = self._fs(f"{self.path}/commits/{version:012d}")
-        data = json.dumps({"segments": segments, "whole": whole}).encode()
         if self.current() != expected:
             raise Busy(f"the index moved from version {expected} to {self.current()}")
-        try:
-            fs.mkdirs(p.getParent())
-            if fs.getUri().getScheme() == "file":  # Hadoop's local file system looks first and creates then
-                with os.fdopen(os.open(p.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY, 0o644), "wb") as f:
-                    f.write(data)
-            else:
-                out = fs.create(p, False)
-                out.write(bytearray(data))
-                out.close()
-        except Exception as e:
-            if isinstance(e, FileExistsError) or fs.exists(p):
-                raise Busy(f"another writer published version {version}") from None
-            raise
+        data = json.dumps({"segments": segments, "whole": whole}).encode()
+        if not create_once(self.spark, f"{self.path}/commits/{version:012d}", data):
+            raise Busy(f"another writer published version {version}")
         return version
 
     def discard(self) -> None:

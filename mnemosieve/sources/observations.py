@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mnemosieve.functions.text import parse_envelope, text_of
+from mnemosieve.operators.ordering import placed
 from mnemosieve.sources.tables import read_table, written
 
 FIELDS = ["id", "updated_at", "title", "content", "type", "project", "scope"]
@@ -35,8 +38,6 @@ def serialized(id_: Column, updated_at: Column, content: Column) -> Column:
 
 def source_hash(snapshot: DataFrame) -> str:
     """SHA-256 of all records in order of id. A digest of one byte stream is sequential; rows pass the driver a block at a time and none is kept."""
-    import hashlib
-
     digest = hashlib.sha256()
     rows = snapshot.select("id", serialized(F.col("id"), F.col("updated_at"), F.col("content")).alias("s")).orderBy("id")
     for row in rows.toLocalIterator():
@@ -53,6 +54,23 @@ def snapshot_digest(snapshot: DataFrame) -> str:
     return "-".join(str(int(x or 0)) for x in told)
 
 
+#: Children of a node of a digest tree, and its levels above the leaves: 10**12 leaves.
+FAN_OUT, LEVELS = 1024, 4
+
+
+def tree_digest(rows: DataFrame, order: list[str], leaf: Column, fan_out: int = FAN_OUT, levels: int = LEVELS) -> str:
+    """A digest of rows in order that tasks compute together: a leaf's SHA-256; above, that of the digests of fan_out neighbours, level by level. order tells rows
+    apart. Rows are numbered by ranges, and a node has a bounded number of children, so nothing grows with the table but the number of nodes."""
+    if fan_out**levels < (n := rows.count()):
+        raise ValueError(f"a tree of {levels} levels holds no {n} rows")
+    nodes = placed(rows.select(*order, F.sha2(leaf, 256).alias("digest")), [], order).select((F.col("place") - 1).alias("n"), "digest")
+    for _ in range(levels):
+        children = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "digest"))), lambda x: x["digest"]), "")
+        nodes = nodes.groupBy(F.floor(F.col("n") / fan_out).alias("n")).agg(F.sha2(children, 256).alias("digest"))
+    top = nodes.first()
+    return top["digest"] if top else hashlib.sha256(b"").hexdigest()
+
+
 def source_state(snapshot: DataFrame) -> DataFrame:
     """One row: hash, total_content_chars, doc_count, all from one set of rows, which is written first."""
     snapshot = written(snapshot, "snapshot")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -37,3 +38,29 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    p = hadoop.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def create_once(spark: SparkSession, path: str, data: bytes) -> bool:
+    """Creates a small file; False if there is one already. Of several writers one gets True."""
+    fs, p = file_system(spark, path)
+    try:
+        fs.mkdirs(p.getParent())
+        if fs.getUri().getScheme() == "file":  # Hadoop's local file system looks first and creates then
+            with os.fdopen(os.open(p.toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY, 0o644), "wb") as f:
+                f.write(data)
+        else:
+            out = fs.create(p, False)
+            out.write(bytearray(data))
+            out.close()
+    except Exception as e:
+        if isinstance(e, FileExistsError) or fs.exists(p):
+            return False
+        raise
+    return True
