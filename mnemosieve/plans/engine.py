@@ -166,6 +166,7 @@ class Engine:
 
     def _commit(self, segments: list[str], begun: int | None, meta: DataFrame, mode: str, touched: int, changed: bool) -> dict:
         version = self.store.publish(segments, self.store.stage({"meta": meta}), begun)
+        self.store.trust(version, self.embedder.identity)
         self.totals["syncs"] += 1
         self.totals["docs_touched"] += touched
         return {"mode": mode, "docs_touched": touched, "source_changed": changed, "version": version}
