@@ -548,7 +548,7 @@ def _recall_sql(where: str) -> str:
 def _recall(name: str, request: rt.Request, where: str) -> None:
     def run(spark, sf_dir):
         c = Corpus(spark, sf_dir)
-        return rt.hits(c.scores, c.docs, request)
+        return rt.recalled(c.docs, c.vectors, c.queries, c.pool, request, sc.Ranking().weight, 6)
 
     run.__name__ = name
     query(_recall_sql(where))(run)
@@ -563,7 +563,7 @@ _recall("q03_recall_scope", rt.Request(all_projects=True, scope="personal"), "sc
 @query(f"WITH {_SCORES}, n AS (SELECT query_id, count(*) AS candidates FROM lex GROUP BY 1) SELECT query_id, 10 AS \"limit\", count(*) FILTER (project = 'src0') > 10 AS truncated, count(*) FILTER (project <> 'src0') AS filtered_out, least(coalesce(any_value(candidates), 0), 50)::BIGINT AS pool_size, coalesce(any_value(candidates), 0)::BIGINT AS candidates FROM sco JOIN docs USING (doc_id) LEFT JOIN n USING (query_id) GROUP BY 1")
 def q03_recall_summary(spark, sf_dir):
     c = Corpus(spark, sf_dir)
-    return rt.summary(c.scores, c.docs, rt.Request(project="src0"), c.lexical, sc.Ranking().top_k)
+    return rt.recall_summary(c.docs, c.queries, rt.Request(project="src0"), c.lexical, sc.Ranking().top_k)
 
 
 # Candidates.

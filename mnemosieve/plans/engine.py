@@ -187,8 +187,8 @@ class Engine:
     def rebuild(self, records: DataFrame) -> dict:
         return self.sync(records, full=True, unlimited=True)
 
-    def ranked(self, queries: DataFrame, version: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
-        """Scores of every document for each query, the candidates in lexical order, and the matches, each as a table, since they are read several times.
+    def asked(self, queries: DataFrame, version: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """queries with their vectors, the candidates in lexical order, and the matches, each as a table, since they are read several times.
         queries: query_id, query and, optionally, vec."""
         docs = self.store.read("docs", version)
         params = ix.scoring_params(self.store.read("meta", version))
@@ -196,12 +196,16 @@ class Engine:
         if "vec" not in queries.columns:
             queries = queries.withColumn("vec", self.embedder.embed(F.col("query")))
         queries = written(queries.select("query_id", "query", "vec"), "queries")
-        asked = written(sc.query_tokens(queries), "asked")
-        wanted = written(sc.with_idf(asked, self.store.lookup("terms", asked, version), told["n_docs"]), "wanted")
-        found = sc.matches(docs, self.store.lookup("postings", wanted, version), wanted, told["avgdl"], params)
-        found = written(found, "matches")
-        lexical = written(sc.lexical_scores(found, wanted, self.ranking.coverage, params), "lexical")
-        scores = sc.boosted(sc.cosines(docs, self.store.read("vectors", version), queries), sc.pool(lexical, self.ranking.top_k), self.ranking.weight)
+        tokens = written(sc.query_tokens(queries), "asked")
+        wanted = written(sc.with_idf(tokens, self.store.lookup("terms", tokens, version), told["n_docs"]), "wanted")
+        found = written(sc.matches(docs, self.store.lookup("postings", wanted, version), wanted, told["avgdl"], params), "matches")
+        return queries, written(sc.lexical_scores(found, wanted, self.ranking.coverage, params), "lexical"), found
+
+    def ranked(self, queries: DataFrame, version: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Scores of every document for each query, the candidates in lexical order, and the matches."""
+        queries, lexical, found = self.asked(queries, version)
+        docs, vectors = self.store.read("docs", version), self.store.read("vectors", version)
+        scores = sc.boosted(sc.cosines(docs, vectors, queries), sc.pool(lexical, self.ranking.top_k), self.ranking.weight)
         return written(scores, "scores"), lexical, found
 
     def recall(self, queries: DataFrame, request: rt.Request, records: DataFrame | None = None) -> dict[str, DataFrame]:
@@ -209,12 +213,12 @@ class Engine:
         self._ask()
         if records is not None:
             self.sync(records)
-        docs = self.store.read("docs")
-        scores, lexical, _ = self.ranked(queries)
+        docs, vectors = self.store.read("docs"), self.store.read("vectors")
+        queries, lexical, _ = self.asked(queries)
         self.totals["queries"] += 1
-        hits = rt.hits(scores, docs, request)
+        hits = written(rt.recalled(docs, vectors, queries, sc.pool(lexical, self.ranking.top_k), request, self.ranking.weight), "hits")
         types = rt.available_types(docs) if request.type and hits.isEmpty() else rt.available_types(docs.limit(0))
-        return {"hits": hits, "summary": rt.summary(scores, docs, request, lexical, self.ranking.top_k), "available_types": types}
+        return {"hits": hits, "summary": rt.recall_summary(docs, queries, request, lexical, self.ranking.top_k), "available_types": types}
 
     def candidates(self, requests: DataFrame, records: DataFrame) -> dict[str, DataFrame] | None:
         """Candidates with evidence from the index as it stands; None if that can't be had. requests: query_id, title, content, type, topic_key, session_id, project."""

@@ -162,6 +162,27 @@ def test_result_texts(spark):
     assert rendered_recall(hits, summary.where("query_id = 2")).first()["text"] == "No record matches."
 
 
+@pytest.mark.parametrize("block", [4096, 3])
+def test_recall_in_tasks_is_the_whole_ranking_cut(spark, monkeypatch, block):
+    from mnemosieve.operators import scoring as sc
+
+    monkeypatch.setattr(rt, "QUERY_BLOCK", block)
+    r = np.random.default_rng(3)
+    rows = [(i, f"t{i}", f"c{i}", "k", f"p{i % 3}", "s") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, title string, content string, type string, project string, scope string")
+    some = [r.normal(size=8).astype("f4").tolist() for _ in range(20)]
+    vectors = spark.createDataFrame([(i, None if i % 17 == 0 else some[i % 20]) for i in range(290)], "doc_id long, vec array<float>").repartition(5)  # many ties
+    queries = spark.createDataFrame([(q, None if q == 4 else r.normal(size=8).astype("f4").tolist()) for q in range(7)], "query_id long, vec array<float>")
+    members = spark.createDataFrame([(q, int(i), float(r.random())) for q in range(7) for i in r.choice(300, 40, replace=False)], "query_id long, doc_id long, coverage double")
+    scores = sc.boosted(sc.cosines(docs, vectors, queries), members, 0.2)
+    for request in (rt.Request(project="p1", limit=10), rt.Request(all_projects=True, limit=3), rt.Request(project="none")):
+        want = sorted(map(tuple, rt.hits(scores, docs, request).collect()))
+        assert sorted(map(tuple, rt.recalled(docs, vectors, queries, members, request, 0.2).collect())) == want
+        lexical = members.select("query_id", "doc_id")
+        assert sorted(map(tuple, rt.recall_summary(docs, queries, request, lexical, 50).collect())) == sorted(map(tuple, rt.summary(scores, docs, request, lexical, 50).collect()))
+    assert rt.recalled(docs, vectors, queries.limit(0), members, rt.Request(all_projects=True), 0.2).count() == 0
+
+
 # The sink.
 REQUESTS = "request_id string, seq long, title string"
 
