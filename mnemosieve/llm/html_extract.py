@@ -10,7 +10,7 @@ Menus show by windows full of links: runs of at least LINKS lines that are links
 
 What HTML itself sets apart is never main text: scripts, styles, forms, nav, aside, footer, dialog, a header outside of article and main, hidden elements.
 Class, id and role are a second hint for boxes (div, section, lists, tables) inside the container, such as an advert in an article: a box so marked goes,
-unless it holds most of the page's text or the article itself. Paragraphs and headings are never judged by their class.
+unless it holds most of the page's text or the article itself. Paragraphs and headings are never judged by their class, ids that are phrases not at all.
 
 Defined results: null or empty html, and html without text, give an empty text; broken and unclosed markup is read as far as it goes, in linear time; a
 page whose only text HTML sets apart gives an empty text; repeated rows give repeated results; further columns are ignored.
@@ -51,7 +51,7 @@ MARKS = re.compile(
     r"(?:^|\s)(ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|newsletter|subscribe|popup|modal|sidebar|widget|related|recommend\w*|share|social|"
     r"breadcrumbs?|menu|nav|navbar|navigation|footer|masthead|topbar|header|comments?|replies|respond|disqus|pagination|pager|toc|search|login|complementary|contentinfo|alert|dialog)(?=$|[\s_-])", re.I,
 )
-ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 COMMENTS = re.compile(r"comment|replies|respond|disqus", re.I)
 QUOTED = re.compile(r"""(?<==)\s*(?:"[^"]*"|'[^']*')""")
 HIDDEN = re.compile(r"""\shidden(?:[\s=/>]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
@@ -60,9 +60,18 @@ STOP = re.compile(r"""=\s*["']|>""")
 RAW_END = {x: re.compile(rf"</{x}\s*>", re.I) for x in ("script", "style", "textarea", "title", "noscript", "template", "svg", "iframe")}
 
 
-def marked(attributes: str) -> int:
-    """2 if class, id or role mark the element, 4 if they mark it as comments, else 0."""
-    found = [x[1] for a, b, c in ATTRIBUTE.findall(attributes) for x in MARKS.finditer(a or b or c)]
+#: An id made of a phrase, as headings get it for links to them, and marks that count on a figure.
+PHRASE = re.compile(r"^\w+(?:-\w+)*-(?:%s)-\w" % "|".join("a an and as at by for from in is of on or our that the to with".split()), re.I)
+ADVERTS = re.compile(r"ads?$|advert|sponsor|promo|banner", re.I)
+
+
+def marked(attributes: str, name: str = "div") -> int:
+    """2 if class, id or role mark the element, 4 if they mark it as comments, else 0. An id that is a phrase marks nothing, and a figure is marked as an
+    advert or not at all: what it shows may well be to share."""
+    values = [(kind.lower(), a or b or c) for kind, a, b, c in ATTRIBUTE.findall(attributes)]
+    found = [x[1] for kind, value in values if not (kind == "id" and PHRASE.match(value)) for x in MARKS.finditer(value)]
+    if name == "figure":
+        found = [x for x in found if ADVERTS.match(x)]
     return 0 if not found else 4 if any(COMMENTS.match(x) for x in found) else 2
 
 
@@ -235,7 +244,7 @@ def lines(page: str, marks: bool = True) -> tuple[list[Line], Elements]:
         own = 8 if name in ("article", "main") else 0
         elements.parent.append(around())
         elements.name.append(name)
-        elements.role.append((1 if name in INLINE else 0) | own | (marked(attributes) if marks and attributes and (name in BOXES or own) else 0))
+        elements.role.append((1 if name in INLINE else 0) | own | (marked(attributes, name) if marks and attributes and (name in BOXES or own) else 0))
         open_tags.append((name, len(elements.parent) - 1, now | own))
         count[name] = count.get(name, 0) + 1
     put(page[at:])

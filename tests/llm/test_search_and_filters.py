@@ -287,3 +287,13 @@ def test_thresholds_save_work():
     for q in range(100):
         want = np.lexsort((np.arange(len(rows)), -total[q]))[:5]
         assert lists.vec[lists.query == q].tolist() == want.tolist() and lists.score[lists.query == q].tolist() == total[q][want].tolist()
+
+
+@pytest.mark.parametrize(("box", "kept"), [
+    ("<section id='notice-of-works'><p>{}</p></section>", True), ("<div id='how-to-share-the-load'><p>{}</p></div>", True), ("<figure class='share-image'><figcaption>{}</figcaption></figure>", True),
+    ("<section id='notice'><p>{}</p></section>", False), ("<div id='cookie-notice'><p>{}</p></div>", False), ("<figure class='ad'><figcaption>{}</figcaption></figure>", False), ("<div class='share-image'><p>{}</p></div>", False), ("<div id='sidebar-for-readers' class='sidebar'><p>{}</p></div>", False),
+])
+def test_marks_are_not_read_into_phrases(box, kept):
+    text = "The council will mend the bridge over the river from Monday on, and the road is closed for a week."
+    page = f"<html><body><article><p>{'A first paragraph of the article that is long enough to count. ' * 3}</p>{box.format(text)}<p>{'The last paragraph, which is of some length as well. ' * 3}</p></article></body></html>"
+    assert (text in hx.main_text(page)) == kept
