@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from mnemosieve.sources.tables import read_table, scratch_path, written
 
-__all__ = ["arrow_map", "attach_groups", "carried", "lower_ascii", "read_table", "restored", "scale_floored", "scratch_path", "slices", "tree_sum", "valid_vector", "vector_rows", "worker_state", "written", "WordHasher"]
+__all__ = ["arrow_map", "attach_groups", "carried", "lower_ascii", "read_table", "released", "restored", "scale_floored", "scratch_path", "slices", "tree_sum", "valid_vector", "vector_rows", "worker_state", "written", "WordHasher"]
 
 #: Rows of a batch that goes to Python, and bytes of text that a function sees at once.
 BATCH_ROWS, SLICE_BYTES = 1000, 1 << 20
@@ -28,6 +29,24 @@ def worker_state(name: str, make: Callable[[], object]) -> object:
     return getattr(kept, name)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system. A worker outlives its tasks, and several wait beside the JVM for their next one: what they hold then is nobody's use."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, and at its end give_back()."""
+    def both(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return both
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts have about `most` bytes together; a longer text comes alone."""
     sizes = np.diff(offsets_of(batch.column(column)))
@@ -65,7 +84,7 @@ def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch
                 if (out := function(part)) is not None:
                     yield out
 
-    return df.withColumn(column, F.coalesce(F.col(column).cast("string"), F.lit(""))).mapInArrow(run, schema)
+    return df.withColumn(column, F.coalesce(F.col(column).cast("string"), F.lit(""))).mapInArrow(released(run), schema)
 
 
 def carried(docs: DataFrame, *columns: Column) -> DataFrame:

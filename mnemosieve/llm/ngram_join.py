@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnemosieve.llm.common import BATCH_ROWS, WordHasher, arrow_map, attach_groups, carried, mix64, read_table, restored, slices, worker_state, written
+from mnemosieve.llm.common import arrow_map, attach_groups, BATCH_ROWS, carried, mix64, read_table, released, restored, slices, WordHasher, worker_state, written
 
 WORDS, PERCENT = 4, 85
 #: Shingles known to be frequent at most (they only order the others, whatever is left out); documents of a slice that make one a candidate.
@@ -311,7 +311,7 @@ def _measured(sets: DataFrame, percent: int, most: int, pivots: int = LARGE_PIVO
             yield _arrays(["region", "rep", "n", "d", "core"], out, [pa.string(), pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64())])
 
     dealt = rows.repartition("region", "piece").sortWithinPartitions("region", "piece", F.desc("center"), "rep")
-    return written(dealt.mapInArrow(measure, "region string, rep long, n long, d array<double>, core array<long>"), "measured")
+    return written(dealt.mapInArrow(released(measure), "region string, rep long, n long, d array<double>, core array<long>"), "measured")
 
 
 def _large_regions(sets: DataFrame, percent: int, most: int) -> DataFrame:
@@ -338,7 +338,7 @@ def _large_regions(sets: DataFrame, percent: int, most: int) -> DataFrame:
         placed = attach_groups(inside.drop("n"), cells, ["cell"], "rows").drop("rows")
         placed = written(sets.drop("total").join(placed, ["region", "rep"]).drop("region").withColumnRenamed("cell", "region"), "cell-sets")
         small = _by_key(placed.where(F.col("total") <= most).select("region", "rep", "together", "shingles"), ["region"])
-        links.append(small.mapInArrow(lambda it: _joined(percent, 1, it), "a long, b long"))
+        links.append(small.mapInArrow(released(lambda it: _joined(percent, 1, it)), "a long, b long"))
         sets = placed.where(F.col("total") > most).select("region", "total", "rep", "n", "shingles")
         if sets.isEmpty():
             break
@@ -353,7 +353,7 @@ def _blocks(sets: DataFrame, first: DataFrame, percent: int, most: int) -> DataF
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select("region", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "rep", "together", "shingles")
     keys = ["region", "i", "j"]
-    return _by_key(placed, keys).mapInArrow(lambda it: _joined(percent, 3, it), "a long, b long")
+    return _by_key(placed, keys).mapInArrow(released(lambda it: _joined(percent, 3, it)), "a long, b long")
 
 
 class KeyFilter:
@@ -374,7 +374,7 @@ class KeyFilter:
             yield _arrays(["part", "bits"], [(k, np.packbits(x).tobytes()) for k, x in kept.items()], [pa.int32(), pa.binary()])
 
         self.size, self.bits = size, np.zeros((FILTER_PARTS, size), np.uint8)
-        for row in parts.mapInArrow(mark, "part int, bits binary").collect():  # FILTER_PARTS rows of `size` bytes
+        for row in parts.mapInArrow(released(mark), "part int, bits binary").collect():  # FILTER_PARTS rows of `size` bytes
             self.bits[row["part"]] = np.frombuffer(row["bits"], np.uint8)
 
     @staticmethod
@@ -477,9 +477,9 @@ def unshared_shingles(docs: DataFrame, words: int, total: int) -> DataFrame:
                     count[: len(part)] += part
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(size), pa.array(count)], ["node", "n", "unshared"])
 
-    told = docs.select("text").mapInArrow(look_up, schema).withColumn("_to", F.when(F.col("range") < 0, F.xxhash64("slice")).otherwise(F.col("range").cast("long")))
-    compared = told.repartition("_to").sortWithinPartitions("range", "slice").drop("_to").mapInArrow(compare, schema)
-    return compared.repartition("slice").sortWithinPartitions("slice", "range").mapInArrow(add_up, "node long, n long, unshared long")
+    told = docs.select("text").mapInArrow(released(look_up), schema).withColumn("_to", F.when(F.col("range") < 0, F.xxhash64("slice")).otherwise(F.col("range").cast("long")))
+    compared = told.repartition("_to").sortWithinPartitions("range", "slice").drop("_to").mapInArrow(released(compare), schema)
+    return compared.repartition("slice").sortWithinPartitions("slice", "range").mapInArrow(released(add_up), "node long, n long, unshared long")
 
 
 def _row_key():
@@ -527,7 +527,7 @@ def _placed(docs: DataFrame, words: int, percent: int, region: int = REGION) ->
             values, count = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u8"), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values[count >= OFTEN].view(np.int64)), pa.array(count[count >= OFTEN].astype(np.int64))], ["shingle", "n"])
 
-    common = written(sets.select("shingles").mapInArrow(frequent, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")), "frequent")
+    common = written(sets.select("shingles").mapInArrow(released(frequent), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")), "frequent")
     cut, seen = 1 << 62, 0  # the frequent: as many classes of frequencies, a class for each doubling, as FREQUENT holds
     for r in common.groupBy(F.floor(F.log2("n")).alias("class")).count().orderBy(F.desc("class")).collect():
         seen += r["count"]
@@ -546,7 +546,7 @@ def _placed(docs: DataFrame, words: int, percent: int, region: int = REGION) ->
                 node = np.repeat(batch.column(0).to_numpy(), [len(x) for x in heads])
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(heads).astype(np.uint64).view(np.int64)), pa.array(node)], ["shingle", "node"])
 
-    posted = written(sets.select("node", "shingles").mapInArrow(postings, "shingle long, node long"), "posted")
+    posted = written(sets.select("node", "shingles").mapInArrow(released(postings), "shingle long, node long"), "posted")
     shared = written(posted.groupBy("shingle").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("k")).where("k > 1"), "shared")
     members = written(attach_groups(posted, shared, ["shingle"], "k").where("node <> pivot").select("pivot", "node").distinct(), "members")
     inside = members.unionByName(members.select("pivot", F.col("pivot").alias("node")).distinct())
@@ -557,7 +557,7 @@ def _placed(docs: DataFrame, words: int, percent: int, region: int = REGION) ->
     if some_large:
         placed = written(placed, "region-sets")
     small = _by_key(placed.where(F.col("total") <= region).select("pivot", "rep", F.lit(False).alias("together"), "shingles"), ["pivot"])
-    links = small.mapInArrow(lambda it: _joined(percent, 1, it), "a long, b long")
+    links = small.mapInArrow(released(lambda it: _joined(percent, 1, it)), "a long, b long")
     if some_large:
         large = placed.where(F.col("total") > region).select(F.col("pivot").cast("string").alias("region"), "total", "rep", "n", "shingles")
         links = links.unionByName(_large_regions(large, percent, region))

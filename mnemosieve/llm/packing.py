@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from mnemosieve.llm.common import arrow_map, worker_state, written
+from mnemosieve.llm.common import arrow_map, released, worker_state, written
 
 CAPACITY, END_ID = 4096, 1
 #: Nodes the search may visit after the best-fit start, however many lengths there are; fillings of one sequence it compares; rows ranked by one task.
@@ -265,7 +265,7 @@ def pack(rows: DataFrame, order: list[str], capacity: int = CAPACITY, length: st
                 offset[at] = begins[k] + j // n[k] * x
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sequence), pa.array(offset)], names)
 
-    return ranked.mapInArrow(place, f"{schema}, sequence_id long, offset long")
+    return ranked.mapInArrow(released(place), f"{schema}, sequence_id long, offset long")
 
 
 class Chunks(dict):

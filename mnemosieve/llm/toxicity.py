@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mnemosieve.llm.common import WordHasher, arrow_map, carried, read_table, restored, worker_state, written
+from mnemosieve.llm.common import arrow_map, carried, read_table, released, restored, WordHasher, worker_state, written
 from mnemosieve.llm.folds import fold, labelled, sample_ids, texts_of
 
 TRAIN_DOCS, TRAIN_WORDS, DOC_WORDS, TRUST = 2500, 5_000_000, 50_000, 10.0
@@ -306,7 +306,7 @@ def _trained(spark: SparkSession, ids: list[tuple[np.ndarray, np.ndarray]], y: n
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([pickle.dumps(out)], pa.binary())], ["k", "out"])
 
     tasks = spark.range(0, PARTS + 1, 1, PARTS + 1).select(F.col("id").alias("k"))
-    found = {r["k"]: pickle.loads(r["out"]) for r in tasks.mapInArrow(run, "k long, out binary").collect()}
+    found = {r["k"]: pickle.loads(r["out"]) for r in tasks.mapInArrow(released(run), "k long, out binary").collect()}
     logit = np.zeros(len(y))
     for k in range(PARTS):
         logit[part == k] = found[k]
