@@ -189,6 +189,20 @@ def test_word_pieces_against_the_plain_algorithm(spark):
         WordPiece({"a": 1})
 
 
+def test_the_query_of_word_pieces(spark):
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    from mnemosieve import catalog
+    from mnemosieve.functions.wordpiece import from_word_ends
+
+    model = from_word_ends(public_tokenizers.path("word_bpe_49k.json"))
+    want = {}
+    for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect():
+        ids = plain_pieces(model, r["text"] or "", 512)
+        want[r["doc_id"]] = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest())
+    got = {r["doc_id"]: (r["n_ids"], r["ids_sha256"]) for r in catalog.queries()["x23_word_pieces"](spark, str(DATA)).collect()}
+    assert got == want and any(n > 100 for n, _ in got.values())
+
+
 def test_a_model_tells_its_names():
     told = '{"model": {"vocab": {"<u>": 0, "<s>": 1, "</s>": 2, "a": 3, "@@b": 4}, "continuing_subword_prefix": "@@", "max_input_chars_per_word": 3, "unk_token": "<u>"}, "post_processor": {"special_tokens": {"[CLS]": {"id": "<s>"}, "[SEP]": {"id": "</s>"}}}}'
     model = WordPiece.from_json(told)
