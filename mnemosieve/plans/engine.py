@@ -117,7 +117,8 @@ class Engine:
         mode, touched = ix.plan(None, snapshot, "", new_hash, True, None if unlimited else self.max_docs)
         if mode == "deferred":
             raise SyncNeeded("full", touched)
-        segment = self._staged(ix.documents(snapshot), touched, None, on_progress)
+        ordered = snapshot.repartitionByRange("id").sortWithinPartitions("id")  # before documents and vectors are made, so that the sample costs ids only
+        segment = self._staged(ix.documents(ordered), touched, None, on_progress)
         posted = self.store.table(segment, "postings")
         self.store.stage({"terms": ix.terms(posted)}, name=segment)
         meta = ix.meta(self.store.table(segment, "docs"), posted, new_hash, self.embedder.identity)

@@ -1,7 +1,8 @@
 """Versions of an index: immutable Parquet segments and a commit for each version, on any file system Spark reads.
 
 Postings and terms lie in buckets of (token, kind), a directory each, and within a bucket in ranges; the name of a segment tells how many buckets it has. So a
-lookup of some tokens opens only their buckets, and no task holds a word's whole list. Documents and vectors lie in ranges of doc_id.
+lookup of some tokens opens only their buckets, and no task holds a word's whole list. Documents and vectors lie as they come: ranges are drawn by a sample, for
+which an embedder would have to run twice.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from mnemosieve.sources.tables import create_once, file_system, written
 #: latest segment's row counts, and one without documents (df 0) is none.
 SEGMENTED, WHOLE = ("docs", "postings", "vectors", "terms"), ("meta",)
 TABLES = (*SEGMENTED, *WHOLE)
-ORDER = {"postings": ["bucket", "token", "kind", "doc_id"], "terms": ["bucket", "token", "kind"], "docs": ["doc_id"], "vectors": ["doc_id"]}
+ORDER = {"postings": ["bucket", "token", "kind", "doc_id"], "terms": ["bucket", "token", "kind"]}
 BUCKETED = {"postings": "token string, kind string, doc_id {}, tf_title int, tf_content int, bucket int", "terms": "token string, kind string, df long, bucket int"}
 #: Segments of a version at most; an update beyond merges them. Documents to a bucket, and buckets of a segment at most.
 SEGMENTS, BUCKET_DOCS, BUCKETS = 8, 1000, 4096
