@@ -23,6 +23,7 @@ from mnemosieve.operators import instruments as im
 from mnemosieve.operators import retrieval as rt
 from mnemosieve.operators import scoring as sc
 from mnemosieve.operators.identity import compared, dir_fingerprint, identity_digest
+from mnemosieve.operators.passes import Passes
 from mnemosieve.sources import observations as ob
 from mnemosieve.sources.tables import read_table, scratch_path, written
 
@@ -122,6 +123,15 @@ class Corpus:
     def pool(self) -> DataFrame:
         return sc.pool(self.lexical, sc.Ranking().top_k)
 
+    @cached_property
+    def passes(self) -> Passes:
+        return Passes(self.docs, self.vectors, self.queries, self.pool, sc.Ranking().weight, 6)
+
+    @cached_property
+    def candidates(self) -> tuple[DataFrame, DataFrame]:
+        asked = self.queries.join(self.requests.select("query_id", "project"), "query_id")
+        return rt.candidates(Passes(self.docs, self.vectors, asked, self.pool, sc.Ranking().weight, 6), SHOWN)
+
     @cached_property
     def cosines(self) -> DataFrame:
         return sc.cosines(self.docs, self.vectors, self.queries)
@@ -524,9 +534,7 @@ def w02_pool(spark, sf_dir):
 
 @query(f"WITH {_SCORES}, n AS (SELECT query_id, least(count(*), 50) AS k FROM lex GROUP BY 1) SELECT query_id, doc_id, rank FROM ranked JOIN n USING (query_id) WHERE rank <= k")
 def w05_pool_ids(spark, sf_dir):
-    c = Corpus(spark, sf_dir)
-    sizes = c.pool.groupBy("query_id").agg(F.count(F.lit(1)).alias("k"))
-    return sc.ranked(c.scores).where(F.col("rank") <= sc.Ranking().top_k).join(sizes, "query_id").where("rank <= k").select("query_id", "doc_id", "rank")
+    return rt.pool_ids(Corpus(spark, sf_dir).passes, sc.Ranking().top_k).withColumnRenamed("place", "rank")
 
 
 @query(f"WITH {_Q}{_COS} SELECT query_id, doc_id, round(cosine::DOUBLE, 6) AS cosine FROM cos")
@@ -573,8 +581,7 @@ shown AS (SELECT query_id, doc_id, (row_number() OVER (PARTITION BY query_id ORD
 
 @query(f"WITH {_CAND} SELECT query_id, doc_id, place, semantic_rank FROM shown")
 def q04_candidates(spark, sf_dir):
-    c = Corpus(spark, sf_dir)
-    return rt.candidates(c.scores, c.docs, c.requests, SHOWN).select("query_id", "doc_id", "place", "semantic_rank")
+    return Corpus(spark, sf_dir).candidates[0]
 
 
 _SHARED = f"""{_CAND}, sh AS (SELECT query_id, doc_id, list(token ORDER BY round(idf, 6) DESC, token)[1:5] AS terms FROM m SEMI JOIN shown USING (query_id, doc_id) GROUP BY 1, 2)"""
@@ -583,7 +590,7 @@ _SHARED = f"""{_CAND}, sh AS (SELECT query_id, doc_id, list(token ORDER BY round
 @query(f"WITH {_SHARED} SELECT query_id, doc_id, array_to_string(terms, ' ') AS terms FROM sh")
 def q05_shared_terms(spark, sf_dir):
     c = Corpus(spark, sf_dir)
-    return sc.shared_rare_terms(c.matches, rt.candidates(c.scores, c.docs, c.requests, SHOWN), rt.SHARED_TERMS).select("query_id", "doc_id", F.array_join("terms", " ").alias("terms"))
+    return sc.shared_rare_terms(c.matches, c.candidates[0], rt.SHARED_TERMS).select("query_id", "doc_id", F.array_join("terms", " ").alias("terms"))
 
 
 @query(f"""WITH {_SHARED} SELECT query_id, s.doc_id, d.title, d.type, d.updated_at, CASE WHEN o.topic_key = q_topic THEN q_topic ELSE '' END AS same_topic_key, o.session_id = q_session AS same_session,
@@ -591,7 +598,7 @@ def q05_shared_terms(spark, sf_dir):
  place, semantic_rank, (SELECT count(*) FROM docs) AS corpus_size FROM shown s JOIN docs d USING (doc_id) JOIN allobs o ON o.id = s.doc_id JOIN req USING (query_id) LEFT JOIN sh USING (query_id, doc_id)""")
 def q06_evidence(spark, sf_dir):
     c = Corpus(spark, sf_dir)
-    shown = written(rt.candidates(c.scores, c.docs, c.requests, SHOWN), "shown")
+    shown = c.candidates[0]
     rows = rt.evidence(shown, c.docs, c.requests, sc.shared_rare_terms(c.matches, shown, rt.SHARED_TERMS), ob.side_columns(c.records, shown.select(F.col("doc_id").alias("id"))))
     return rows.withColumns({"shared_count": F.col("shared_rare_terms.count"), "shared_terms": F.array_join("shared_rare_terms.terms", " ")}).drop("shared_rare_terms")
 
@@ -599,14 +606,12 @@ def q06_evidence(spark, sf_dir):
 @query(f"""WITH {_CAND}, r AS (SELECT query_id, rank, project = q_project AS pass FROM ranked JOIN docs USING (doc_id) JOIN req USING (query_id)),
 cut AS (SELECT query_id, list(rank ORDER BY rank)[{SHOWN + 1}] AS cut_at FROM r WHERE pass GROUP BY 1) SELECT query_id, count(*) FILTER (NOT pass AND (cut_at IS NULL OR rank < cut_at)) AS filtered_out FROM r LEFT JOIN cut USING (query_id) GROUP BY 1""")
 def f05_candidate_filtered_out(spark, sf_dir):
-    c = Corpus(spark, sf_dir)
-    return rt.filtered_before_cut(c.scores, c.docs, c.requests, SHOWN)
+    return Corpus(spark, sf_dir).candidates[1]
 
 
 @query(f"WITH {_CAND} SELECT query_id, doc_id, place, doc_id % 2 = query_id % 2 AND place = 1 AS will_update FROM shown")
 def j12_will_update(spark, sf_dir):
-    c = Corpus(spark, sf_dir)
-    shown = rt.candidates(c.scores, c.docs, c.requests, SHOWN)
+    shown = Corpus(spark, sf_dir).candidates[0]
     wrote = shown.where("place = 1 and doc_id % 2 = query_id % 2").select("query_id", F.col("doc_id").alias("written_id"))
     return rt.will_update(shown, wrote).select("query_id", "doc_id", "place", "will_update")
 
@@ -753,7 +758,7 @@ def _gold(c: Corpus) -> DataFrame:
 
 
 def _gold_ranks(c: Corpus) -> DataFrame:
-    return ev.counted_ranks(c.scores, written(_gold(c), "gold"))
+    return ev.counted_ranks(c.passes, written(_gold(c), "gold"))
 
 
 @query(f"WITH {_GR} SELECT k, round(count(*) FILTER (rank <= k) / count(*)::DOUBLE, 6) AS recall, count(*) AS n FROM gr, (SELECT unnest([1, 5, 10, 30, 100]) AS k) GROUP BY 1")
@@ -779,7 +784,7 @@ def v04_pool_hit(spark, sf_dir):
 
 @query(f"WITH {_SCORES} SELECT doc_id, count(*) AS queries FROM ranked WHERE rank <= 10 GROUP BY 1")
 def v05_hubness(spark, sf_dir):
-    return ev.hubness(sc.ranked(Corpus(spark, sf_dir).scores))
+    return ev.hubness(Corpus(spark, sf_dir).passes.leading(10).withColumnRenamed("place", "rank"))
 
 
 @query(f"""WITH {_GR}, cr AS (SELECT query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY round(cosine::DOUBLE, 6) DESC, doc_id) AS rank FROM cos), cg AS (SELECT query_id, min(rank) AS rank FROM gold LEFT JOIN cr USING (query_id, doc_id) GROUP BY 1),
@@ -787,8 +792,8 @@ z AS (SELECT coalesce(gr.rank <= 10, false) AS x, coalesce(cg.rank <= 10, false)
 def v06_mcnemar(spark, sf_dir):
     c = Corpus(spark, sf_dir)
     gold = written(_gold(c), "gold")
-    vector_only = c.scores.withColumn("boosted", F.round(F.col("cosine").cast("double"), 6))
-    return ev.mcnemar(ev.counted_ranks(c.scores, gold), ev.counted_ranks(vector_only, gold)).select("only_a", "only_b", "n", r6("difference"), r6("sigma"))
+    vector_only = Passes(c.docs, c.vectors, c.queries, c.pool.limit(0), 0.0, 6)
+    return ev.mcnemar(ev.counted_ranks(c.passes, gold), ev.counted_ranks(vector_only, gold)).select("only_a", "only_b", "n", r6("difference"), r6("sigma"))
 
 
 # The engine as its users call it. Every text has one direction, so all candidates are in the pool and coverage decides.

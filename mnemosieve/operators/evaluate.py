@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mnemosieve.operators.scoring import small
+from mnemosieve.operators.passes import Passes
+from mnemosieve.sources.tables import written
 
 
 def gold_ranks(ranked: DataFrame, gold: DataFrame) -> DataFrame:
@@ -14,13 +15,12 @@ def gold_ranks(ranked: DataFrame, gold: DataFrame) -> DataFrame:
     return gold.select("query_id").distinct().join(best, "query_id", "left")
 
 
-def counted_ranks(scores: DataFrame, gold: DataFrame, order: str = "boosted") -> DataFrame:
-    """gold_ranks() of documents by their scores, without ranking them: one more than the documents before a query's best gold one, counted per query.
-    scores: a table of query_id, doc_id and order; gold: query_id, doc_id."""
-    best = F.min(F.struct((-F.col(order)).alias("x"), "doc_id")).alias("g")
-    gold_best = small(scores.select("query_id", "doc_id", order).join(small(gold), ["query_id", "doc_id"]).groupBy("query_id").agg(best).select("query_id", (-F.col("g.x")).alias("_x"), F.col("g.doc_id").alias("_id")))
-    before = (F.col(order) > F.col("_x")) | ((F.col(order) == F.col("_x")) & (F.col("doc_id") < F.col("_id")))
-    ranks = scores.join(gold_best, "query_id").groupBy("query_id").agg((F.count_if(before) + 1).cast("int").alias("rank"))
+def counted_ranks(passes: Passes, gold: DataFrame) -> DataFrame:
+    """gold_ranks() of documents without ranking them: one more than the documents before a query's best gold one, counted in a pass over the corpus.
+    gold: query_id, doc_id, a table."""
+    best = F.min(F.struct((-F.col("score")).alias("x"), "doc_id")).alias("g")
+    marks = written(passes.scores_of(gold).groupBy("query_id").agg(best).select("query_id", "g.doc_id", (-F.col("g.x")).alias("score")), "gold-best")
+    ranks = passes.before(marks).select("query_id", (F.col("before") + 1).cast("int").alias("rank"))
     return gold.select("query_id").distinct().join(ranks, "query_id", "left")
 
 

@@ -1,29 +1,23 @@
 """Retrieval with filters, limit and exact flags, and similarity candidates with evidence.
 
 A ranking is never filtered before it is ranked. Flags and counts are aggregates over the whole ranking; a shown record's global rank is the number
-of records before it, counted by comparing with the few shown ones, so no task ever sorts a corpus. recalled() doesn't make the table of all scores either:
-tasks score their documents against all queries and keep the first of each.
+of records before it, counted by comparing with the few shown ones, so no task ever sorts a corpus, and no table of all scores is made (see passes).
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mnemosieve.functions.text import content_sha, excerpt
 from mnemosieve.functions.requests import limit_of
-from mnemosieve.operators.scoring import small
+from mnemosieve.operators.passes import Passes
+from mnemosieve.operators.scoring import boosted, cosines, ranked, small
 from mnemosieve.sources.tables import written
 
 SHARED_TERMS = 5
-#: Queries that a task scores its documents against at once, and documents at once.
-QUERY_BLOCK, DOC_BATCH = 4096, 1000
 
 
 @dataclass(frozen=True)
@@ -62,91 +56,12 @@ def hits(scores: DataFrame, docs: DataFrame, request: Request, order: Column | N
     return first.where(F.col("place") <= limit_of(request.limit)).select("query_id", "place", "doc_id", "title", "type", "project", "scope", F.col("boosted").alias("score"), excerpt(F.col("content")).alias("excerpt"))
 
 
-def dots_f32(rows: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Inner products (rows x queries) in 32 bits, products rounded and summed strictly from left to right."""
-    out = np.zeros((len(rows), len(queries)), np.float32)
-    for i in range(rows.shape[1]):
-        out += rows[:, i, None] * queries[None, :, i]
-    return out
-
-
-class First:
-    """The first `limit` documents of each query, by score and then by id, of those that a task has come by."""
-
-    def __init__(self, queries: int, limit: int) -> None:
-        self.limit, self.least = limit, np.full(queries, -np.inf)
-        self.query, self.doc, self.score = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-
-    def add(self, docs: np.ndarray, scores: np.ndarray) -> None:
-        """scores: documents x queries."""
-        least = self.least
-        if len(docs) > self.limit:
-            least = np.maximum(least, np.partition(scores, len(docs) - self.limit, 0)[len(docs) - self.limit])
-        i, q = np.nonzero(scores >= least)
-        query, doc, score = np.concatenate([self.query, q]), np.concatenate([self.doc, docs[i]]), np.concatenate([self.score, scores[i, q]])
-        order = np.lexsort((doc, -score, query))
-        query, doc, score = query[order], doc[order], score[order]
-        place = np.arange(len(query)) - np.searchsorted(query, query)
-        stays = place < self.limit
-        self.query, self.doc, self.score = query[stays], doc[stays], score[stays]
-        last = place[stays] == self.limit - 1
-        self.least[self.query[last]] = self.score[last]
-
-
 def recalled(docs: DataFrame, vectors: DataFrame, queries: DataFrame, members: DataFrame, request: Request, weight: float, digits: int | None = None) -> DataFrame:
-    """hits() of all documents, scored in tasks: cosine in 32 bits (0 without a vector on either side, or of another length), plus weight times coverage for
-    members (query_id, doc_id, coverage). queries: query_id, vec. digits: places to which scores are rounded before they are compared. Queries come in blocks,
-    a pass over the vectors for each; a block's vectors are broadcast, and a task holds `limit` documents of each query."""
-    limit = limit_of(request.limit)
-    asked = written(queries.select("query_id", F.col("vec").cast("array<float>").alias("vec")), "recall-queries")
-    blocks = max(1, -(-asked.count() // QUERY_BLOCK))
-    rows = docs.where(request.passes()).select(F.col("doc_id").cast("long").alias("doc_id")).join(vectors.select("doc_id", F.col("vec").cast("array<float>").alias("vec")), "doc_id", "left")
-    found = None
-    for n in range(blocks):
-        block = (asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == n) if blocks > 1 else asked).orderBy("query_id").collect()
-        if not block:
-            continue
-        names = asked.sparkSession.createDataFrame([(i, r["query_id"]) for i, r in enumerate(block)], f"_q int, query_id {asked.schema['query_id'].dataType.simpleString()}")
-        gains = members.join(F.broadcast(names), "query_id").groupBy("doc_id").agg(F.collect_list("_q").alias("_qs"), F.collect_list(F.col("coverage").cast("double")).alias("_coverages"))  # as long as a block at most
-        part = _scored(rows.join(gains, "doc_id", "left").select("doc_id", "vec", "_qs", "_coverages"), [r["vec"] for r in block], weight, digits, limit)
-        part = part.join(F.broadcast(names), "_q").select("query_id", "doc_id", "boosted")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = asked.select("query_id", F.lit(0).cast("long").alias("doc_id"), F.lit(0.0).alias("boosted")).limit(0)
-    first = found.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("boosted"), "doc_id"))).where(F.col("place") <= limit)
-    return hits(small(first.drop("place")), docs, request).withColumn("score", F.col("score").cast("float" if digits is None else "double"))
-
-
-def _scored(rows: DataFrame, asked: list[list[float] | None], weight: float, digits: int | None, limit: int) -> DataFrame:
-    """_q, doc_id, boosted: of each task, the first `limit` documents of each query."""
-    d = max((len(v) for v in asked if v is not None), default=0)
-    known = np.array([v is not None and len(v) == d for v in asked])
-    table = np.array([v if k else [0.0] * d for v, k in zip(asked, known, strict=True)], np.float32).reshape(len(asked), d)
-    sent = rows.sparkSession.sparkContext.broadcast((table, known))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries, known = sent.value
-        first = First(len(queries), limit)
-        for whole in batches:
-            for at in range(0, whole.num_rows, DOC_BATCH):
-                batch = whole.slice(at, DOC_BATCH)
-                sizes = pc.fill_null(pc.list_value_length(batch.column(1)), -1).to_numpy(zero_copy_only=False)
-                own = np.flatnonzero(sizes == queries.shape[1])
-                vectors = pc.take(batch.column(1), pa.array(own)).flatten().to_numpy(zero_copy_only=False).astype(np.float32).reshape(len(own), -1)
-                score = np.zeros((batch.num_rows, len(queries)), np.float32)
-                if queries.shape[1]:
-                    score[own] = np.where(known, dots_f32(vectors, queries), np.float32(0))
-                member = pc.fill_null(pc.list_value_length(batch.column(2)), 0).to_numpy(zero_copy_only=False)
-                i, q = np.repeat(np.arange(batch.num_rows), member), batch.column(2).flatten().to_numpy(zero_copy_only=False)
-                score[i, q] += (weight * batch.column(3).flatten().to_numpy(zero_copy_only=False)).astype(np.float32)
-                exact = score.astype(np.float64)
-                if digits is not None:
-                    exact = np.sign(exact) * np.floor(np.abs(exact) * 10.0**digits + 0.5) / 10.0**digits
-                first.add(batch.column(0).to_numpy(zero_copy_only=False), exact)
-        if len(first.query):
-            yield pa.RecordBatch.from_arrays([pa.array(first.query.astype(np.int32)), pa.array(first.doc), pa.array(first.score)], ["_q", "doc_id", "boosted"])
-
-    return rows.mapInArrow(run, "_q int, doc_id long, boosted double")
+    """hits() of all documents, scored in tasks. queries: query_id, vec; members: query_id, doc_id, coverage of the pools. digits: places to which scores are
+    rounded before they are compared."""
+    passes = Passes(docs, vectors, queries.select("query_id", "vec"), members, weight, digits, request.passes(), once=True)
+    first = passes.leading(limit_of(request.limit)).select("query_id", "doc_id", F.col("score").alias("boosted"))
+    return hits(small(first), docs, request).withColumn("score", F.col("score").cast("float" if digits is None else "double"))
 
 
 def recall_summary(docs: DataFrame, queries: DataFrame, request: Request, lexical: DataFrame, top_k: int) -> DataFrame:
@@ -171,27 +86,29 @@ def available_types(docs: DataFrame) -> DataFrame:
     return docs.select("type").where("type <> ''").distinct().orderBy("type")
 
 
-def global_ranks(scores: DataFrame, shown: DataFrame, order: str = "boosted") -> DataFrame:
-    """shown (query_id, doc_id) with its rank over the whole corpus: one more than the documents before it."""
-    mine = small(shown.join(scores.select("query_id", "doc_id", F.col(order).alias("_x")), ["query_id", "doc_id"]).select("query_id", F.col("doc_id").alias("_id"), "_x"))
-    before = (F.col(order) > F.col("_x")) | ((F.col(order) == F.col("_x")) & (F.col("doc_id") < F.col("_id")))
-    return scores.join(mine, "query_id").groupBy("query_id", F.col("_id").alias("doc_id")).agg((F.count_if(before) + 1).alias("semantic_rank"))
-
-
-def candidates(scores: DataFrame, docs: DataFrame, requests: DataFrame, limit: int, order: str = "boosted") -> DataFrame:
-    """The first `limit` documents of each request's project ('' is any): query_id, doc_id, place, semantic_rank. requests: query_id, project."""
-    rows = scores.join(docs.select("doc_id", F.col("project").alias("_p")), "doc_id").join(small(requests.select("query_id", "project")), "query_id")
-    passing = rows.where((F.col("project") == "") | (F.col("_p") == F.col("project")))
-    shown = passing.withColumn("place", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(order), "doc_id"))).where(F.col("place") <= limit).select("query_id", "doc_id", "place")
-    return shown.join(global_ranks(scores, shown, order), ["query_id", "doc_id"])
-
-
-def filtered_before_cut(scores: DataFrame, docs: DataFrame, requests: DataFrame, limit: int, order: str = "boosted") -> DataFrame:
-    """query_id, filtered_out: documents of other projects ranked before the (limit + 1)-th passing one; all of them if there is none."""
-    rows = scores.join(docs.select("doc_id", F.col("project").alias("_p")), "doc_id").join(small(requests.select("query_id", "project")), "query_id").withColumn("_pass", (F.col("project") == "") | (F.col("_p") == F.col("project")))
-    cut = rows.where("_pass").withColumn("n", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc(order), "doc_id"))).where(F.col("n") == limit + 1).select("query_id", F.col(order).alias("_x"), F.col("doc_id").alias("_id"))
-    before = F.col("_id").isNull() | (F.col(order) > F.col("_x")) | ((F.col(order) == F.col("_x")) & (F.col("doc_id") < F.col("_id")))
-    return rows.join(small(cut), "query_id", "left").groupBy("query_id").agg(F.count_if(~F.col("_pass") & before).alias("filtered_out"))
+def candidates(passes: Passes, limit: int) -> tuple[DataFrame, DataFrame]:
+    """The first `limit` documents of each query's project with their ranks in the whole corpus: query_id, doc_id, place, semantic_rank; and query_id,
+    filtered_out: the documents of other projects before the (limit + 1)-th passing one, or all of them if there is none. Two passes: one finds the
+    documents, one counts what stands before them."""
+    first = written(passes.leading(limit + 1), "first")
+    told = written(first.join(passes.before(first), ["query_id", "doc_id"]), "candidates")
+    cut = told.where(F.col("place") == limit + 1).select("query_id", "barred")
+    each = passes.rows.groupBy("project").agg(F.count(F.lit(1)).alias("own"))
+    total = passes.rows.agg(F.count(F.lit(1)).alias("total"))
+    others = F.when(F.col("project") == "", 0).otherwise(F.col("total") - F.coalesce("own", F.lit(0)))
+    filtered = passes.asked.select("query_id", "project").join(total).join(each, "project", "left").join(cut, "query_id", "left").select("query_id", F.coalesce("barred", others).cast("long").alias("filtered_out"))
+    return told.where(F.col("place") <= limit).select("query_id", "doc_id", "place", (F.col("before") + 1).alias("semantic_rank")), filtered
+
+
+def pool_ids(passes: Passes, top_k: int) -> DataFrame:
+    """query_id, doc_id, place: the first documents of the whole ranking, as many as a query's pool (of top_k at most; 0: all candidates) has members. A pool
+    without a bound takes the table of all scores."""
+    sizes = passes.pools.groupBy("query_id").agg(F.count(F.lit(1)).alias("k"))
+    if top_k:
+        first = passes.leading(top_k, any_project=True)
+    else:
+        first = ranked(boosted(cosines(passes.docs, passes.vectors, passes.asked), passes.pools, passes.weight)).withColumnRenamed("rank", "place")
+    return first.join(sizes, "query_id").where("place <= k").select("query_id", "doc_id", "place")
 
 
 def evidence(shown: DataFrame, docs: DataFrame, requests: DataFrame, shared: DataFrame, extras: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ from mnemosieve.functions.vectors import hash_embedding
 from mnemosieve.operators import index as ix
 from mnemosieve.operators import retrieval as rt
 from mnemosieve.operators import scoring as sc
+from mnemosieve.operators.passes import Passes
 from mnemosieve.plans.embedding import watched
 from mnemosieve.plans.store import SEGMENTS, IndexStore
 from mnemosieve.sources.observations import active_snapshot, side_columns, snapshot_digest
@@ -226,14 +227,16 @@ class Engine:
         try:
             if self.store.inspect(self.embedder.identity) != "ok":
                 return None
-            docs = self.store.read("docs")
-            scores, lexical, found = self.ranked(requests.withColumn("query", document_text(F.col("title"), F.col("content"))))
-            shown = written(rt.candidates(scores, docs, requests, self.shown), "shown")
+            docs, vectors = self.store.read("docs"), self.store.read("vectors")
+            queries, lexical, found = self.asked(requests.withColumn("query", document_text(F.col("title"), F.col("content"))))
+            members = sc.pool(lexical, self.ranking.top_k)
+            passes = Passes(docs, vectors, queries.join(requests.select("query_id", "project"), "query_id"), members, self.ranking.weight)
+            shown, filtered_out = rt.candidates(passes, self.shown)
             shared = sc.shared_rare_terms(found, shown, rt.SHARED_TERMS)
             extras = side_columns(records, shown.select(F.col("doc_id").alias("id")))
             return {
-                "candidates": rt.evidence(shown, docs, requests, shared, extras), "filtered_out": rt.filtered_before_cut(scores, docs, requests, self.shown),
-                "lag": rt.index_lag(docs, active_snapshot(records)), "pool": sc.pool(scores.join(lexical.select("query_id", "doc_id"), ["query_id", "doc_id"], "left"), self.ranking.top_k, F.desc("boosted")),
+                "candidates": rt.evidence(shown, docs, requests, shared, extras), "filtered_out": filtered_out, "lag": rt.index_lag(docs, active_snapshot(records)),
+                "pool": rt.pool_ids(passes, self.ranking.top_k),
             }
         except Exception:  # noqa: BLE001  candidates never stand in the way of a write
             log.exception("no candidates")

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from mnemosieve.operators import index as ix
+from mnemosieve.operators import passes
 from mnemosieve.operators import retrieval as rt
 from mnemosieve.plans import store as st
 from mnemosieve.plans.embedding import BatchEmbedder, HashedWords, hashed_words
@@ -166,7 +167,7 @@ def test_result_texts(spark):
 def test_recall_in_tasks_is_the_whole_ranking_cut(spark, monkeypatch, block):
     from mnemosieve.operators import scoring as sc
 
-    monkeypatch.setattr(rt, "QUERY_BLOCK", block)
+    monkeypatch.setattr(passes, "QUERY_BLOCK", block)
     r = np.random.default_rng(3)
     rows = [(i, f"t{i}", f"c{i}", "k", f"p{i % 3}", "s") for i in range(300)]
     docs = spark.createDataFrame(rows, "doc_id long, title string, content string, type string, project string, scope string")
@@ -183,6 +184,51 @@ def test_recall_in_tasks_is_the_whole_ranking_cut(spark, monkeypatch, block):
     assert rt.recalled(docs, vectors, queries.limit(0), members, rt.Request(all_projects=True), 0.2).count() == 0
 
 
+@pytest.mark.parametrize("block", [4096, 5])
+def test_ranks_in_passes_are_those_of_the_whole_ranking(spark, monkeypatch, block):
+    """Candidates, what was filtered before the cut, gold ranks and pools, against a sort of all scores."""
+    from mnemosieve.operators import evaluate as ev
+    from mnemosieve.operators import scoring as sc
+
+    monkeypatch.setattr(passes, "QUERY_BLOCK", block)
+    r = np.random.default_rng(5)
+    projects = {i: f"p{i % 3}" if i % 50 else "rare" for i in range(200)}
+    docs = spark.createDataFrame([(i, p, "", "", "", "") for i, p in projects.items()], "doc_id long, project string, title string, content string, type string, scope string")
+    some = [r.normal(size=4).astype("f4").tolist() for _ in range(9)]
+    vectors = spark.createDataFrame([(i, None if i % 13 == 0 else some[i % 9]) for i in range(190)], "doc_id long, vec array<float>").repartition(6)  # many ties
+    asked = {0: "p0", 1: "", 2: "rare", 3: "nowhere", 4: "p1", 5: None, 6: "p2", 7: "p0"}
+    queries = spark.createDataFrame([(q, None if q == 4 else some[q % 4], p) for q, p in asked.items()], "query_id long, vec array<float>, project string")
+    members = spark.createDataFrame([(q, int(i), float(r.integers(4)) / 4) for q in range(7) for i in r.choice(200, 30, replace=False)], "query_id long, doc_id long, coverage double")
+    scores = sc.boosted(sc.cosines(docs, vectors, queries.select("query_id", "vec")), members, 0.2)
+    order = {q: [] for q in asked}
+    for q, i, s in sorted(((x["query_id"], x["doc_id"], x["boosted"]) for x in scores.collect()), key=lambda x: (-x[2], x[1])):
+        order[q].append(i)
+    fits = lambda q, i: asked[q] == "" or asked[q] == projects[i]
+    p = passes.Passes(docs, vectors, queries, members, 0.2)
+    for limit in (1, 5):
+        shown, filtered = rt.candidates(p, limit)
+        mine = {q: [(n, i) for n, i in enumerate(ids, 1) if fits(q, i)] for q, ids in order.items()}
+        assert {tuple(x) for x in shown.collect()} == {(q, i, place, n) for q, found in mine.items() for place, (n, i) in enumerate(found[:limit], 1)}
+        want = {q: sum(not fits(q, i) for i in order[q][: found[limit][0] if len(found) > limit else None]) for q, found in mine.items()}
+        assert {x["query_id"]: x["filtered_out"] for x in filtered.collect()} == want
+    gold = spark.createDataFrame([(q, int(i)) for q in (0, 1, 4, 5) for i in r.choice(200, 3, replace=False)] + [(2, 7), (3, 999)], "query_id long, doc_id long")
+    want = {q: min(order[q].index(x["doc_id"]) + 1 for x in gold.collect() if x["query_id"] == q) for q in (0, 1, 2, 4, 5)}
+    assert {x["query_id"]: x["rank"] for x in ev.counted_ranks(p, gold).collect()} == want | {3: None}
+    for top_k in (10, 50, 0):
+        sizes = {q: min(30, top_k or 30) for q in range(7)}
+        held = passes.Passes(docs, vectors, queries, members.where("true") if top_k != 10 else members.limit(0).unionByName(members.groupBy("query_id").agg(F.slice(F.collect_list(F.struct("doc_id", "coverage")), 1, 10).alias("m")).selectExpr("query_id", "inline(m)")), 0.2)
+        got = {(x["query_id"], x["place"]): x["doc_id"] for x in rt.pool_ids(held, top_k).collect()}
+        assert {q: sum(k[0] == q for k in got) for q in range(7)} == sizes
+        if top_k != 10:
+            assert got == {(q, n): order[q][n - 1] for q in range(7) for n in range(1, sizes[q] + 1)}
+    nothing = passes.Passes(docs.limit(0), vectors, queries, members.limit(0), 0.2)
+    assert rt.candidates(nothing, 5)[0].count() == 0 and {x["filtered_out"] for x in rt.candidates(nothing, 5)[1].collect()} == {0}
+    bare = passes.Passes(docs, vectors.where("doc_id > 180"), queries.select("query_id", "vec"), members, 0.2)  # most batches have no vector at all
+    assert bare.leading(2).count() == 16 and rt.recalled(docs, vectors.limit(0), queries, members, rt.Request(all_projects=True, limit=1), 0.2).count() == 8
+    nobody = passes.Passes(docs, vectors, queries.limit(0), members, 0.2)
+    assert [x.count() for x in rt.candidates(nobody, 5)] == [0, 0] and ev.counted_ranks(nobody, gold.limit(0)).count() == 0
+
+
 # The sink.
 REQUESTS = "request_id string, seq long, title string"
 
