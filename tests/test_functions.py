@@ -121,3 +121,9 @@ def test_capacity_of_columns_is_that_of_numbers(spark):
     df = spark.createDataFrame(rows, "b long, t long, n long")
     for r in df.select("*", rq.embed_capacity_of(F.col("b"), F.col("t")).alias("c"), rq.estimate_seconds_of(F.col("n"), F.col("t")).alias("s")).collect():
         assert (r["c"], r["s"]) == (rq.embed_capacity(r["b"], r["t"]), rq.estimate_seconds(r["n"], r["t"]))
+
+
+def test_text_is_digested_once(spark):
+    """A text that differs each time it is computed: components that come of one digest repeat after 32."""
+    v = spark.range(3).select(vx.hash_embedding(F.expr("uuid()"), 64).alias("v")).collect()
+    assert all(r["v"][:32] == r["v"][32:] for r in v)
