@@ -127,3 +127,16 @@ def test_text_is_digested_once(spark):
     """A text that differs each time it is computed: components that come of one digest repeat after 32."""
     v = spark.range(3).select(vx.hash_embedding(F.expr("uuid()"), 64).alias("v")).collect()
     assert all(r["v"][:32] == r["v"][32:] for r in v)
+
+
+def test_a_source_is_digested_in_parts_outside_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from mnemosieve.sources.observations import source_hash
+
+    rows = [(i, f"u{i}", "".join(chr(65 + (i * k) % 26) for k in range(i % 90)) + "读é" * (i % 3)) for i in range(500)]
+    want = hashlib.sha256("".join(f"{i}\x1f{u}\x1f{len(c)}\x1f{c}\x1e" for i, u, c in rows).encode()).hexdigest()
+    snapshot = spark.createDataFrame(rows[::-1], "id long, updated_at string, content string").repartition(5)
+    monkeypatch.setattr(DataFrame, "toLocalIterator", lambda *_: pytest.fail("rows pass the driver"))
+    assert source_hash(snapshot) == source_hash(snapshot, 3000) == want
+    assert source_hash(snapshot.limit(0)) == hashlib.sha256().hexdigest()
