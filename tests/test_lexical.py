@@ -49,3 +49,12 @@ def test_candidates_agree_and_nothing_is_shuffled(spark, coverage, monkeypatch):
     few = {(r["query_id"], r["doc_id"]) for r in lx.candidates(rows, wanted, numbers, mean, coverage, lacking=2).collect()}
     sizes = {r["query_id"]: r["n_query_tokens"] for r in tokens.collect()}
     assert few == {(x[0], x[1]) for x in want if x[5] >= sizes[x[0]] - 2}
+
+
+def test_postings_gather_to_the_same_counts(spark):
+    docs, queries = tables(spark)
+    docs = docs.withColumn("type", F.when(F.col("doc_id") % 2 == 0, "alpha 读写").otherwise(F.col("type")))
+    numbers = lx.numbered(sc.query_tokens(queries))
+    told = lambda rows: {r["doc_id"]: (r["n_tokens"], set(r["labels"]), set(zip(r["terms"], r["titles"], r["contents"], strict=True))) for r in rows.collect() if r["terms"]}
+    want = told(lx.counted(docs, numbers))
+    assert want and told(lx.gathered(docs, ix.postings(docs), numbers)) == want
