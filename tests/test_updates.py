@@ -134,6 +134,52 @@ def test_a_lookup_opens_its_buckets_only(spark, tmp_path, monkeypatch):
     assert engine.store.terms_of(missing).count() == 0 and engine.store.terms_of(missing.limit(0)).count() == 0
 
 
+def test_a_lookup_deals_no_whole_list_to_a_task(spark, tmp_path, monkeypatch):
+    """Tokens meet their lists where these are read or, where they are too many to broadcast, in shares of the documents."""
+    engine = Engine(spark, f"file://{tmp_path}/a", HashEmbedder(4))
+    engine.sync(table(spark, [record(i, f"title{i}", "common 读层 text") for i in range(60)]))
+    asked = spark.createDataFrame([(q, t, k) for q in range(3) for t, k in (("common", "a"), ("读层", "b"), ("title7", "a"))], "query_id long, token string, kind string")
+    want = sorted([(q, t, i) for q in range(3) for t in ("common", "读层") for i in range(60)] + [(q, "title7", 7) for q in range(3)])
+    told = lambda df: sorted((r["query_id"], r["token"], r["doc_id"]) for r in df.collect())
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = engine.store.terms_of(asked)
+        assert told(found) == want and "SortMergeJoin" not in found._jdf.queryExecution().toString()
+        monkeypatch.setattr(st, "fits", lambda df: False)
+        found = engine.store.terms_of(asked)
+        assert told(found) == want and "_share" in found._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_frequent_words_are_dealt_apart(spark, tmp_path):
+    engine = Engine(spark, f"file://{tmp_path}/a", HashEmbedder(4))
+    engine.sync(table(spark, [record(i, f"title{i}", f"common number{i}") for i in range(200)]))
+    docs = engine.store.read("docs")
+    assert ix.frequent(docs, 200) == ["common"]
+    files = engine.store.read("postings").where("token = 'common'").select(F.input_file_name()).distinct().count()
+    assert engine.store.read("postings").count() == 600 and files >= 1
+
+
+def test_postings_of_odd_texts(spark, tmp_path, monkeypatch):
+    """Counted in tasks, they are those of the tokens as columns; rows of one id are added up."""
+    from mnemosieve.functions.text import n_tokens, tokens
+
+    monkeypatch.setattr(ix, "TASK_ROWS", 3)
+    texts = ["", None, "a", "Ab ab AB", "读", "读层 读 层abc读层架", "\u212aelvin \u0130x straße", "x" * 90, "\U00020000\U00020001 \U00020000", "tail 9 99 é1é22"]
+    rows = [(i // 2, texts[-i - 1], t) for i, t in enumerate(texts)]  # two rows an id
+    docs = spark.createDataFrame(rows, "doc_id long, title string, content string").repartition(3)
+    each = docs.select("doc_id", F.lit(1).alias("f"), F.inline(tokens(F.col("title")))).unionByName(docs.select("doc_id", F.lit(0).alias("f"), F.inline(tokens(F.col("content")))))
+    want = each.groupBy("token", "kind", "doc_id").agg(F.sum("f").cast("int"), F.sum(1 - F.col("f")).cast("int"))
+    assert sorted(map(tuple, ix.postings(docs).collect())) == sorted(map(tuple, want.collect()))
+    assert docs.where(n_tokens(F.col("content")) != F.size(tokens(F.col("content")))).count() == 0
+    engine = Engine(spark, f"file://{tmp_path}/a", HashEmbedder(4))
+    engine.sync(table(spark, [record(1, "one", "word two"), record(1, "one", "word"), record(2, "two", "word")]))
+    got = {(r["token"], r["doc_id"]): (r["tf_title"], r["tf_content"]) for r in engine.store.read("postings").collect()}
+    assert got == {("one", 1): (2, 0), ("word", 1): (0, 2), ("two", 1): (0, 1), ("two", 2): (1, 0), ("word", 2): (0, 1)}
+
+
 def test_buckets_grow_with_the_documents():
     assert [st.buckets_for(n) for n in (0, 1, 1000, 1001, 3000, 10**9)] == [1, 1, 1, 2, 4, st.BUCKETS]
 
